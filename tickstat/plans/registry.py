@@ -125,3 +125,79 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: (lambda fn: lambda spark, sf_dir: present(fn(spark, sf_dir)))(fn)
             for name, fn in QUERIES.items()}
+
+
+# ----------------------------------------------------------- quality rules
+from ..operators import quality as Q  # noqa: E402
+
+
+def over_time(spark, sf_dir):
+    return R.spread_over_time(ticks(spark, sf_dir))
+
+
+def distribution(spark, sf_dir):
+    return R.spread_distribution(ticks(spark, sf_dir))
+
+
+def concentration(spark, sf_dir):
+    stats = _stats(spark, sf_dir)
+    return R.category_concentration(history(spark, sf_dir, stats), activity(spark, sf_dir, stats))
+
+
+def q_quality_orderbook(spark, sf_dir):
+    return Q.quality_report(orderbook(spark, sf_dir), Q.orderbook_rules(), table="orderbook")
+
+
+def q_quality_ticks(spark, sf_dir):
+    return Q.quality_report(ticks(spark, sf_dir), Q.ticks_rules(), table="price_changes")
+
+
+def q_quality_markets(spark, sf_dir):
+    return Q.quality_report(dim(spark, sf_dir), Q.dim_rules(), table="dim_markets").unionByName(
+        Q.quality_report(markets(spark, sf_dir), Q.view_rules(), table="markets_view"))
+
+
+def q_quality_facts(spark, sf_dir):
+    stats = _stats(spark, sf_dir)
+    hist = history(spark, sf_dir, stats)
+    act = activity(spark, sf_dir, stats)
+    parts = [
+        Q.quality_report(act, Q.activity_rules(), table="category_activity"),
+        Q.quality_report(hist, Q.history_rules(), table="market_history"),
+        Q.quality_report(over_time(spark, sf_dir), Q.over_time_rules(), table="spread_over_time"),
+        Q.quality_report(distribution(spark, sf_dir), Q.distribution_rules(),
+                         table="spread_distribution"),
+        Q.quality_report(R.expiry_buckets(hist), Q.expiry_rules(), table="expiry_buckets"),
+        Q.quality_report(R.category_concentration(hist, act), Q.concentration_rules(),
+                         table="category_concentration"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def q_ghost_ratio(spark, sf_dir):
+    d = dim(spark, sf_dir)
+    ratio = F.try_divide(F.count_if(F.col("is_ghost") == F.lit(True)), F.count(F.lit(1)))
+    return d.agg(F.count(F.lit(1)).alias("markets"),
+                 F.count_if(F.col("is_ghost") == F.lit(True)).alias("ghosts"),
+                 ratio.alias("ghost_ratio"),
+                 (ratio > 0.10).alias("above_limit"))
+
+
+def q_share_sum_check(spark, sf_dir):
+    c = concentration(spark, sf_dir)
+    return c.groupBy("date", "category").agg(
+        F.abs(F.sum("market_tick_share") - F.lit(1.0)).alias("share_gap")
+    ).withColumn("within_tolerance", F.col("share_gap") <= F.lit(1e-4))
+
+
+QUERIES.update({
+    "quality_orderbook": q_quality_orderbook,
+    "quality_ticks": q_quality_ticks,
+    "quality_markets": q_quality_markets,
+    "quality_facts": q_quality_facts,
+    "ghost_ratio": q_ghost_ratio,
+    "share_sum_check": q_share_sum_check,
+})
