@@ -27,3 +27,103 @@ def markets_view(dim: DataFrame) -> DataFrame:
         "closed",
         "resolution_status",
     )
+
+
+def new_market_ids(orderbook: DataFrame, dim: DataFrame, start=None, end=None) -> DataFrame:
+    """Distinct order-book market ids that the dimension does not hold yet.
+
+    Both sides are reduced to distinct ids first (partial aggregation), so the
+    anti join compares id sets, not ticks. With a window only its dates are
+    scanned (the source scans the whole table)."""
+    from ..functions.columns import in_window
+    ob = orderbook
+    if start is not None or end is not None:
+        ob = ob.where(in_window(F.to_date("timestamp_received"), start, end))
+    ids = ob.where(F.col("market_id").isNotNull()) \
+        .select(F.col("market_id").cast("string").alias("market_id")).distinct()
+    return ids.join(dim.select("market_id"), "market_id", "left_anti")
+
+
+def enrich_markets(ids: DataFrame, payload: DataFrame, event_tags: DataFrame,
+                   first_wins: bool = False) -> DataFrame:
+    """Dimension rows (``schemas.DIM_MARKETS``) for the requested ``ids``.
+
+    ``payload`` holds the landed market metadata (``schemas.MARKET_PAYLOAD``),
+    ``event_tags`` the tags per event id (``schemas.EVENT_TAGS``). Requested
+    ids without metadata become ghost rows. An event with an id takes its tags
+    from ``event_tags`` only (none when that lookup has no row); the payload's
+    own tags are used only for events without an id.
+    """
+    from ..functions.category import pick_category
+    from ..functions.text import sanitize_text
+
+    p = payload.where(F.col("conditionId").isNotNull() & (F.col("conditionId") != "")) \
+        .withColumn("market_id", F.col("conditionId").cast("string"))
+    event = F.try_element_at(F.col("events"), F.lit(1))
+    p = p.select("*", event.alias("_event"))
+    tags = event_tags.select(F.col("event_id").alias("_event_id"), F.col("tags").alias("_tags"))
+    p = p.join(tags, F.col("_event.id") == F.col("_event_id"), "left")
+    has_event_id = F.col("_event.id").isNotNull() & (F.col("_event.id") != "")
+    market_tags = F.when(has_event_id, F.coalesce("_tags", F.array())) \
+        .otherwise(F.coalesce(F.col("_event.tags"), F.array()))
+    picked = pick_category(market_tags, first_wins)
+    status = _resolution_status(F.col("umaResolutionStatus"), F.col("umaResolutionStatuses"))
+    found = p.select(
+        "market_id",
+        _text_or_unknown(sanitize_text(F.col("question"))).alias("question"),
+        _text_or_unknown(sanitize_text(F.col("_event.title"))).alias("event_title"),
+        picked["category"].alias("category"),
+        picked["category_slug"].alias("category_slug"),
+        _end_date_text(F.col("endDateIso"), F.col("endDate")).alias("end_date"),
+        F.coalesce(F.col("closed"), F.lit(False)).alias("closed"),
+        status.alias("resolution_status"),
+        F.lit(False).alias("is_ghost"),
+    )
+    requested = ids.select(F.col("market_id").cast("string").alias("market_id")).distinct()
+    j = requested.join(found, "market_id", "left")
+    ghost = F.col("is_ghost").isNull()
+    return j.select(
+        "market_id",
+        F.when(ghost, F.lit(S.GHOST_QUESTION)).otherwise(F.col("question")).alias("question"),
+        F.when(ghost, F.lit(S.ENRICH_UNKNOWN)).otherwise(F.col("event_title")).alias("event_title"),
+        F.when(ghost, F.lit(S.ENRICH_UNKNOWN)).otherwise(F.col("category")).alias("category"),
+        F.when(ghost, F.lit(S.ENRICH_UNKNOWN_SLUG)).otherwise(F.col("category_slug"))
+         .alias("category_slug"),
+        "end_date",
+        "closed",
+        "resolution_status",
+        F.coalesce(F.col("is_ghost"), F.lit(True)).alias("is_ghost"),
+    )
+
+
+def _text_or_unknown(c):
+    """``text or 'Unknown'``: NULL and empty both default."""
+    return F.coalesce(F.nullif(c, F.lit("")), F.lit(S.ENRICH_UNKNOWN))
+
+
+def _first_truthy(*cols):
+    return F.coalesce(*[F.nullif(c, F.lit("")) for c in cols])
+
+
+_ISO_DATE = r"^(\d{4}-\d{2}-\d{2})([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?)?(Z|[+-]\d{2}:?\d{2})?$"
+
+
+def _end_date_text(iso, other):
+    """First non-empty of the two end-date fields, parsed per row to
+    ``YYYY-MM-DD`` (NULL when unparseable). ISO text keeps its own calendar
+    date; anything else goes through a timestamp cast."""
+    raw = F.trim(_first_truthy(iso, other))
+    iso_day = F.when(raw.rlike(_ISO_DATE),
+                     F.try_to_date(F.regexp_extract(raw, _ISO_DATE, 1), "yyyy-MM-dd"))
+    day = F.coalesce(iso_day, F.to_date(raw.try_cast("timestamp")))
+    return F.date_format(day, "yyyy-MM-dd")
+
+
+def _resolution_status(single, many):
+    """First truthy of the two status fields; '[]' / '' -> NULL, a JSON list
+    -> its first element."""
+    raw = _first_truthy(single, many)
+    as_list = F.from_json(raw, "array<string>")
+    first = F.when(F.trim(raw).startswith("["), F.try_element_at(as_list, F.lit(1)))
+    return F.when(raw.isNull() | (F.trim(raw) == "[]"), F.lit(None).cast("string")) \
+        .when(F.trim(raw).startswith("["), first).otherwise(raw)

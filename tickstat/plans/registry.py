@@ -201,3 +201,113 @@ QUERIES.update({
     "ghost_ratio": q_ghost_ratio,
     "share_sum_check": q_share_sum_check,
 })
+
+
+# ------------------------------------------- sources, sinks and enrichment
+from ..functions.category import pick_category  # noqa: E402
+from ..functions.columns import in_window  # noqa: E402
+from ..functions.text import sanitize_text  # noqa: E402
+from ..operators import sinks as SK  # noqa: E402
+from ..sources import raw as RAW  # noqa: E402
+
+# Fixed values of the replace and merge fixtures.
+REPLACE_WINDOW = ("2024-01-10", "2024-01-20")
+REPLACE_EMPTIED = "2024-01-15"
+
+
+def q_partition_row_counts(spark, sf_dir):
+    return RAW.partition_row_counts(orderbook(spark, sf_dir))
+
+
+def _expected_slots(spark, sf_dir):
+    return RAW.hour_slots_between(RAW.data_hour_bounds(orderbook(spark, sf_dir)))
+
+
+def q_hour_slots(spark, sf_dir):
+    return _expected_slots(spark, sf_dir)
+
+
+def q_missing_slots(spark, sf_dir):
+    landed = RAW.landed_slots_from_data(orderbook(spark, sf_dir))
+    return RAW.missing_slots(_expected_slots(spark, sf_dir), landed)
+
+
+def q_slot_completeness(spark, sf_dir):
+    landed = RAW.landed_slots_from_data(orderbook(spark, sf_dir))
+    return RAW.completeness(RAW.slot_status(_expected_slots(spark, sf_dir), landed))
+
+
+def q_window_replace(spark, sf_dir):
+    act = activity(spark, sf_dir)
+    existing = act.withColumn("version", F.lit("old"))
+    fresh = act.where(in_window("date", *REPLACE_WINDOW)
+                      & (F.col("date") != F.lit(REPLACE_EMPTIED).cast("date"))) \
+        .withColumn("version", F.lit("new"))
+    return SK.window_replace(existing, fresh, *REPLACE_WINDOW)
+
+
+def merge_fixture(spark, sf_dir):
+    """Target: dimension rows with key % 3 = 0. Source: the other rows, plus
+    changed copies of target rows with key % 5 = 0 (must not update) and a
+    second, different row for key 1 (a duplicate source key)."""
+    d = dim(spark, sf_dir).withColumn("_k", FX.market_key())
+    target = d.where(F.col("_k") % 3 == 0).drop("_k")
+    changed = d.where((F.col("_k") % 3 == 0) & (F.col("_k") % 5 == 0)) \
+        .withColumn("question", F.lit("changed")).drop("_k")
+    dup = d.where(F.col("_k") == 1) \
+        .withColumn("question", F.concat("question", F.lit(" (dup)"))).drop("_k")
+    source = d.where(F.col("_k") % 3 != 0).drop("_k").unionByName(changed).unionByName(dup)
+    return target, source
+
+
+def q_insert_only_merge(spark, sf_dir):
+    target, source = merge_fixture(spark, sf_dir)
+    return SK.insert_only_merge(target, source, "market_id")
+
+
+def q_file_inventory(spark, sf_dir):
+    return RAW.file_inventory(spark, sf_dir)
+
+
+def q_parquet_integrity(spark, sf_dir):
+    return RAW.parquet_integrity(RAW.file_inventory(spark, sf_dir))
+
+
+def q_new_market_ids(spark, sf_dir):
+    return M.new_market_ids(orderbook(spark, sf_dir), dim(spark, sf_dir))
+
+
+def q_pick_category(spark, sf_dir):
+    tagged = FX.market_tags_from_customer(table(spark, sf_dir, "customer"))
+    picked = pick_category(F.col("tags"))
+    return tagged.select("market_id", picked["category"].alias("category"),
+                         picked["category_slug"].alias("category_slug"))
+
+
+def q_sanitize_text(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", sanitize_text("text").alias("text"))
+
+
+def q_ghost_fill(spark, sf_dir):
+    customer = table(spark, sf_dir, "customer")
+    target = dim(spark, sf_dir).where(FX.market_key() % 3 == 0)
+    ids = M.new_market_ids(orderbook(spark, sf_dir), target)
+    return M.enrich_markets(ids, FX.market_payload_from_customer(customer),
+                            FX.event_tags_from_customer(customer))
+
+
+QUERIES.update({
+    "partition_row_counts": q_partition_row_counts,
+    "hour_slots": q_hour_slots,
+    "missing_slots": q_missing_slots,
+    "slot_completeness": q_slot_completeness,
+    "window_replace": q_window_replace,
+    "insert_only_merge": q_insert_only_merge,
+    "file_inventory": q_file_inventory,
+    "parquet_integrity": q_parquet_integrity,
+    "new_market_ids": q_new_market_ids,
+    "pick_category": q_pick_category,
+    "sanitize_text": q_sanitize_text,
+    "ghost_fill": q_ghost_fill,
+})

@@ -108,3 +108,96 @@ def dim_from_customer(customer: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("resolution_status"),
         (k % 11 == 0).alias("is_ghost"),
     )
+
+
+# --------------------------------------------------------------------------
+# Market metadata from ``customer`` (for discovery, enrichment and merges).
+#
+# Tag list: bit i of the key's tag number selects tag i of TAG_POOL (in this
+# order). The pool puts a rewards label, an empty label and a free label ahead
+# of the eight canonical tags, so every branch of the category choice occurs.
+# --------------------------------------------------------------------------
+TAG_POOL = (
+    ("9001", "Weekly Rewards"),
+    ("9002", ""),
+    ("9003", "Hot Topics"),
+    ("596", "Culture"),
+    ("120", "Finance"),
+    ("2", "Politics"),
+    ("100265", "Geopolitics"),
+    ("21", "Crypto"),
+    ("100639", "Games"),
+    ("1", "Sports"),
+    ("1401", "Tech"),
+)
+
+
+def tags_for(n: Column) -> Column:
+    """array<struct<id, label>>: TAG_POOL entries whose bit is set in n."""
+    picked = [F.when(F.shiftright(n, i).bitwiseAND(1) == 1,
+                     F.struct(F.lit(tid).alias("id"), F.lit(label).alias("label")))
+              for i, (tid, label) in enumerate(TAG_POOL)]
+    return F.filter(F.array(*picked), lambda t: t.isNotNull())
+
+
+def market_key(market_id: str | Column = "market_id") -> Column:
+    c = F.col(market_id) if isinstance(market_id, str) else market_id
+    return F.substring(c, 2, 64).cast("long")
+
+
+def market_tags_from_customer(customer: DataFrame) -> DataFrame:
+    """(market_id, tags) with tags chosen by the bits of c_custkey."""
+    k = F.col("c_custkey")
+    return customer.select(F.concat(F.lit("m"), k.cast("string")).alias("market_id"),
+                           tags_for(k).alias("tags"))
+
+
+def market_payload_from_customer(customer: DataFrame) -> DataFrame:
+    """Landed market metadata (``schemas.MARKET_PAYLOAD``); markets with
+    c_custkey % 5 = 0 are absent (the source returns nothing for them).
+
+    events: none when k % 6 = 0; else one event, id NULL when k % 4 = 0 (its
+    own tags are then used) else 'e' || (k % 10), title 'Évent <k % 10>\\n'.
+    endDateIso: NULL when k % 7 = 0, '' when k % 5 = 1, else 2024-01-01 +
+    (k % 60) days; endDate: NULL when k % 7 = 0, else 2024-01-01 + (k % 45)
+    days at 12:00Z. closed: NULL when k % 8 = 0, else c_acctbal < 0.
+    umaResolutionStatus: 'resolved' (k % 3 = 0), '' (k % 3 = 1), else NULL;
+    umaResolutionStatuses: '["disputed","resolved"]' (k % 4 = 0), '[]'
+    (k % 4 = 1), else NULL.
+    """
+    k = F.col("c_custkey")
+    base = F.lit("2024-01-01").cast("date")
+    event = F.struct(
+        F.when(k % 4 != 0, F.concat(F.lit("e"), (k % 10).cast("string"))).alias("id"),
+        F.concat(F.lit("Évent "), (k % 10).cast("string"), F.lit("\n")).alias("title"),
+        tags_for(k).alias("tags"),
+    )
+    return customer.where(k % 5 != 0).select(
+        F.concat(F.lit("m"), k.cast("string")).alias("conditionId"),
+        F.col("c_name").alias("question"),
+        F.when(k % 6 == 0, F.array().cast("array<struct<id:string,title:string,"
+                                          "tags:array<struct<id:string,label:string>>>>"))
+         .otherwise(F.array(event)).alias("events"),
+        F.when(k % 7 == 0, F.lit(None).cast("string"))
+         .when(k % 5 == 1, F.lit(""))
+         .otherwise(F.date_format(F.date_add(base, (k % 60).cast("int")), "yyyy-MM-dd"))
+         .alias("endDateIso"),
+        F.when(k % 7 != 0, F.concat(F.date_format(F.date_add(base, (k % 45).cast("int")),
+                                                  "yyyy-MM-dd"), F.lit("T12:00:00Z")))
+         .alias("endDate"),
+        F.when(k % 8 != 0, F.col("c_acctbal") < 0).alias("closed"),
+        F.when(k % 3 == 0, F.lit("resolved")).when(k % 3 == 1, F.lit("")).alias(
+            "umaResolutionStatus"),
+        F.when(k % 4 == 0, F.lit('["disputed","resolved"]')).when(k % 4 == 1, F.lit("[]"))
+         .alias("umaResolutionStatuses"),
+    )
+
+
+def event_tags_from_customer(customer: DataFrame) -> DataFrame:
+    """Tags per event id 'e0'..'e9' (only events 'e0'..'e7' answered; the
+    others stand for a failed lookup). Tag bits: j * 113."""
+    j = F.col("c_custkey") % 10
+    return customer.select(j.alias("j")).distinct().where(F.col("j") < 8).select(
+        F.concat(F.lit("e"), F.col("j").cast("string")).alias("event_id"),
+        tags_for(F.col("j") * 113).alias("tags"),
+    )
