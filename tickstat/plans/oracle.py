@@ -694,3 +694,41 @@ SELECT
        ELSE f.raw_status END AS resolution_status,
   f.market_id IS NULL AS is_ghost
 FROM ids i LEFT JOIN found f ON i.market_id = f.market_id""", extra=ENRICH)
+
+
+# ------------------------------------------------------------------- tiles
+SQL["daily_ticks"] = with_ctes(["activity"], """
+SELECT date, SUM(tick_count) AS tick_count FROM activity GROUP BY date""",
+                               bigint_cols=["tick_count"])
+SQL["category_daily_ticks"] = with_ctes(["activity"], """
+SELECT date, SUM(tick_count) AS tick_count FROM activity WHERE category = 'MACHINERY'
+GROUP BY date""", bigint_cols=["tick_count"])
+SQL["category_share"] = with_ctes(["activity"], """
+SELECT date, category, tick_count,
+  tick_count / SUM(tick_count) OVER (PARTITION BY date) AS tick_share
+FROM activity""", round_cols=["tick_share"])
+SQL["spread_heartbeat"] = with_ctes(["ticks"], """
+SELECT date, "hour", avg_spread, tick_count FROM over_time""", round_cols=["avg_spread"],
+                                    extra=OVER_TIME)
+SQL["tier_share"] = with_ctes(["ticks"], """
+SELECT date, spread_tier, tick_count,
+  tick_count / SUM(tick_count) OVER (PARTITION BY date) AS tick_share
+FROM distribution""", round_cols=["tick_share"], extra=DISTRIBUTION)
+SQL["market_lifecycle"] = with_ctes(["history"], """
+SELECT date, market_id, question, yes_avg_bid, tick_count FROM history
+WHERE question = 'Customer#000000001'""", round_cols=["yes_avg_bid"])
+SQL["expiry_segmentation"] = with_ctes(["history"], """
+SELECT expiry_bucket, expiry_bucket_order, SUM(market_count) AS market_days,
+  SUM(total_tick_count) AS tick_count
+FROM expiry GROUP BY 1, 2""", bigint_cols=["market_days", "tick_count"], extra=EXPIRY)
+SQL["concentration_heatmap"] = with_ctes(["history", "activity"], """
+SELECT date, category, MAX(active_markets) AS active_markets,
+  MAX(top_market_share) AS top_market_share, MAX(top_3_market_share) AS top_3_market_share,
+  MAX(hhi_concentration_index) AS hhi_concentration_index
+FROM conc GROUP BY date, category""", round_cols=[
+    "top_market_share", "top_3_market_share", "hhi_concentration_index"],
+    bigint_cols=["active_markets"], extra=CONC)
+SQL["category_pie"] = with_ctes(["activity"], """
+SELECT category, SUM(tick_count) AS tick_count,
+  SUM(tick_count) / SUM(SUM(tick_count)) OVER () AS tick_share
+FROM activity GROUP BY category""", round_cols=["tick_share"], bigint_cols=["tick_count"])

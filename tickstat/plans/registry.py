@@ -311,3 +311,23 @@ QUERIES.update({
     "sanitize_text": q_sanitize_text,
     "ghost_fill": q_ghost_fill,
 })
+
+
+# ------------------------------------------------------------------- tiles
+from ..operators import tiles as DT  # noqa: E402
+
+# Fixed values of the filtered tiles.
+TILE_CATEGORY = "MACHINERY"
+TILE_QUESTION = "Customer#000000001"
+
+QUERIES.update({
+    "daily_ticks": lambda s, d: DT.daily_ticks(activity(s, d)),
+    "category_daily_ticks": lambda s, d: DT.category_daily_ticks(activity(s, d), TILE_CATEGORY),
+    "category_share": lambda s, d: DT.category_share(activity(s, d)),
+    "spread_heartbeat": lambda s, d: DT.spread_heartbeat(over_time(s, d)),
+    "tier_share": lambda s, d: DT.tier_share(distribution(s, d)),
+    "market_lifecycle": lambda s, d: DT.market_lifecycle(history(s, d), TILE_QUESTION),
+    "expiry_segmentation": lambda s, d: DT.expiry_segmentation(R.expiry_buckets(history(s, d))),
+    "concentration_heatmap": lambda s, d: DT.concentration_heatmap(concentration(s, d)),
+    "category_pie": lambda s, d: DT.category_pie(activity(s, d)),
+})
