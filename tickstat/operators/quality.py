@@ -160,10 +160,14 @@ def quality_report(df: DataFrame, rules, start=None, end=None, date_col: str = "
     return out.orderBy("idx").drop("idx")
 
 
-def gate(report: DataFrame) -> list[dict]:
+def gate(report) -> list[dict]:
     """Raise ``QualityError`` if a blocking rule failed; return all failures
-    (warnings included) as dicts. Collects one row per rule only."""
-    failed = [r.asDict() for r in report.where(~F.col("passed")).collect()]
+    (warnings included) as dicts. ``report`` is a report DataFrame (only its
+    failing rows are collected: one row per rule at most) or its rows."""
+    if isinstance(report, DataFrame):
+        failed = [r.asDict() for r in report.where(~F.col("passed")).collect()]
+    else:
+        failed = [dict(r) for r in report if not r["passed"]]
     blocking = [r for r in failed if r["blocking"]]
     if blocking:
         raise QualityError("; ".join(f"{r['table']}.{r['check']} ({r['violations']})"

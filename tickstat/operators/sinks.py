@@ -3,10 +3,9 @@
 * ``window_replace``  - delete+insert on the date key as a DataFrame operation
   (every date of the window is replaced, including dates that have no fresh
   rows: those end up empty, unlike a plain dynamic overwrite).
-* ``write_window``    - the same on a Parquet table: dynamic partition
-  overwrite for the dates that have fresh rows, then the window's other date
-  folders are removed. The dates written are gathered with ``observe`` during
-  the write (no second pass over the data).
+* ``write_window``    - the same on a Parquet table: one staged write of the
+  fresh rows, then a per-date folder swap; window dates without fresh rows
+  lose their folder.
 * ``overwrite_partitions`` - replace exactly the date partitions present in
   the DataFrame (the raw-table load).
 * ``insert_only_merge`` - insert unmatched keys, never update.
@@ -22,9 +21,10 @@ task, and no explicit partition count is set: AQE sizes the shuffle from
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import _as_date, in_window
@@ -99,21 +99,36 @@ def write_window(fresh: DataFrame, path: str, start, end, cluster_by=(),
                  max_records_per_file: int | None = None) -> list[date]:
     """Delete+insert of ``[start, end)`` on a date-partitioned Parquet table.
 
-    Returns the window dates left empty (their folders removed). ``fresh``
-    must not be a lazy read of ``path`` itself (write it from its sources).
+    The fresh rows are written once, to a staging folder inside the table
+    (``_staging-*``: ignored by readers), then swapped in date by date: a
+    window date with staged rows replaces its folder, a window date without
+    staged rows loses its folder, and staged dates outside the window are
+    appended to (as the source inserts whatever the query returns). Returns
+    the window dates left empty. ``fresh`` must not be a lazy read of ``path``.
     """
     spark = fresh.sparkSession
-    obs = Observation("window_dates")
-    observed = fresh.observe(obs, F.collect_set(partition_col).alias("dates"))
-    overwrite_partitions(observed, path, cluster_by, partition_col, tie_breaker,
-                         max_records_per_file)
-    written = {_as_date(d) for d in (obs.get.get("dates") or [])}
+    root = path.rstrip("/")
+    staging = f"{root}/_staging-{uuid.uuid4().hex}"
+    out = clustered(fresh, cluster_by, partition_col, tie_breaker)
+    _writer(out, partition_col, max_records_per_file).mode("errorifexists").save(staging)
+    _mkdirs(spark, root)
+    staged = {name.split("=", 1)[1]: f"{staging}/{name}"
+              for name in _list_dirs(spark, staging) if name.startswith(f"{partition_col}=")}
+    window = {d.isoformat() for d in date_range(start, end)}
     emptied = []
-    for day in date_range(start, end):
-        if day in written:
-            continue
-        if _delete_dir(spark, f"{path.rstrip('/')}/{partition_col}={day.isoformat()}"):
-            emptied.append(day)
+    for day in sorted(window):
+        target = f"{root}/{partition_col}={day}"
+        if day in staged:
+            _delete_dir(spark, target)
+            _rename(spark, staged[day], target)
+        elif _delete_dir(spark, target):
+            emptied.append(_as_date(day))
+    for day in sorted(set(staged) - window):       # rows outside the window: insert
+        target = f"{root}/{partition_col}={day}"
+        _mkdirs(spark, target)
+        for name in _list_files(spark, staged[day]):
+            _rename(spark, f"{staged[day]}/{name}", f"{target}/{name}")
+    _delete_dir(spark, staging)
     return emptied
 
 
@@ -162,3 +177,30 @@ def _exists(spark, path: str) -> bool:
 def _delete_dir(spark, path: str) -> bool:
     fs, p = _fs_path(spark, path)
     return bool(fs.exists(p) and fs.delete(p, True))
+
+
+def _mkdirs(spark, path: str) -> None:
+    fs, p = _fs_path(spark, path)
+    fs.mkdirs(p)
+
+
+def _rename(spark, src: str, dst: str) -> None:
+    fs, p = _fs_path(spark, src)
+    if not fs.rename(p, _fs_path(spark, dst)[1]):
+        raise OSError(f"rename {src} -> {dst} failed")
+
+
+def _list(spark, path: str, dirs: bool) -> list[str]:
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p)
+            if bool(st.isDirectory()) == dirs and not st.getPath().getName().startswith(("_", "."))]
+
+
+def _list_dirs(spark, path: str) -> list[str]:
+    return _list(spark, path, True)
+
+
+def _list_files(spark, path: str) -> list[str]:
+    return _list(spark, path, False)
