@@ -43,21 +43,26 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Read from ``spark.checkpoint.dir``; only when the session has none (local
-    tests) a scratch folder is created and registered.
+    Spark applies ``spark.checkpoint.dir`` when the context starts; that value
+    is used as is. Only a session without one (local tests) gets a scratch
+    folder.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
     if current:
-        spark.sparkContext.setCheckpointDir(current)
         return current
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if configured:
+        sc.setCheckpointDir(configured)
+        return configured
     local = tempfile.mkdtemp(prefix="tickstat-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
+    sc.setCheckpointDir(local)
     return local
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app_name: str = "tickstat") -> SparkSession:
+                  app_name: str = "tickstat", checkpoint: str | None = None,
+                  event_log: str | None = None) -> SparkSession:
     """Session for tests and the local bench (never used on a cluster)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -67,6 +72,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("TICKSTAT_DRIVER_MEMORY", "8g"))
     )
+    if checkpoint:
+        builder = builder.config("spark.checkpoint.dir", checkpoint)
+    if event_log:
+        builder = (builder.config("spark.eventLog.enabled", "true")
+                   .config("spark.eventLog.dir", event_log))
     for key, value in SESSION_CONF.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

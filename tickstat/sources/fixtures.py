@@ -44,70 +44,60 @@ from .. import schemas as S
 SNAPSHOT_PAYLOAD = '[{"price":"0.5","size":"10"}]'
 
 
-def mills_text(n: Column) -> Column:
-    """Decimal text of an integer number of thousandths: 1029 -> '1.029',
-    -4 -> '-0.004'."""
-    a = F.abs(n)
-    return F.concat(
-        F.when(n < 0, F.lit("-")).otherwise(F.lit("")),
-        ((a - a % 1000) / 1000).cast("long").cast("string"),
-        F.lit("."),
-        F.lpad((a % 1000).cast("string"), 3, "0"),
-    )
+def _mills_sql(n: str) -> str:
+    """SQL text: decimal text of an integer number of thousandths
+    (1029 -> '1.029', -4 -> '-0.004')."""
+    return (f"concat(CASE WHEN ({n}) < 0 THEN '-' ELSE '' END, "
+            f"CAST(div(abs({n}), 1000) AS STRING), '.', "
+            f"lpad(CAST(abs({n}) % 1000 AS STRING), 3, '0'))")
+
+
+_BID = "CASE WHEN user_id % 29 = 0 THEN 500 ELSE (event_id * 37 + user_id * 13) % 1030 END"
+_ASK = f"({_BID}) + ((event_id * 7 + user_id * 3) % 80 - 4)"
+_SIDE = "CASE WHEN event_id % 97 = 0 THEN 'MAYBE' WHEN event_id % 2 = 0 THEN 'YES' ELSE 'NO' END"
+
+# One projection (a single expression tree per column) keeps plan building
+# cheap; to_json drops NULL fields, which is how the bid key goes missing.
+_ORDERBOOK_SQL = [
+    "CAST(ts AS TIMESTAMP) AS timestamp_received",
+    "CAST(ts AS TIMESTAMP) - INTERVAL 23 MILLISECONDS AS timestamp_created_at",
+    "concat('m', CAST(user_id AS STRING)) AS market_id",
+    f"CASE WHEN event_type = 'error' THEN '{S.UPDATE_BOOK_SNAPSHOT}' "
+    f"ELSE '{S.UPDATE_PRICE_CHANGE}' END AS update_type",
+    f"""CASE WHEN event_type = 'error' THEN '{SNAPSHOT_PAYLOAD}' ELSE to_json(named_struct(
+        'update_type', '{S.UPDATE_PRICE_CHANGE}',
+        'market_id', concat('m', CAST(user_id AS STRING)),
+        'token_id', CAST(event_id AS STRING),
+        'side', {_SIDE},
+        'best_bid', CASE WHEN event_id % 101 <> 0 THEN {_mills_sql(_BID)} END,
+        'best_ask', {_mills_sql(_ASK)},
+        'change_size', CAST(event_id % 50 AS STRING),
+        'change_side', 'BUY')) END AS data""",
+]
+
+_DIM_SQL = [
+    "concat('m', CAST(c_custkey AS STRING)) AS market_id",
+    "c_name AS question",
+    "concat('ev', CAST(c_custkey % 10 AS STRING)) AS event_title",
+    "CASE WHEN c_custkey % 13 <> 0 THEN c_mktsegment END AS category",
+    "CASE WHEN c_custkey % 13 <> 0 THEN lower(c_mktsegment) END AS category_slug",
+    "CASE WHEN c_custkey % 7 = 0 THEN CAST(NULL AS STRING) WHEN c_custkey % 17 = 0 THEN 'junk' "
+    "ELSE date_format(date_add(DATE'2024-01-01', CAST(c_custkey % 60 AS INT)), 'yyyy-MM-dd') END "
+    "AS end_date",
+    "c_acctbal < 0 AS closed",
+    "CAST(NULL AS STRING) AS resolution_status",
+    "c_custkey % 11 = 0 AS is_ghost",
+]
 
 
 def orderbook_from_events(events: DataFrame) -> DataFrame:
     """Raw order-book rows (``schemas.RAW_ORDERBOOK``) from ``events``."""
-    e = F.col("event_id")
-    u = F.col("user_id")
-    bid_mills = F.when(u % 29 == 0, F.lit(500)).otherwise((e * 37 + u * 13) % 1030)
-    spread_mills = (e * 7 + u * 3) % 80 - 4
-    side = (F.when(e % 97 == 0, F.lit("MAYBE"))
-            .when(e % 2 == 0, F.lit("YES"))
-            .otherwise(F.lit("NO")))
-    market = F.concat(F.lit("m"), u.cast("string"))
-    # to_json drops NULL fields, which is how the bid key goes missing.
-    payload = F.to_json(F.struct(
-        F.lit(S.UPDATE_PRICE_CHANGE).alias("update_type"),
-        market.alias("market_id"),
-        e.cast("string").alias("token_id"),
-        side.alias("side"),
-        F.when(e % 101 != 0, mills_text(bid_mills)).alias("best_bid"),
-        mills_text(bid_mills + spread_mills).alias("best_ask"),
-        (e % 50).cast("string").alias("change_size"),
-        F.lit("BUY").alias("change_side"),
-    ))
-    is_snapshot = F.col("event_type") == "error"
-    received = F.col("ts").cast("timestamp")
-    return events.select(
-        received.alias("timestamp_received"),
-        (received - F.expr("INTERVAL 23 MILLISECONDS")).alias("timestamp_created_at"),
-        market.alias("market_id"),
-        F.when(is_snapshot, F.lit(S.UPDATE_BOOK_SNAPSHOT))
-         .otherwise(F.lit(S.UPDATE_PRICE_CHANGE)).alias("update_type"),
-        F.when(is_snapshot, F.lit(SNAPSHOT_PAYLOAD)).otherwise(payload).alias("data"),
-    )
+    return events.selectExpr(*_ORDERBOOK_SQL)
 
 
 def dim_from_customer(customer: DataFrame) -> DataFrame:
     """Market dimension rows (``schemas.DIM_MARKETS``) from ``customer``."""
-    k = F.col("c_custkey")
-    no_category = k % 13 == 0
-    end_date = (F.when(k % 7 == 0, F.lit(None).cast("string"))
-                .when(k % 17 == 0, F.lit("junk"))
-                .otherwise(F.date_format(F.date_add(F.lit("2024-01-01").cast("date"),
-                                                    (k % 60).cast("int")), "yyyy-MM-dd")))
-    return customer.where(k % 19 != 0).select(
-        F.concat(F.lit("m"), k.cast("string")).alias("market_id"),
-        F.col("c_name").alias("question"),
-        F.concat(F.lit("ev"), (k % 10).cast("string")).alias("event_title"),
-        F.when(~no_category, F.col("c_mktsegment")).alias("category"),
-        F.when(~no_category, F.lower("c_mktsegment")).alias("category_slug"),
-        end_date.alias("end_date"),
-        (F.col("c_acctbal") < 0).alias("closed"),
-        F.lit(None).cast("string").alias("resolution_status"),
-        (k % 11 == 0).alias("is_ghost"),
-    )
+    return customer.where("c_custkey % 19 <> 0").selectExpr(*_DIM_SQL)
 
 
 # --------------------------------------------------------------------------

@@ -4,21 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Inputs up to this size may be re-spread over all cores; larger ones never are.
+SMALL_INPUT_BYTES = 256 * 1024 * 1024
 
-def spread_if_narrow(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than the cluster has
-    cores (a single-row-group file is read by one task, and every narrow step
-    after it - JSON parsing included - would run on one core).
 
-    Large inputs are split into many more scan partitions than cores, so this
-    never adds a shuffle at scale; it only spreads small inputs.
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path`` (one file-system call)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
+def spread_if_small(df: DataFrame, size_bytes: int) -> DataFrame:
+    """Round-robin a small input over all cores.
+
+    A small Parquet file is often one row group, which Spark reads in a single
+    task; every narrow step after the scan (JSON parsing included) would then
+    run on one core. Spreading a table of at most ``SMALL_INPUT_BYTES`` costs a
+    shuffle of at most that much; larger tables are split into many scan
+    partitions by Spark itself and are returned untouched, so this never adds
+    a shuffle of big data.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
+    if size_bytes <= SMALL_INPUT_BYTES:
+        return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
     return df
 
 
 def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
-    """``<directory>/<name>.parquet`` with its partitioning evened out."""
-    return spread_if_narrow(spark.read.parquet(f"{directory.rstrip('/')}/{name}.parquet"))
+    """``<directory>/<name>.parquet``, spread over the cores when small."""
+    path = f"{directory.rstrip('/')}/{name}.parquet"
+    return spread_if_small(spark.read.parquet(path), input_bytes(spark, path))
