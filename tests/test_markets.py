@@ -85,3 +85,29 @@ def test_insert_only_merge_dedups_and_never_updates(spark):
     assert out == [("a", "old"), ("b", "x")]
     fanned = SK.insert_only_merge(target, source, dedup=False).count()
     assert fanned == 3
+
+
+def test_landed_payload_round_trip(spark):
+    import tempfile
+
+    from conftest import SF_SMALL
+    from tickstat.plans import registry as G
+    from tickstat.sources import fixtures as FX
+    from tickstat.sources.payload import read_event_tags, read_market_payload
+
+    base = tempfile.mkdtemp(prefix="ts-payload-")
+    customer = G.table(spark, SF_SMALL, "customer")
+    FX.market_payload_from_customer(customer).write.json(f"{base}/markets")
+    FX.event_tags_from_customer(customer).write.json(f"{base}/tags")
+    with open(f"{base}/markets/extra.json", "w") as f:      # a list-valued status, a bad line
+        f.write('{"conditionId": "x1", "question": "Q", "umaResolutionStatuses": ["a", "b"]}\n')
+        f.write('{not json\n')
+    payload = read_market_payload(spark, f"{base}/markets")
+    tags = read_event_tags(spark, f"{base}/tags")
+    ids = spark.createDataFrame([("x1",), ("m1",), ("m5",)], "market_id string")
+    out = {r.market_id: r for r in M.enrich_markets(ids, payload, tags).collect()}
+    assert out["x1"].resolution_status == "a" and not out["x1"].is_ghost
+    assert out["m5"].is_ghost and not out["m1"].is_ghost
+    direct = {r.market_id: r for r in M.enrich_markets(
+        ids, FX.market_payload_from_customer(customer), FX.event_tags_from_customer(customer)).collect()}
+    assert out["m1"] == direct["m1"]

@@ -55,3 +55,8 @@ def test_single_pass(spark, df):
     rep = Q.quality_report(df, [Q.not_null("k"), Q.positive("n"), Q.max_("x", 1.0)])
     plan = rep._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate") == 1
+
+
+def test_empty_dates(spark, df):
+    out = [str(r.date) for r in Q.empty_dates(df, "2023-12-31", "2024-01-04").orderBy("date").collect()]
+    assert out == ["2023-12-31", "2024-01-03"]

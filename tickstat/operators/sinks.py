@@ -72,9 +72,18 @@ def dedup_by_key(df: DataFrame, keys: list[str]) -> DataFrame:
 
 # ------------------------------------------------------------------ layout
 def clustered(df: DataFrame, cluster_by=(), partition_col: str = "date",
-              tie_breaker: str | None = None) -> DataFrame:
+              tie_breaker: str | None = None, by_range: bool = True) -> DataFrame:
+    """Layout for a date-partitioned write.
+
+    ``by_range`` (large tables): range partitioning on (date, keys,
+    tie-breaker), so a date is written by many tasks and a hot key is split
+    by the tie-breaker. Otherwise (facts with one row per market-day or
+    less): hash on the date only, one task and one sorted file per date, no
+    sampling job."""
     keys = [partition_col, *cluster_by] + ([tie_breaker] if tie_breaker else [])
-    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    if by_range:
+        return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    return df.repartition(partition_col).sortWithinPartitions(*keys)
 
 
 def _writer(df: DataFrame, partition_col: str, max_records_per_file: int | None):
@@ -86,17 +95,18 @@ def _writer(df: DataFrame, partition_col: str, max_records_per_file: int | None)
 
 def overwrite_partitions(df: DataFrame, path: str, cluster_by=(), partition_col: str = "date",
                          tie_breaker: str | None = None,
-                         max_records_per_file: int | None = None) -> None:
+                         max_records_per_file: int | None = None,
+                         by_range: bool = True) -> None:
     """Replace exactly the partitions present in ``df`` (dynamic overwrite);
     other dates are untouched."""
-    out = clustered(df, cluster_by, partition_col, tie_breaker)
+    out = clustered(df, cluster_by, partition_col, tie_breaker, by_range)
     (_writer(out, partition_col, max_records_per_file)
      .option("partitionOverwriteMode", "dynamic").mode("overwrite").save(path))
 
 
 def write_window(fresh: DataFrame, path: str, start, end, cluster_by=(),
                  partition_col: str = "date", tie_breaker: str | None = None,
-                 max_records_per_file: int | None = None) -> list[date]:
+                 max_records_per_file: int | None = None, by_range: bool = True) -> list[date]:
     """Delete+insert of ``[start, end)`` on a date-partitioned Parquet table.
 
     The fresh rows are written once, to a staging folder inside the table
@@ -109,7 +119,7 @@ def write_window(fresh: DataFrame, path: str, start, end, cluster_by=(),
     spark = fresh.sparkSession
     root = path.rstrip("/")
     staging = f"{root}/_staging-{uuid.uuid4().hex}"
-    out = clustered(fresh, cluster_by, partition_col, tie_breaker)
+    out = clustered(fresh, cluster_by, partition_col, tie_breaker, by_range)
     _writer(out, partition_col, max_records_per_file).mode("errorifexists").save(staging)
     _mkdirs(spark, root)
     staged = {name.split("=", 1)[1]: f"{staging}/{name}"

@@ -51,6 +51,10 @@ CLUSTER = {
     "category_concentration": (["category", "market_id"], None),
 }
 
+# tick-sized tables are range partitioned; facts (a market-day per row or
+# coarser) get one task per date
+BY_RANGE = {"price_changes"}
+
 RULES = {
     "price_changes": Q.ticks_rules,
     "market_history": Q.history_rules,
@@ -96,7 +100,7 @@ def run_window(spark: SparkSession, raw: DataFrame, dim: DataFrame, out_root: st
         keys, tie = CLUSTER[name]
         schemas[name] = df.schema
         result.emptied[name] = SK.write_window(df, paths[name], start, end, cluster_by=keys,
-                                               tie_breaker=tie)
+                                               tie_breaker=tie, by_range=name in BY_RANGE)
 
     def read(name: str) -> DataFrame:
         return read_window(spark, paths[name], start, end, schemas[name])

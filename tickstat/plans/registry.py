@@ -20,6 +20,7 @@ from ..operators import markets as M
 from ..operators import reports as R
 from ..operators import ticks as K
 from ..sources import fixtures as FX
+from ..session import checkpoint_dir
 from ..sources.tables import read_table
 
 ROUND_DIGITS = 9
@@ -159,14 +160,18 @@ def q_quality_markets(spark, sf_dir):
 
 
 def q_quality_facts(spark, sf_dir):
-    stats = _stats(spark, sf_dir)
+    # six facts share the ticks and the market-day aggregate: cut both to the
+    # checkpoint folder once instead of re-deriving them per fact
+    checkpoint_dir(spark)
+    tk = ticks(spark, sf_dir).checkpoint(eager=True)
+    stats = R.market_day_stats(tk).checkpoint(eager=True)
     hist = history(spark, sf_dir, stats)
     act = activity(spark, sf_dir, stats)
     parts = [
         Q.quality_report(act, Q.activity_rules(), table="category_activity"),
         Q.quality_report(hist, Q.history_rules(), table="market_history"),
-        Q.quality_report(over_time(spark, sf_dir), Q.over_time_rules(), table="spread_over_time"),
-        Q.quality_report(distribution(spark, sf_dir), Q.distribution_rules(),
+        Q.quality_report(R.spread_over_time(tk), Q.over_time_rules(), table="spread_over_time"),
+        Q.quality_report(R.spread_distribution(tk), Q.distribution_rules(),
                          table="spread_distribution"),
         Q.quality_report(R.expiry_buckets(hist), Q.expiry_rules(), table="expiry_buckets"),
         Q.quality_report(R.category_concentration(hist, act), Q.concentration_rules(),

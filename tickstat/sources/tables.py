@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Inputs up to this size may be re-spread over all cores; larger ones never are.
+# Inputs up to this size may be re-spread over the cores; larger ones never are.
 SMALL_INPUT_BYTES = 256 * 1024 * 1024
+# ... in slices of about this many bytes (at most one per core).
+SPREAD_SLICE_BYTES = 256 * 1024
 
 
 def input_bytes(spark: SparkSession, path: str) -> int:
@@ -27,7 +29,9 @@ def spread_if_small(df: DataFrame, size_bytes: int) -> DataFrame:
     a shuffle of big data.
     """
     if size_bytes <= SMALL_INPUT_BYTES:
-        return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        slices = max(1, -(-size_bytes // SPREAD_SLICE_BYTES))
+        return df.repartition(min(cores, slices))
     return df
 
 
