@@ -20,7 +20,7 @@ from ..operators import markets as M
 from ..operators import reports as R
 from ..operators import ticks as K
 from ..sources import fixtures as FX
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, configure
 from ..sources.tables import read_table
 
 ROUND_DIGITS = 9
@@ -125,8 +125,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: (lambda fn: lambda spark, sf_dir: present(fn(spark, sf_dir)))(fn)
-            for name, fn in QUERIES.items()}
+    """Registered queries; each applies the session settings (UTC, ANSI, ...)
+    to the caller's session before building its plan."""
+    def wrap(fn):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            configure(spark)
+            return present(fn(spark, sf_dir))
+        return run
+    return {name: wrap(fn) for name, fn in QUERIES.items()}
 
 
 # ----------------------------------------------------------- quality rules

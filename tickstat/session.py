@@ -76,7 +76,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         builder = builder.config("spark.checkpoint.dir", checkpoint)
     if event_log:
         builder = (builder.config("spark.eventLog.enabled", "true")
-                   .config("spark.eventLog.dir", event_log))
+                   .config("spark.eventLog.dir", event_log)
+                   .config("spark.eventLog.compress", "false"))
     for key, value in SESSION_CONF.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
