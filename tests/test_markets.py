@@ -111,3 +111,16 @@ def test_landed_payload_round_trip(spark):
     direct = {r.market_id: r for r in M.enrich_markets(
         ids, FX.market_payload_from_customer(customer), FX.event_tags_from_customer(customer)).collect()}
     assert out["m1"] == direct["m1"]
+
+
+def test_end_dates_parse_per_row(spark):
+    # T5: date and datetime text mixed in one column both parse (no per-batch format)
+    rows = [("a", "2024-03-01", None), ("b", "2024-03-02T10:00:00Z", None), ("c", None, "2024-03-03 23:30:00"),
+            ("d", "", "2024-03-04T01:00:00+05:00"), ("e", "not a date", None), ("f", "2024-02-30", None)]
+    payload = spark.createDataFrame(
+        [(i, "q", [], iso, other, False, None, None) for i, iso, other in rows], S.MARKET_PAYLOAD)
+    ids = spark.createDataFrame([(r[0],) for r in rows], "market_id string")
+    tags = spark.createDataFrame([], S.EVENT_TAGS)
+    got = {r.market_id: r.end_date for r in M.enrich_markets(ids, payload, tags).collect()}
+    assert got == {"a": "2024-03-01", "b": "2024-03-02", "c": "2024-03-03", "d": "2024-03-04",
+                   "e": None, "f": None}

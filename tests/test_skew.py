@@ -2,7 +2,6 @@
 partial before any shuffle, and the written layout splits the hot market."""
 
 import datetime as dt
-import os
 import tempfile
 
 import pytest

@@ -4,7 +4,6 @@ import datetime as dt
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from tickstat import schemas as S
 from tickstat.operators import reports as R
