@@ -161,8 +161,8 @@ def append_inserts(target_path: str, source: DataFrame, key="market_id", dedup=T
     target = spark.read.parquet(target_path)
     inserts = merge_inserts(target, source, key, dedup)
     # Cut the lineage to the table being appended to before writing.
-    inserts = inserts.checkpoint(eager=True)
-    inserts.write.format("parquet").mode("append").save(target_path)
+    from ..session import materialize
+    materialize(inserts, "merge_inserts").write.format("parquet").mode("append").save(target_path)
 
 
 # ------------------------------------------------------------- file system

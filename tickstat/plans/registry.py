@@ -20,7 +20,7 @@ from ..operators import markets as M
 from ..operators import reports as R
 from ..operators import ticks as K
 from ..sources import fixtures as FX
-from ..session import checkpoint_dir, configure
+from ..session import configure, materialize
 from ..sources.tables import read_table
 
 ROUND_DIGITS = 9
@@ -166,11 +166,10 @@ def q_quality_markets(spark, sf_dir):
 
 
 def q_quality_facts(spark, sf_dir):
-    # six facts share the ticks and the market-day aggregate: cut both to the
-    # checkpoint folder once instead of re-deriving them per fact
-    checkpoint_dir(spark)
-    tk = ticks(spark, sf_dir).checkpoint(eager=True)
-    stats = R.market_day_stats(tk).checkpoint(eager=True)
+    # six facts share the ticks and the market-day aggregate: write both once
+    # under the checkpoint folder instead of re-deriving them per fact
+    tk = materialize(ticks(spark, sf_dir), "ticks")
+    stats = materialize(R.market_day_stats(tk), "market_day_stats")
     hist = history(spark, sf_dir, stats)
     act = activity(spark, sf_dir, stats)
     parts = [

@@ -83,3 +83,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
+
+
+def materialize(df, name: str = "step"):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and
+    return a DataFrame reading it back.
+
+    Cuts the lineage like ``checkpoint()`` (a lost executor re-reads the
+    files instead of recomputing the plan) but runs the plan once and stores
+    it columnar, so later steps read only the columns they use.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.format("parquet").save(path)
+    return spark.read.schema(df.schema).parquet(path)
