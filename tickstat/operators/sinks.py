@@ -214,3 +214,8 @@ def _list_dirs(spark, path: str) -> list[str]:
 
 def _list_files(spark, path: str) -> list[str]:
     return _list(spark, path, False)
+
+
+def remove_dir(spark, path: str) -> bool:
+    """Delete a folder (recursively) if it exists."""
+    return _delete_dir(spark, path)

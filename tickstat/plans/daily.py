@@ -35,7 +35,7 @@ from ..operators import quality as Q
 from ..operators import reports as R
 from ..operators import sinks as SK
 from ..operators import ticks as K
-from ..session import checkpoint_dir, materialize
+from ..session import materialize, scratch_path
 
 TABLES = ("price_changes", "market_history", "category_activity", "spread_over_time",
           "spread_distribution", "expiry_buckets", "category_concentration")
@@ -91,7 +91,6 @@ def run_window(spark: SparkSession, raw: DataFrame, dim: DataFrame, out_root: st
     stored market dimension. Returns the paths, the window dates left empty
     per table, and the quality report rows.
     """
-    checkpoint_dir(spark)
     paths = {name: _path(out_root, name) for name in TABLES}
     result = RunResult(paths)
     schemas = {}
@@ -111,7 +110,8 @@ def run_window(spark: SparkSession, raw: DataFrame, dim: DataFrame, out_root: st
 
     # 2. market-day aggregate, shared by history and activity
     markets = M.markets_view(dim)
-    stats = materialize(R.market_day_stats(ticks, start, end), "market_day_stats")
+    stats_path = scratch_path(spark, "market_day_stats")
+    stats = materialize(R.market_day_stats(ticks, start, end), path=stats_path)
     write("market_history", R.market_history(None, markets, stats=stats))
     write("category_activity", R.category_activity(None, markets, stats=stats))
 
@@ -131,6 +131,7 @@ def run_window(spark: SparkSession, raw: DataFrame, dim: DataFrame, out_root: st
     for r in reports[1:]:
         report = report.unionByName(r)
     result.report = [r.asDict() for r in report.collect()]   # one row per rule
+    SK.remove_dir(spark, stats_path)
     if gate:
         result.failures = Q.gate(result.report)
     return result

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -85,7 +86,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return configure(spark)
 
 
-def materialize(df, name: str = "step"):
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder name under the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df, name: str = "step", path: str | None = None):
     """Write ``df`` once as Parquet under the shared checkpoint folder and
     return a DataFrame reading it back.
 
@@ -93,9 +99,7 @@ def materialize(df, name: str = "step"):
     files instead of recomputing the plan) but runs the plan once and stores
     it columnar, so later steps read only the columns they use.
     """
-    import uuid
-
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    path = path or scratch_path(spark, name)
     df.write.format("parquet").save(path)
     return spark.read.schema(df.schema).parquet(path)
