@@ -124,3 +124,25 @@ def test_end_dates_parse_per_row(spark):
     got = {r.market_id: r.end_date for r in M.enrich_markets(ids, payload, tags).collect()}
     assert got == {"a": "2024-03-01", "b": "2024-03-02", "c": "2024-03-03", "d": "2024-03-04",
                    "e": None, "f": None}
+
+
+def test_retry_ghosts(spark):
+    row = lambda i, q, ghost: (i, q, "e", None, None, None, None if ghost else False, None, ghost)
+    dim = spark.createDataFrame([row("g", S.GHOST_QUESTION, True), row("k", "kept", False),
+                                 row("g2", S.GHOST_QUESTION, True)], S.DIM_MARKETS)
+    ob = spark.createDataFrame([("g",), ("k",), ("g2",), ("n",)], "market_id string") \
+        .withColumn("timestamp_received", F.current_timestamp())
+    assert sorted(r.market_id for r in M.new_market_ids(ob, dim).collect()) == ["n"]
+    retry = sorted(r.market_id for r in M.new_market_ids(ob, dim, retry_ghosts=True).collect())
+    assert retry == ["g", "g2", "n"]
+    enriched = spark.createDataFrame([row("g", "found now", False), row("g2", S.GHOST_QUESTION, True),
+                                      row("n", "new", False)], S.DIM_MARKETS)
+    out = {r.market_id: r.question for r in M.resolve_ghosts(dim, enriched).collect()}
+    assert out == {"g": "found now", "k": "kept", "g2": S.GHOST_QUESTION}
+
+
+def test_segmentation_dispatch(spark):
+    from tickstat.operators import tiles as DT
+    exp = spark.createDataFrame([("2024-01-01", "0-1d", 1, 2, 5)],
+                                "date string, expiry_bucket string, expiry_bucket_order int, market_count long, total_tick_count long")
+    assert DT.segmentation(exp).first().tick_count == 5

@@ -29,19 +29,35 @@ def markets_view(dim: DataFrame) -> DataFrame:
     )
 
 
-def new_market_ids(orderbook: DataFrame, dim: DataFrame, start=None, end=None) -> DataFrame:
+def new_market_ids(orderbook: DataFrame, dim: DataFrame, start=None, end=None,
+                   retry_ghosts: bool = False) -> DataFrame:
     """Distinct order-book market ids that the dimension does not hold yet.
 
     Both sides are reduced to distinct ids first (partial aggregation), so the
     anti join compares id sets, not ticks. With a window only its dates are
-    scanned (the source scans the whole table)."""
+    scanned (the source scans the whole table). Ghost rows count as held, as
+    in the source (a ghost is never fetched again); ``retry_ghosts=True``
+    requests them again (see ``resolve_ghosts``)."""
     from ..functions.columns import in_window
     ob = orderbook
     if start is not None or end is not None:
         ob = ob.where(in_window(F.to_date("timestamp_received"), start, end))
     ids = ob.where(F.col("market_id").isNotNull()) \
         .select(F.col("market_id").cast("string").alias("market_id")).distinct()
-    return ids.join(dim.select("market_id"), "market_id", "left_anti")
+    held = dim.where(F.col("is_ghost") == F.lit(False)) if retry_ghosts else dim
+    return ids.join(held.select("market_id"), "market_id", "left_anti")
+
+
+def resolve_ghosts(dim: DataFrame, enriched: DataFrame) -> DataFrame:
+    """The dimension with ghost rows replaced by enriched, non-ghost rows of
+    the same id (every other row untouched). Used with
+    ``new_market_ids(retry_ghosts=True)``; ids still unresolved stay ghosts."""
+    resolved = enriched.where(F.col("is_ghost") == F.lit(False))
+    ghosts_fixed = dim.where(F.col("is_ghost") == F.lit(True)) \
+        .join(resolved.select("market_id"), "market_id", "left_semi")
+    kept = dim.join(ghosts_fixed.select("market_id"), "market_id", "left_anti")
+    return kept.unionByName(resolved.join(ghosts_fixed.select("market_id"), "market_id", "left_semi")
+                            .select(*dim.columns))
 
 
 def enrich_markets(ids: DataFrame, payload: DataFrame, event_tags: DataFrame,

@@ -74,3 +74,11 @@ def category_pie(activity: DataFrame) -> DataFrame:
     return per.select("category", "tick_count",
                       (F.col("tick_count") / F.sum("tick_count").over(Window.partitionBy()))
                       .alias("tick_share"))
+
+
+def segmentation(facts: DataFrame) -> DataFrame:
+    """Expiry segmentation for the expiry-bucket fact, the concentration
+    heat-map for the concentration fact."""
+    if "expiry_bucket" in facts.columns:
+        return expiry_segmentation(facts)
+    return concentration_heatmap(facts)
