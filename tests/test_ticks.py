@@ -98,3 +98,14 @@ def test_payload_parsed_once(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("json_tuple") == 1
     assert "get_json_object" not in plan and "from_json" not in plan
+
+
+def test_nested_values_read_as_null(spark):
+    rows = [("price_change", '{"side": "YES", "best_bid": "0.1", "best_ask": "0.2", "token_id": {"a": 1}}', None),
+            ("price_change", '{"side": "YES", "best_bid": "0.1", "best_ask": "0.2", "token_id": "{abc"}', None),
+            ("price_change", '{"side": "YES", "best_bid": [0.1], "best_ask": "0.2"}', None),
+            ("price_change", '{"side": ["YES"], "best_bid": "0.1", "best_ask": "0.2"}', None)]
+    out = K.price_changes(book(spark, rows)).collect()
+    assert sorted((r.token_id or "<null>") for r in out) == ["<null>", "{abc"]
+    rep = K.reject_report(book(spark, rows)).first()
+    assert (rep.missing_bid, rep.unparsable_bid, rep.bad_side, rep.kept) == (1, 0, 1, 2)

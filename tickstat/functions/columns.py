@@ -102,3 +102,18 @@ def expiry_bucket_order(days: str | Column) -> Column:
 def yes_only(value: str | Column, side: str | Column = "side") -> Column:
     """Value on YES-side rows, NULL elsewhere (conditional aggregation)."""
     return F.when(col_(side) == "YES", col_(value))
+
+
+def json_scalar(value: str | Column, data: str | Column, key: str) -> Column:
+    """Scalar-only reading of one ``json_tuple`` field.
+
+    ``json_tuple`` returns an object or array value as its JSON text, where a
+    scalar-only extraction gives NULL. Only values whose text starts with
+    ``{`` or ``[`` can be either; for those rows alone (a CASE branch) the raw
+    payload is checked for the key followed by ``{`` / ``[``, which tells a
+    nested value (-> NULL) from a string that merely starts with a bracket.
+    """
+    v, d = col_(value), col_(data)
+    nested = d.rlike(r'"' + key + r'"\s*:\s*[\[{]')
+    maybe_nested = v.startswith("{") | v.startswith("[")
+    return F.when(maybe_nested & nested, F.lit(None).cast("string")).otherwise(v)

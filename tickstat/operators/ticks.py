@@ -11,7 +11,8 @@ CPU cost, so the transform is shaped around it:
    parse returning every field as text). A generator is used on purpose: the
    guards that follow cannot be pushed below it, so the optimizer cannot
    re-inline one parse per referenced field the way it does for
-   ``get_json_object`` / ``from_json`` columns.
+   ``get_json_object`` / ``from_json`` columns. Fields are read scalar-only
+   (an object or array value is NULL, see ``json_scalar``).
 3. Text -> float64 with ``try_cast``: a malformed price rejects the row (and is
    counted by ``reject_report``) instead of failing a 750M-row job;
    ``strict=True`` restores the hard cast.
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.columns import in_window, to_double
+from ..functions.columns import in_window, json_scalar, to_double
 
 _FIELDS = ("token_id", "side", "best_bid", "best_ask", "change_size", "change_side")
 
@@ -50,10 +51,12 @@ def parsed_price_changes(orderbook: DataFrame, start=None, end=None) -> DataFram
     df = _window_filter(orderbook.where(F.col("update_type") == S.UPDATE_PRICE_CHANGE),
                         start, end)
     parsed = df.select(
-        "timestamp_received", "market_id",
-        F.json_tuple("data", *_FIELDS).alias(*[f"{f}_text" for f in _FIELDS]),
+        "timestamp_received", "market_id", "data",
+        F.json_tuple("data", *_FIELDS).alias(*[f"{f}_raw" for f in _FIELDS]),
     )
-    return parsed
+    return parsed.select(
+        "timestamp_received", "market_id",
+        *[json_scalar(f"{f}_raw", "data", f).alias(f"{f}_text") for f in _FIELDS])
 
 
 def price_changes(orderbook: DataFrame, start=None, end=None, strict: bool = False) -> DataFrame:
