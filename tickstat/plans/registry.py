@@ -31,15 +31,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def present(df: DataFrame) -> DataFrame:
-    cols = []
+    """Doubles rounded, UTC timestamps as wall-clock NTZ (one projection)."""
+    exprs = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
+        name = f"`{f.name}`"
         if isinstance(f.dataType, T.DoubleType):
-            c = F.round(c, ROUND_DIGITS)
+            exprs.append(f"round({name}, {ROUND_DIGITS}) AS {name}")
         elif isinstance(f.dataType, T.TimestampType):
-            c = c.cast("timestamp_ntz")
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+            exprs.append(f"CAST({name} AS TIMESTAMP_NTZ) AS {name}")
+        else:
+            exprs.append(name)
+    return df.selectExpr(*exprs)
 
 
 # ----------------------------------------------------------------- inputs
