@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import math
 from collections import Counter
 
@@ -14,7 +15,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
-    con.execute("SET TimeZone = 'UTC'")
+    con.execute(f"SET TimeZone = '{os.environ.get('DUCK_TZ', 'UTC')}'")
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
     return con
