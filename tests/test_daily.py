@@ -27,6 +27,8 @@ def test_daily_job(spark):
     raw = RAW.scan_raw(spark, f"{root}/raw", start, end)
     res = daily.run_window(spark, raw, dim, f"{root}/out", start, end)
     assert not [r for r in res.report if not r["passed"] and r["blocking"]]
+    raw_checks = [r for r in res.report if r["table"] == "orderbook"]
+    assert len(raw_checks) == 3 and all(r["passed"] for r in raw_checks)   # observed during the parse
 
     def table(name):
         return G.present(spark.read.parquet(res.paths[name]).select(*G.QUERIES[name](spark, SF_SMALL).columns))

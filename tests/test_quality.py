@@ -60,3 +60,14 @@ def test_single_pass(spark, df):
 def test_empty_dates(spark, df):
     out = [str(r.date) for r in Q.empty_dates(df, "2023-12-31", "2024-01-04").orderBy("date").collect()]
     assert out == ["2023-12-31", "2024-01-03"]
+
+
+def test_observed_rules_match_report(spark, df):
+    rules = [Q.not_null("k"), Q.positive("n"), Q.max_("x", 0.9), Q.non_empty(), Q.values_present("k", ["a", "z"])]
+    observed, finish = Q.observe_rules(df, rules, table="t")
+    observed.where(F.col("n") > 100).write.format("noop").mode("overwrite").save()   # filter after observe
+    got = finish()
+    want = [r.asDict() for r in Q.quality_report(df, rules, table="t").collect()]
+    assert got == want
+    with pytest.raises(ValueError):
+        Q.observe_rules(df, [Q.unique("k")])

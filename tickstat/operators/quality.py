@@ -160,6 +160,39 @@ def quality_report(df: DataFrame, rules, start=None, end=None, date_col: str = "
     return out.orderBy("idx").drop("idx")
 
 
+def observe_rules(df: DataFrame, rules, table: str | None = None):
+    """Attach single-pass rules to ``df`` as observed metrics, so they are
+    computed by whatever action later consumes ``df`` (e.g. the write that
+    parses it) instead of by a second scan.
+
+    Returns ``(observed_df, finish)``; after the action, ``finish()`` gives
+    the report rows (same shape as ``quality_report``)."""
+    from pyspark.sql import Observation
+
+    rules = list(rules)
+    if any(r.expr() is None for r in rules):
+        raise ValueError("grouped rules cannot be observed; use quality_report")
+    obs = Observation(f"quality_{table or 'df'}")
+    observed = df.observe(obs, *[r.expr().cast("long").alias(f"r{i}") for i, r in enumerate(rules)])
+
+    def finish() -> list[dict]:
+        try:
+            got = obs.get
+        except Exception:   # noqa: BLE001 - no metrics: the plan was optimized away
+            got = None
+        if not got:
+            # e.g. an input the optimizer proved empty never runs its metrics
+            return [r.asDict() for r in quality_report(df, rules, table=table).collect()]
+        rows = []
+        for i, r in enumerate(rules):
+            v = got.get(f"r{i}") or 0
+            rows.append({"table": table, "check": r.name, "violations": int(v),
+                         "passed": int(v) == 0, "blocking": r.blocking})
+        return rows
+
+    return observed, finish
+
+
 def gate(report) -> list[dict]:
     """Raise ``QualityError`` if a blocking rule failed; return all failures
     (warnings included) as dicts. ``report`` is a report DataFrame (only its

@@ -10,13 +10,12 @@
   the DataFrame (the raw-table load).
 * ``insert_only_merge`` - insert unmatched keys, never update.
 
-Layout (``clustered``): rows are range-partitioned on (date, cluster keys,
-tie-breaker) and sorted within partitions, so each date folder holds files
-covering contiguous key ranges (Parquet min/max statistics then prune reads
-on the cluster keys). Range partitioning samples the data, so a hot key is
-spread over several files by the tie-breaker column instead of landing in one
-task, and no explicit partition count is set: AQE sizes the shuffle from
-``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
+Layout (``clustered``): large tables are rebalanced on (date, cluster keys)
+and sorted within partitions, so each date folder holds files covering
+contiguous key ranges (Parquet min/max statistics then prune reads on the
+cluster keys). AQE sizes the rebalance from
+``spark.sql.adaptive.advisoryPartitionSizeInBytes`` and splits a skewed key
+over several tasks; no explicit partition count is set.
 """
 
 from __future__ import annotations
@@ -72,18 +71,24 @@ def dedup_by_key(df: DataFrame, keys: list[str]) -> DataFrame:
 
 # ------------------------------------------------------------------ layout
 def clustered(df: DataFrame, cluster_by=(), partition_col: str = "date",
-              tie_breaker: str | None = None, by_range: bool = True) -> DataFrame:
+              tie_breaker: str | None = None, large: bool = True) -> DataFrame:
     """Layout for a date-partitioned write.
 
-    ``by_range`` (large tables): range partitioning on (date, keys,
-    tie-breaker), so a date is written by many tasks and a hot key is split
-    by the tie-breaker. Otherwise (facts with one row per market-day or
-    less): hash on the date only, one task and one sorted file per date, no
-    sampling job."""
-    keys = [partition_col, *cluster_by] + ([tie_breaker] if tie_breaker else [])
-    if by_range:
-        return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    return df.repartition(partition_col).sortWithinPartitions(*keys)
+    ``large`` (tick-sized tables): a REBALANCE on (date, cluster keys) - a
+    hash shuffle whose output AQE sizes to
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``, splitting a skewed
+    partition (a market holding a third of the day) over several tasks and
+    merging small ones - then a sort within each task on (date, keys,
+    tie-breaker), so files hold contiguous key ranges for min/max pruning.
+    Unlike range partitioning there is no sampling job, which would compute
+    the upstream plan (the JSON parse) twice. Otherwise (facts with one row
+    per market-day or less): hash on the date only, one sorted file per date.
+    """
+    keys = [partition_col, *cluster_by]
+    order = keys + ([tie_breaker] if tie_breaker else [])
+    if large:
+        return df.hint("rebalance", *keys).sortWithinPartitions(*order)
+    return df.repartition(partition_col).sortWithinPartitions(*order)
 
 
 def _writer(df: DataFrame, partition_col: str, max_records_per_file: int | None):
@@ -96,17 +101,17 @@ def _writer(df: DataFrame, partition_col: str, max_records_per_file: int | None)
 def overwrite_partitions(df: DataFrame, path: str, cluster_by=(), partition_col: str = "date",
                          tie_breaker: str | None = None,
                          max_records_per_file: int | None = None,
-                         by_range: bool = True) -> None:
+                         large: bool = True) -> None:
     """Replace exactly the partitions present in ``df`` (dynamic overwrite);
     other dates are untouched."""
-    out = clustered(df, cluster_by, partition_col, tie_breaker, by_range)
+    out = clustered(df, cluster_by, partition_col, tie_breaker, large)
     (_writer(out, partition_col, max_records_per_file)
      .option("partitionOverwriteMode", "dynamic").mode("overwrite").save(path))
 
 
 def write_window(fresh: DataFrame, path: str, start, end, cluster_by=(),
                  partition_col: str = "date", tie_breaker: str | None = None,
-                 max_records_per_file: int | None = None, by_range: bool = True) -> list[date]:
+                 max_records_per_file: int | None = None, large: bool = True) -> list[date]:
     """Delete+insert of ``[start, end)`` on a date-partitioned Parquet table.
 
     The fresh rows are written once, to a staging folder inside the table
@@ -119,7 +124,7 @@ def write_window(fresh: DataFrame, path: str, start, end, cluster_by=(),
     spark = fresh.sparkSession
     root = path.rstrip("/")
     staging = f"{root}/_staging-{uuid.uuid4().hex}"
-    out = clustered(fresh, cluster_by, partition_col, tie_breaker, by_range)
+    out = clustered(fresh, cluster_by, partition_col, tie_breaker, large)
     _writer(out, partition_col, max_records_per_file).mode("errorifexists").save(staging)
     _mkdirs(spark, root)
     staged = {name.split("=", 1)[1]: f"{staging}/{name}"
