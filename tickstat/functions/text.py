@@ -11,9 +11,11 @@ in the library stays on the JVM.
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +33,11 @@ def sanitize(text):
     return _SPACES.sub(" ", text).strip()
 
 
+# Ship this module's code with the UDF (pickled by value): Python workers need
+# no installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 @F.pandas_udf(T.StringType())
 def _sanitize_udf(s: pd.Series) -> pd.Series:
     return s.map(sanitize, na_action="ignore")

@@ -9,7 +9,10 @@ not driver loops over files.
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -142,6 +145,11 @@ def file_inventory(spark: SparkSession, root: str, glob: str = "*.parquet") -> D
 
 
 _INTEGRITY_SCHEMA = "path string, size_bytes long, head string, tail string, ok boolean"
+_MAGIC = S.PARQUET_MAGIC
+
+# Ship this module's code with the mapInPandas function (pickled by value):
+# Python workers need no installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def _check_magic(batches):
@@ -160,7 +168,7 @@ def _check_magic(batches):
                 head, tail = b"", b""
             heads.append(head.hex())
             tails.append(tail.hex())
-            oks.append(head == S.PARQUET_MAGIC and tail == S.PARQUET_MAGIC)
+            oks.append(head == _MAGIC and tail == _MAGIC)
         yield pd.DataFrame({"path": pdf["path"], "size_bytes": pdf["size_bytes"],
                             "head": heads, "tail": tails, "ok": oks})
 
