@@ -48,7 +48,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     is used as is. Only a session without one (local tests) gets a scratch
     folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:   # noqa: BLE001 - Spark Connect: no context on the client
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        return configured or tempfile.mkdtemp(prefix="tickstat-ckpt-")
     current = sc.getCheckpointDir()
     if current:
         return current
