@@ -186,7 +186,7 @@ def with_ctes(needs, body: str, round_cols=(), bigint_cols=(), extra: str = "")
     """``WITH`` the needed fixture CTEs (plus ``extra`` ones), then ``body``;
     rounds and casts the listed output columns."""
     ctes = ",".join([CTES[n] for n in _closure(needs)] + ([extra] if extra else []))
-    repl = [f"round({c}, 9) AS {c}" for c in round_cols]
+    repl = [f"round({c}, 9) + 0.0 AS {c}" for c in round_cols]
     repl += [f"CAST({c} AS BIGINT) AS {c}" for c in bigint_cols]
     if repl:
         body = f"SELECT * REPLACE ({', '.join(repl)}) FROM ({body}) AS q"

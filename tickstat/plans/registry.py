@@ -36,7 +36,8 @@ def present(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         name = f"`{f.name}`"
         if isinstance(f.dataType, T.DoubleType):
-            exprs.append(f"round({name}, {ROUND_DIGITS}) AS {name}")
+            # + 0.0 turns a rounded -0.0 into 0.0 (engines differ on its sign)
+            exprs.append(f"round({name}, {ROUND_DIGITS}) + 0.0 AS {name}")
         elif isinstance(f.dataType, T.TimestampType):
             exprs.append(f"CAST({name} AS TIMESTAMP_NTZ) AS {name}")
         else:
