@@ -32,7 +32,7 @@ from ..functions.columns import in_window, json_scalar, to_double
 _FIELDS = ("token_id", "side", "best_bid", "best_ask", "change_size", "change_side")
 
 
-def _window_filter(orderbook: DataFrame, start, end) -> DataFrame:
+def window_rows(orderbook: DataFrame, start, end) -> DataFrame:
     """Window on DATE(timestamp_received); a raw table partitioned by ``date``
     (= DATE(timestamp_received), as ``sinks.overwrite_partition`` writes it)
     gets the same predicate on the partition column for pruning."""
@@ -48,7 +48,7 @@ def parsed_price_changes(orderbook: DataFrame, start=None, end=None) -> DataFram
     """price_change rows of the window with the payload fields as text
     (``*_text`` columns), before any guard. Shared by the tick transform and
     the reject report."""
-    df = _window_filter(orderbook.where(F.col("update_type") == S.UPDATE_PRICE_CHANGE),
+    df = window_rows(orderbook.where(F.col("update_type") == S.UPDATE_PRICE_CHANGE),
                         start, end)
     parsed = df.select(
         "timestamp_received", "market_id", "data",

@@ -108,6 +108,8 @@ def run_window(spark: SparkSession, raw: DataFrame, dim: DataFrame, out_root: st
     # 1. ticks: the only step that reads raw rows and parses JSON; the raw
     #    table's own checks are observed during this same scan
     #    (and the ticks' checks on the rows being written)
+    #    (the window is applied first so the checks and the scan are window-scoped)
+    raw = K.window_rows(raw, start, end)
     observed_raw, raw_checks = Q.observe_rules(raw, Q.orderbook_rules(), table="orderbook")
     fresh_ticks, tick_checks = Q.observe_rules(
         K.price_changes(observed_raw, start, end, strict=strict), RULES["price_changes"](),
