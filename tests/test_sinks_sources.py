@@ -93,3 +93,16 @@ def test_inventory_and_integrity(spark):
     assert str(rows["2024-01-02T01.parquet"].date) == "2024-01-02"
     ok = {r.path.rsplit("/", 1)[-1]: r.ok for r in RAW.parquet_integrity(inv).collect()}
     assert ok == {"2024-01-01T00.parquet": True, "2024-01-02T00.parquet": True, "2024-01-02T01.parquet": False}
+
+
+def test_overwrite_dates_collects_failures(spark):
+    path = tempfile.mkdtemp(prefix="ts-od-") + "/t"
+    df = fact(spark, ["2024-01-01", "2024-01-02"], "a")
+    assert SK.overwrite_dates(df, path, "2024-01-01", "2024-01-03") == []
+    assert spark.read.parquet(path).count() == 2
+    bad = df.withColumn("n", F.when(F.col("date") == "2024-01-02", F.raise_error("boom")).otherwise(F.col("n")))
+    failed = SK.overwrite_dates(bad, path, "2024-01-01", "2024-01-03", raise_on_failure=False)
+    assert [str(d) for d, _ in failed] == ["2024-01-02"]
+    with pytest.raises(RuntimeError, match="2024-01-02"):
+        SK.overwrite_dates(bad, path, "2024-01-01", "2024-01-03")
+    assert spark.read.parquet(path).count() == 2        # the failed date kept its old rows

@@ -109,6 +109,24 @@ def overwrite_partitions(df: DataFrame, path: str, cluster_by=(), partition_col:
      .option("partitionOverwriteMode", "dynamic").mode("overwrite").save(path))
 
 
+def overwrite_dates(df: DataFrame, path: str, start, end, cluster_by=(),
+                    partition_col: str = "date", raise_on_failure: bool = True, **kw) -> list:
+    """Reload a window one date at a time (the source's per-date load loop):
+    each date is its own dynamic-overwrite job, a failing date does not stop
+    the others, and the failed dates are returned (or raised at the end).
+    The loop runs over the window's dates - metadata, never rows."""
+    failed = []
+    for day in date_range(start, end):
+        try:
+            overwrite_partitions(df.where(F.col(partition_col) == F.lit(day)), path, cluster_by,
+                                 partition_col, **kw)
+        except Exception as exc:   # noqa: BLE001 - collected per date, reported below
+            failed.append((day, f"{type(exc).__name__}: {str(exc)[:200]}"))
+    if failed and raise_on_failure:
+        raise RuntimeError("failed partitions: " + ", ".join(str(d) for d, _ in failed))
+    return failed
+
+
 def write_window(fresh: DataFrame, path: str, start, end, cluster_by=(),
                  partition_col: str = "date", tie_breaker: str | None = None,
                  max_records_per_file: int | None = None, large: bool = True) -> list[date]:
