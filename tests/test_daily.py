@@ -63,3 +63,19 @@ def test_raw_scan_prunes_partitions(spark):
     assert "PartitionFilters" in plan and "2024-01-03" in plan
     assert "ReadSchema: struct<market_id:string>" in plan
     assert df.count() == ob.where(F.col("date") == "2024-01-03").count()
+
+
+def test_backfill_in_windows_equals_one_run(spark):
+    root = tempfile.mkdtemp(prefix="ts-backfill-")
+    ob = G.orderbook(spark, SF_SMALL).withColumn("date", F.to_date("timestamp_received"))
+    SK.overwrite_partitions(ob, f"{root}/raw")
+    dim = G.dim(spark, SF_SMALL)
+    results = daily.run_backfill(spark, f"{root}/raw", dim, f"{root}/chunked", "2024-01-01", "2024-01-08",
+                                 days_per_run=3)
+    assert len(results) == 3
+    one = daily.run_window(spark, RAW.scan_raw(spark, f"{root}/raw", "2024-01-01", "2024-01-08"), dim,
+                           f"{root}/single", "2024-01-01", "2024-01-08")
+    for name in ("market_history", "spread_over_time", "category_concentration"):
+        a = spark.read.parquet(results[0].paths[name])
+        b = spark.read.parquet(one.paths[name])
+        assert rows(a) == rows(b), name
