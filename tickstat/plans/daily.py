@@ -8,11 +8,11 @@ Shape at scale (5e8+ raw rows a day):
 
 * The raw scan is pruned to the window's ``date=`` folders and to the four
   columns used; the JSON payload is parsed once per row; the ticks are written
-  clustered by market_id (range partitioned, hot markets split by time).
+  clustered by market_id (rebalanced: AQE splits a hot market over tasks).
 * Every later step reads the **written** ticks table (columnar, pruned), so
   the JSON is parsed exactly once per run and lineage stops at the table; a
   lost executor only re-runs the current step.
-* The four tick scans (market-day stats, hourly, tiers, quality) each reduce
+* The three tick scans (market-day stats, hourly, tiers) each reduce
   billions of ticks with map-side partial aggregation to at most a few
   thousand rows per task.
 * The per-market-day aggregate is written once as Parquet under the cluster's
@@ -20,8 +20,9 @@ Shape at scale (5e8+ raw rows a day):
   expiry buckets and concentration read the written history/activity facts.
 * Quality rules of the raw table and of the ticks are observed metrics of
   the scan that parses and writes them (no second pass over the two largest
-  tables); the facts' rules run on their written tables of the window. ``gate`` raises on a blocking failure after all tables are
-  written (as the source checks after materialization).
+  tables); the facts' rules run on their written tables of the window.
+  ``gate`` raises on a blocking failure after all tables are written (as the
+  source checks after materialization).
 """
 
 from __future__ import annotations
@@ -106,10 +107,10 @@ def run_window(spark: SparkSession, raw: DataFrame, dim: DataFrame, out_root: st
     def read(name: str) -> DataFrame:
         return read_window(spark, paths[name], start, end, schemas[name])
 
-    # 1. ticks: the only step that reads raw rows and parses JSON; the raw
-    #    table's own checks are observed during this same scan
-    #    (and the ticks' checks on the rows being written)
-    #    (the window is applied first so the checks and the scan are window-scoped)
+    # 1. ticks: the only step that reads raw rows and parses JSON. The raw
+    #    table's checks are observed during this same scan and the ticks'
+    #    checks on the rows being written; the window is applied first so both
+    #    the checks and the scan are window-scoped.
     raw = K.window_rows(raw, start, end)
     observed_raw, raw_checks = Q.observe_rules(raw, Q.orderbook_rules(), table="orderbook")
     fresh_ticks, tick_checks = Q.observe_rules(
