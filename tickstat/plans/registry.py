@@ -110,8 +110,7 @@ def q_expiry_buckets(spark, sf_dir):
 
 
 def q_category_concentration(spark, sf_dir):
-    stats = _stats(spark, sf_dir)
-    return R.category_concentration(history(spark, sf_dir, stats), activity(spark, sf_dir, stats))
+    return concentration(spark, sf_dir)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -151,7 +150,9 @@ def distribution(spark, sf_dir):
 
 
 def concentration(spark, sf_dir):
-    stats = _stats(spark, sf_dir)
+    # history and activity both need the market-day aggregate; written once,
+    # it is not re-derived (and the payload not re-parsed) per branch
+    stats = materialize(_stats(spark, sf_dir), "market_day_stats")
     return R.category_concentration(history(spark, sf_dir, stats), activity(spark, sf_dir, stats))
 
 
