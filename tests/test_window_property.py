@@ -40,3 +40,24 @@ def test_write_window_matches_model(spark, existing, fresh, start, length):
     in_window = {DAY0 + dt.timedelta(days=o) for o in existing if start <= o < start + length}
     fresh_days = {DAY0 + dt.timedelta(days=o) for o in fresh}
     assert set(emptied) == in_window - fresh_days
+
+
+keys = st.sampled_from(["a", "b", "c", "d", "e"])
+vals = st.sampled_from(["x", "y", "z"])
+
+
+@settings(max_examples=int(os.environ.get("PROP_EXAMPLES", "6")), deadline=None)
+@given(target=st.dictionaries(keys, vals, max_size=4),
+       source=st.lists(st.tuples(keys, vals), max_size=8))
+def test_insert_only_merge_matches_model(spark, target, source):
+    schema = "k string, v string"
+    t = spark.createDataFrame(sorted(target.items()), schema)
+    s = spark.createDataFrame(source, schema)
+    model = dict(target)
+    for k, v in sorted(source):                  # smallest source row per new key
+        if k not in target and k not in model:
+            model[k] = v
+    got = sorted((r.k, r.v) for r in SK.insert_only_merge(t, s, "k").collect())
+    assert got == sorted(model.items())
+    fanned = sorted((r.k, r.v) for r in SK.insert_only_merge(t, s, "k", dedup=False).collect())
+    assert fanned == sorted(list(target.items()) + [(k, v) for k, v in source if k not in target])
