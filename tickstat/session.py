@@ -18,7 +18,6 @@ change results or hurt at scale:
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -45,24 +44,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
     Spark applies ``spark.checkpoint.dir`` when the context starts; that value
-    is used as is. Only a session without one (local tests) gets a scratch
-    folder.
+    is used as is. A session without one gets a folder in its warehouse, which
+    driver and executors share as well, never a machine-local one.
     """
+    fallback = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
     try:
         sc = spark.sparkContext
     except Exception:   # noqa: BLE001 - Spark Connect: no context on the client
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        return configured or tempfile.mkdtemp(prefix="tickstat-ckpt-")
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return configured
-    local = tempfile.mkdtemp(prefix="tickstat-ckpt-")
-    sc.setCheckpointDir(local)
-    return local
+        return spark.conf.get("spark.checkpoint.dir", None) or fallback
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir", None) or fallback)
+    return sc.getCheckpointDir()
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
