@@ -182,17 +182,16 @@ def candidate_links(reps: DataFrame, plan: list[tuple[list[int], int]], max_bits
              .where("fp < other")
              .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= max_bits)
              .select(F.col("fp").alias("a"), F.col("other").alias("b")))
+    # every member of a dense bucket once, however many of its parts are dense
+    dense = probes.join(hot.select("part", "key"), ["part", "key"]).select("fp").distinct()
     # an odd bound: values within r of one and r - 1 of the other
     radius, all_near = (max_bits + 1) // 2, max_bits % 2 == 0
     far = len(_flips(list(range(BITS)), radius - 1)) if not all_near else 0
-    points = (probes.join(hot.select("part", "key"), ["part", "key"])
-              .select("part", "key", "fp",
-                      F.posexplode(_xors(F.col("fp"), _flips(list(range(BITS)), radius))).alias("k", "point"))
+    points = (dense.select("fp", F.posexplode(_xors(F.col("fp"), _flips(list(range(BITS)), radius))).alias("k", "point"))
               .withColumn("near", F.lit(all_near) | (F.col("k") < far)))
-    around = ["part", "key", "point"]
-    centre = points.groupBy(*around).agg(F.min(F.when(F.col("near"), F.col("fp"))).alias("a"),
+    centre = points.groupBy("point").agg(F.min(F.when(F.col("near"), F.col("fp"))).alias("a"),
                                          F.count("*").alias("n")).where("n > 1 AND a IS NOT NULL")
-    stars = points.join(centre.drop("n"), around).where("a <> fp").select("a", F.col("fp").alias("b")).distinct()
+    stars = points.join(centre.drop("n"), "point").where("a <> fp").select("a", F.col("fp").alias("b")).distinct()
     return pairs.unionByName(stars)
 
 
