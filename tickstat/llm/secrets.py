@@ -43,7 +43,8 @@ def _matches(pattern: str, kind: str, value_group: int) -> Column:
             F.char_length(x["gap"]).alias("gap"), F.char_length(x["match"]).alias("length"),
             F.char_length(x["value"]).alias("value_length"), F.md5(x["value"]).alias("value"),
             (x["value"].rlike("[0-9]") & x["value"].rlike("[A-Za-z]")
-             & (F.size(F.array_distinct(F.split(x["value"], ""))) >= LIVE_DISTINCT)).alias("random")))
+             & (F.size(F.array_distinct(F.regexp_extract_all(x["value"], F.lit("."), group))) >= LIVE_DISTINCT))
+            .alias("random")))
     return F.when(text.rlike(pattern), shape)
 
 
