@@ -31,7 +31,7 @@ BLOCK_WORDS = 32
 SHARD_SLOTS = 4096
 MAX_REPEATS = 3
 MAX_SOURCES = 100_000            # a mix is configured per source on the driver
-SLICE_DOCS = 50_000              # documents whose running sum is one task's
+SLICE_DOCS = 5_000               # documents whose running sum is one task's
 SEED = 8
 EXACT_BELOW = 10**9              # bound of numpy's hypergeometric sampler
 
@@ -213,7 +213,10 @@ def mix(docs: DataFrame, weights=cycle_weights, block_words: int = BLOCK_WORDS,
     numbered = F.broadcast(spark.createDataFrame(targets, "number int, source string, source_size long, target double"))
     parts = block_parts(sized, numbered, block_words)
     plan = slot_plan(spark, targets, block_words, max_repeats, seed)
-    taken = (plan.join(parts, ["number", "block"]).groupBy("row").agg(F.sum("words").alias("taken")))
+    # the plan comes out of a few shard numbers, so its estimated size is far too
+    # small: it grows with the corpus and must not be broadcast
+    taken = (plan.hint("merge").join(parts, ["number", "block"])
+             .groupBy("row").agg(F.sum("words").alias("taken")))
     named = sized.join(numbered, sized["source"].eqNullSafe(numbered["source"])).drop(numbered["source"])
     documents = (named.join(taken, "row", "left")
                  .select("row", "doc_id", "source", "place", "size", "source_size", "target",
