@@ -1,10 +1,10 @@
 """Line dedup by pairwise alignment of overlapping documents.
 
-A *run* is the shortest stretch of consecutive lines from a given line on that
-has at least ``min_words`` words. Any block of common lines with that many
-words begins with the same run in both documents and is covered by its runs,
-so documents overlap exactly where they share run hashes; runs are long
-enough to be rare by nature, and no frequency cap is needed. Every later
+A *run* is the shortest stretch of consecutive lines, from a given line on or
+up to it, that has at least ``min_words`` words. Any block of common lines with
+that many words is covered by such runs, the same in both documents, so
+documents overlap exactly where they share run hashes; runs are long enough to
+be rare by nature, and no frequency cap is needed. Every later
 document with a run is paired with the first document that has it (a star,
 not all pairs); each pair is aligned with patience diff over the documents'
 line hashes, and the aligned common blocks of at least ``min_words`` words go
@@ -45,7 +45,7 @@ def line_table(text: str | None) -> tuple[list[int], list[int], list[int]]:
     return at, hashes, words
 
 
-def run_ends(words: list[int], min_words: int) -> list[int]:
+def _ends(words: list[int], min_words: int) -> list[int]:
     """End (exclusive) of the run from each line, as far as one begins there."""
     out, end, total = [], 0, 0
     for start in range(len(words)):
@@ -59,6 +59,14 @@ def run_ends(words: list[int], min_words: int) -> list[int]:
     return out
 
 
+def runs_of(words: list[int], min_words: int) -> list[tuple[int, int]]:
+    """All runs: the shortest from each line on, and the shortest up to it."""
+    n = len(words)
+    runs = set(enumerate(_ends(words, min_words)))
+    runs.update((n - e, n - s) for s, e in enumerate(_ends(words[::-1], min_words)))
+    return sorted(runs)
+
+
 def run_hashes(hashes: list[int], words: list[int], min_words: int) -> list[int]:
     import struct
 
@@ -66,7 +74,7 @@ def run_hashes(hashes: list[int], words: list[int], min_words: int) -> list[int]
 
     packed = struct.pack(f"<{len(hashes)}q", *hashes)
     return [xxhash.xxh3_64_intdigest(packed[8 * s:8 * e]) - (1 << 63)
-            for s, e in enumerate(run_ends(words, min_words))]
+            for s, e in runs_of(words, min_words)]
 
 
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -126,16 +134,15 @@ def common_lines(a: list[int], b: list[int], b_words: list[int], min_words: int)
         block.append(j)
         before = (i, j)
     # shared runs that are not covered: moved, or more often in one than in the other
-    ends = run_ends(b_words, min_words)
-    left = [s for s, e in enumerate(ends) if any(k not in out for k in range(s, e))]
+    left = [(s, e) for s, e in runs_of(b_words, min_words) if any(k not in out for k in range(s, e))]
     if left:
         starts: dict[int, list[int]] = {}
         for i, h in enumerate(a):
             starts.setdefault(h, []).append(i)
-        for s in left:
-            run = b[s:ends[s]]
+        for s, e in left:
+            run = b[s:e]
             if any(a[i:i + len(run)] == run for i in starts.get(run[0], ())):
-                out.update(range(s, ends[s]))
+                out.update(range(s, e))
     return out
 
 
