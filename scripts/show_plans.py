@@ -59,12 +59,15 @@ def main():
     act = daily.read_window(spark, p["category_activity"], START, END)
     views = M.markets_view(dim)
     steps = [
-        ("raw -> ticks (price_changes)", "Window and update_type reach the scan; one json_tuple.",
-         K.price_changes(raw, START, END)),
+        ("raw -> ticks (price_changes), as the daily job runs it",
+         "Window and update_type reach the scan; one json_tuple; the ticks' checks are observed above it.",
+         Q.observe_rules(K.price_changes(raw, START, END), Q.ticks_rules(), table="price_changes")[0]),
+        ("quality_report on the raw table", "A pass of its own without a parse.",
+         Q.quality_report(K.window_rows(raw, START, END), Q.orderbook_rules(), table="orderbook")),
         ("market_history from the ticks table",
          "Partial aggregate below the only tick shuffle; dimension joined to market-days.",
          R.market_history(ticks, views, START, END)),
-        ("category_activity (roll-up)", "No distinct stage.", R.category_activity(ticks, views, START, END)),
+        ("category_activity (roll-up)", "The distinct count runs over market-days.", R.category_activity(ticks, views, START, END)),
         ("spread_over_time", "Hourly groups, partial aggregation.", R.spread_over_time(ticks, START, END)),
         ("category_concentration from the written facts",
          "One exchange on (date, category) serves the join and all windows.",

@@ -2,10 +2,11 @@
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickstat import schemas as S
 from tickstat.functions.category import pick_category
-from tickstat.functions.text import sanitize, sanitize_text
+from tickstat.functions.text import sanitize_text
 from tickstat.operators import markets as M
 from tickstat.operators import sinks as SK
 
@@ -31,10 +32,10 @@ def test_fallback_and_unknown(spark):
 
 @pytest.mark.parametrize("raw,clean", [
     ("  Café\nau  lait x  ", "Cafe au lait x"), ("日本 text", "text"), ("", ""),
-    ("a\r\n\r\nb", "a b"), ("Ünïcödé", "Unicode"),
+    ("a\r\n\r\nb", "a b"), ("Ünïcödé", "Unicode"), ("\t 中\t x\u2028\u2029y \x1f", "x y"),
+    ("plain  ascii\ttab", "plain ascii\ttab"),
 ])
 def test_sanitize(spark, raw, clean):
-    assert sanitize(raw) == clean
     df = spark.createDataFrame([(raw,)], "t string")
     assert df.select(sanitize_text("t").alias("c")).first().c == clean
 
@@ -45,7 +46,36 @@ def test_sanitize_keeps_null(spark):
 
 
 def _payload(spark, rows):
-    return spark.createDataFrame(rows, S.MARKET_PAYLOAD)
+    """Rows of market objects; the last field as JSON text, typed on reading."""
+    names = S.MARKET_PAYLOAD.fieldNames()
+    text = T.StructType([T.StructField(f.name, T.StringType() if f.name == names[-1] else f.dataType)
+                         for f in S.MARKET_PAYLOAD])
+    return spark.createDataFrame(rows, text).withColumn(names[-1], F.parse_json(names[-1]))
+
+
+@pytest.mark.parametrize("single,many,status", [
+    (None, '["disputed", "resolved"]', "disputed"), (None, '"[\\"disputed\\"]"', '["disputed"]'),
+    (None, "[]", None), (None, '"[]"', None), (None, '""', None), (None, '"open"', "open"), (None, None, None),
+    ("", '["a"]', "a"), ("single", '["a"]', "single"), (None, "null", None), (None, '{"a": 1}', None)])
+def test_resolution_status_by_type(spark, single, many, status):
+    df = spark.createDataFrame([(single, many)], "single string, many string")
+    got = df.select(M._resolution_status(F.col("single"), F.parse_json("many")).alias("s")).first().s
+    assert got == status
+
+
+def test_repeated_event_lookups_do_not_multiply(spark):
+    ids = spark.createDataFrame([("m1",)], "market_id string")
+    payload = _payload(spark, [("m1", "q", [("e1", "t", [])], None, None, None, None, None)])
+    tags = spark.createDataFrame([("e1", [("1", "Sports")])] * 3, S.EVENT_TAGS)
+    assert [r.category for r in M.enrich_markets(ids, payload, tags).collect()] == ["Sports"]
+
+
+def test_a_time_without_a_date_is_junk(spark):
+    dim = spark.createDataFrame([("a", "q", "e", None, None, "12:30", False, None, False)], S.DIM_MARKETS)
+    assert M.markets_view(dim).first().end_date is None
+    payload = _payload(spark, [("a", "q", [], "12:30", None, None, None, None)])
+    out = M.enrich_markets(dim.select("market_id"), payload, spark.createDataFrame([], S.EVENT_TAGS)).first()
+    assert out.end_date is None and not out.is_ghost
 
 
 def test_enrich_ghosts_tags_and_fields(spark):
@@ -82,9 +112,9 @@ def test_insert_only_merge_dedups_and_never_updates(spark):
     target = spark.createDataFrame([row("a", "old")], S.DIM_MARKETS)
     source = spark.createDataFrame([row("a", "new"), row("b", "y"), row("b", "x")], S.DIM_MARKETS)
     out = sorted((r.market_id, r.question) for r in SK.insert_only_merge(target, source).collect())
-    assert out == [("a", "old"), ("b", "x")]
-    fanned = SK.insert_only_merge(target, source, dedup=False).count()
-    assert fanned == 3
+    assert out == [("a", "old"), ("b", "x"), ("b", "y")]            # every unmatched row
+    one = sorted((r.market_id, r.question) for r in SK.insert_only_merge(target, source, dedup=True).collect())
+    assert one == [("a", "old"), ("b", "x")]
 
 
 def test_landed_payload_round_trip(spark):
@@ -117,8 +147,7 @@ def test_end_dates_parse_per_row(spark):
     # T5: date and datetime text mixed in one column both parse (no per-batch format)
     rows = [("a", "2024-03-01", None), ("b", "2024-03-02T10:00:00Z", None), ("c", None, "2024-03-03 23:30:00"),
             ("d", "", "2024-03-04T01:00:00+05:00"), ("e", "not a date", None), ("f", "2024-02-30", None)]
-    payload = spark.createDataFrame(
-        [(i, "q", [], iso, other, False, None, None) for i, iso, other in rows], S.MARKET_PAYLOAD)
+    payload = _payload(spark, [(i, "q", [], iso, other, False, None, None) for i, iso, other in rows])
     ids = spark.createDataFrame([(r[0],) for r in rows], "market_id string")
     tags = spark.createDataFrame([], S.EVENT_TAGS)
     got = {r.market_id: r.end_date for r in M.enrich_markets(ids, payload, tags).collect()}

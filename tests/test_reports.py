@@ -106,3 +106,35 @@ def test_history_joins_after_aggregation(spark):
     plan = R.market_history(t, view)._jdf.queryExecution().optimizedPlan().toString()
     # the aggregate sits below the join: the dimension meets market-days, not ticks
     assert plan.index("Join") < plan.index("Aggregate")
+
+
+def test_repeated_view_rows_weigh_the_aggregates(spark):
+    t = ticks(spark, [("a", "YES", 0.5, 0.6, 1), ("a", "YES", 0.5, 0.7, 2)])
+    row = ("a", "q", "e", "X", "x", None, False, None, False)
+    view = M.markets_view(dim(spark, [row, row]))
+    joined = t.join(view, "market_id", "left")                       # the plain form: join first
+    h = R.market_history(t, view).collect()
+    assert len(h) == 1 and h[0].tick_count == 4
+    assert h[0].spread_volatility == pytest.approx(joined.agg(F.stddev_samp("spread")).first()[0])
+    act = R.category_activity(t, view).first()
+    assert (act.market_count, act.tick_count) == (1, 4)
+    other = M.markets_view(dim(spark, [row, ("a", "q2", *row[2:])]))
+    assert sorted(r.tick_count for r in R.market_history(t, other).collect()) == [2, 2]
+    assert R.category_activity(t, other).first().market_count == 1
+
+
+def test_null_ids_are_no_market(spark):
+    t = ticks(spark, [(None, "YES", 0.5, 0.6, 1), (None, "NO", 0.5, 0.6, 2), ("zz", "NO", 0.5, 0.6, 3)])
+    act = R.category_activity(t, M.markets_view(dim(spark, []))).first()
+    assert (act.market_count, act.tick_count) == (1, 3)
+
+
+def test_concentration_totals_from_history_equal_the_activity(spark):
+    rows = [(m, "YES", 0.5, 0.6, s) for m, n in (("b", 2), ("a", 5), ("c", 1)) for s in range(n)]
+    t = ticks(spark, rows)
+    view = M.markets_view(dim(spark, [(m, m, "e", "X" if m != "c" else "Y", "x", None, False, None, False) for m in "abc"]))
+    h = R.market_history(t, view)
+    one = sorted(map(tuple, R.category_concentration(h).collect()))
+    two = sorted(map(tuple, R.category_concentration(h, R.category_activity(t, view)).select(
+        *R.category_concentration(h).columns).collect()))
+    assert one == two

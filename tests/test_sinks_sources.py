@@ -106,3 +106,58 @@ def test_overwrite_dates_collects_failures(spark):
     with pytest.raises(RuntimeError, match="2024-01-02"):
         SK.overwrite_dates(bad, path, "2024-01-01", "2024-01-03")
     assert spark.read.parquet(path).count() == 2        # the failed date kept its old rows
+
+
+def test_null_dates_stay_and_are_not_added_twice(spark):
+    old = spark.createDataFrame([(None, "old", 1), (dt.date(2024, 1, 1), "old", 2)], "date date, tag string, n int")
+    new = spark.createDataFrame([(dt.date(2024, 1, 1), "new", 3)], "date date, tag string, n int")
+    got = sorted((r.tag, r.n) for r in SK.window_replace(old, new, "2024-01-01", "2024-01-02").collect())
+    assert got == [("new", 3), ("old", 1)]
+    path = tempfile.mkdtemp(prefix="ts-null-") + "/t"
+    for _ in range(2):
+        SK.write_window(old, path, "2024-01-01", "2024-01-02")
+    assert spark.read.parquet(path).count() == 2
+
+
+@pytest.mark.parametrize("stop_at", [1, 2, 3, 4])
+def test_a_stopped_swap_is_put_right(spark, monkeypatch, stop_at):
+    path = tempfile.mkdtemp(prefix="ts-crash-") + "/t"
+    SK.overwrite_partitions(fact(spark, ["2024-01-01", "2024-01-02", "2024-01-09"], "old"), path)
+    real, calls = SK._rename, []
+
+    def stopping(*args):
+        calls.append(args)
+        if len(calls) == stop_at:
+            raise KeyboardInterrupt
+        return real(*args)
+
+    monkeypatch.setattr(SK, "_rename", stopping)
+    with pytest.raises(KeyboardInterrupt):
+        SK.write_window(fact(spark, ["2024-01-01", "2024-01-02"], "new"), path, "2024-01-01", "2024-01-03")
+    monkeypatch.setattr(SK, "_rename", real)
+    SK.recover(spark, path)                                  # every date is there, old or new
+    dates = sorted(str(r.date) for r in spark.read.parquet(path).collect())
+    assert dates == ["2024-01-01", "2024-01-02", "2024-01-09"]
+    assert [d for d in os.listdir(path) if d.startswith("_staging") or d == "_aside"] == []
+    SK.write_window(fact(spark, ["2024-01-01", "2024-01-02"], "new"), path, "2024-01-01", "2024-01-03")
+    got = sorted((str(r.date), r.tag) for r in spark.read.parquet(path).collect())
+    assert got == [("2024-01-01", "new"), ("2024-01-02", "new"), ("2024-01-09", "old")]
+
+
+def test_unreadable_files_are_not_called_corrupt(spark):
+    files = spark.createDataFrame([("/no/such/file.parquet", 1), ("nosuch://x/y.parquet", 1)], "path string, size_bytes long")
+    got = RAW.parquet_integrity(files).collect()
+    assert all(r.ok is None and r.error for r in got)
+
+
+def test_windowed_counts_prune_partitions(spark):
+    path = tempfile.mkdtemp(prefix="ts-prune-") + "/raw"
+    rows = spark.range(48).selectExpr("timestamp'2024-01-01 00:00:00' + make_interval(0,0,0,0,id*3) AS timestamp_received",
+                                      "timestamp'2024-01-01 00:00:00' AS timestamp_created_at", "'m1' AS market_id",
+                                      "'price_change' AS update_type", "'{}' AS data") \
+        .withColumn("date", F.to_date("timestamp_received"))
+    SK.overwrite_partitions(rows, path)
+    counts = RAW.partition_row_counts(RAW.scan_raw(spark, path), "2024-01-02", "2024-01-03")
+    assert [(str(r.date), r.row_count) for r in counts.collect()] == [("2024-01-02", 8)]
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "2024-01-02" in plan

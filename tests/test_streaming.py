@@ -39,3 +39,56 @@ def test_incremental_load(spark):
     day = ob.where(F.to_date("timestamp_received") == "2024-01-02")
     assert raw.count() == day.count()
     assert K.price_changes(raw).count() == K.price_changes(day, "2024-01-02", "2024-01-03").count()
+
+
+SCRIPT = """
+import sys; sys.path.insert(0, {root!r})
+from tickstat.session import local_session
+from tickstat.streaming.ingest import load_landed
+spark = local_session(2, shuffle_partitions=2, checkpoint={ckpt!r})
+load_landed(spark, {landing!r}, {table!r})
+print("ROWS", spark.read.parquet({table!r}).count())
+"""
+
+
+def test_two_applications_load_every_file(spark):
+    import subprocess
+    import sys
+
+    from conftest import ROOT
+    base = tempfile.mkdtemp(prefix="ts-apps-")
+    landing, table = f"{base}/landing", f"{base}/raw"
+    ob = G.orderbook(spark, SF_SMALL)
+    n = 0
+    for hours in (range(0, 4), range(4, 9)):
+        n += sum(land(ob, landing, "2024-01-02", h) for h in hours)
+        code = SCRIPT.format(root=ROOT, ckpt=f"{base}/ckpt", landing=landing, table=table)
+        out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
+        assert f"ROWS {n}" in out.stdout, out.stderr[-2000:]
+
+
+def test_a_repeated_batch_replaces_itself(spark):
+    from tickstat.streaming import ingest
+    base = tempfile.mkdtemp(prefix="ts-batch-")
+    ob = G.orderbook(spark, SF_SMALL).where(F.to_date("timestamp_received") == "2024-01-02")
+    for _ in range(2):
+        ingest._write(ingest._raw_rows(ob, "b000000000"), f"{base}/raw", "overwrite")
+    assert RAW.scan_raw(spark, f"{base}/raw").count() == ob.count()
+
+
+def test_reload_replaces_dates_and_loading_goes_on(spark):
+    from tickstat.streaming.ingest import reload_dates
+    base = tempfile.mkdtemp(prefix="ts-reload-")
+    landing, table = f"{base}/landing", f"{base}/raw"
+    ob = G.orderbook(spark, SF_SMALL)
+    first = sum(land(ob, landing, "2024-01-02", h) for h in range(0, 6))
+    other = land(ob, landing, "2024-01-03", 0)
+    load_landed(spark, landing, table)
+    again = land(ob.unionAll(ob), landing, "2024-01-02", 0) // 2          # a file landed anew, twice as large
+    report = reload_dates(spark, landing, table, "2024-01-02", "2024-01-03").collect()
+    assert [(str(r.date), r.rows_before, r.rows_after) for r in report] == [("2024-01-02", first, first + again)]
+    assert RAW.scan_raw(spark, table).count() == first + again + other
+    more = land(ob, landing, "2024-01-03", 1)
+    load_landed(spark, landing, table)
+    assert RAW.scan_raw(spark, table, "2024-01-03", "2024-01-04").count() == other + more
+    assert RAW.scan_raw(spark, table, "2024-01-02", "2024-01-03").count() >= first + again

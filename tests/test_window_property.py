@@ -57,7 +57,7 @@ def test_insert_only_merge_matches_model(spark, target, source):
     for k, v in sorted(source):                  # smallest source row per new key
         if k not in target and k not in model:
             model[k] = v
-    got = sorted((r.k, r.v) for r in SK.insert_only_merge(t, s, "k").collect())
+    got = sorted((r.k, r.v) for r in SK.insert_only_merge(t, s, "k", dedup=True).collect())
     assert got == sorted(model.items())
     fanned = sorted((r.k, r.v) for r in SK.insert_only_merge(t, s, "k", dedup=False).collect())
     assert fanned == sorted(list(target.items()) + [(k, v) for k, v in source if k not in target])

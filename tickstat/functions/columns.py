@@ -18,12 +18,29 @@ def col_(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# a decimal number with optional exponent, or one of the special values; Spark's
+# own cast also takes type suffixes ("0.5d"), which are junk in a price
+_NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|nan|inf(inity)?)\s*$"
+_DATED = r"^\s*\d{4}-\d{1,2}-\d{1,2}"
+
+
 def to_double(text: str | Column, strict: bool = False) -> Column:
     """Text to float64. ``strict`` is a hard cast (raises on garbage under
     ANSI, like the source's CAST); the default gives NULL instead so the row is
-    rejected by the guards and counted in the reject report."""
+    rejected by the guards and counted in the reject report. Text that is not
+    written as a number is garbage in both."""
+    c = col_(text)
+    if strict:
+        bad = F.raise_error(F.concat(F.lit("not a number: "), c)).cast("double")
+        return F.when(c.isNull() | c.rlike(_NUMBER), c.cast("double")).otherwise(bad)
+    return F.when(c.rlike(_NUMBER), c.try_cast("double"))
+
+
+def to_timestamp(text: str | Column) -> Column:
+    """Text to timestamp, NULL for junk. A time without a date is junk: a cast
+    would put today's date in front of it."""
     c = col_(text)
-    return c.cast("double") if strict else c.try_cast("double")
+    return F.when(c.rlike(_DATED), c.try_cast("timestamp"))
 
 
 def safe_divide(num: str | Column, den: str | Column) -> Column:
@@ -109,11 +126,11 @@ def json_scalar(value: str | Column, data: str | Column, key: str) -> Column:
 
     ``json_tuple`` returns an object or array value as its JSON text, where a
     scalar-only extraction gives NULL. Only values whose text starts with
-    ``{`` or ``[`` can be either; for those rows alone (a CASE branch) the raw
-    payload is checked for the key followed by ``{`` / ``[``, which tells a
-    nested value (-> NULL) from a string that merely starts with a bracket.
+    ``{`` or ``[`` can be either; for those rows alone (a CASE branch) the
+    payload is parsed with types, which tells a nested value (-> NULL) from a
+    string that merely starts with a bracket.
     """
     v, d = col_(value), col_(data)
-    nested = d.rlike(r'"' + key + r'"\s*:\s*[\[{]')
+    typed = F.schema_of_variant(F.try_variant_get(F.try_parse_json(d), f"$.{key}", "variant"))
     maybe_nested = v.startswith("{") | v.startswith("[")
-    return F.when(maybe_nested & nested, F.lit(None).cast("string")).otherwise(v)
+    return F.when(maybe_nested, F.when(typed == "STRING", v)).otherwise(v)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..functions.columns import to_timestamp
 
 
 def markets_view(dim: DataFrame) -> DataFrame:
@@ -23,7 +24,7 @@ def markets_view(dim: DataFrame) -> DataFrame:
         "event_title",
         F.coalesce("category", F.lit(S.VIEW_UNKNOWN_CATEGORY)).alias("category"),
         F.coalesce("category_slug", F.lit(S.VIEW_UNKNOWN_SLUG)).alias("category_slug"),
-        F.col("end_date").try_cast("timestamp").alias("end_date"),
+        to_timestamp("end_date").alias("end_date"),
         "closed",
         "resolution_status",
     )
@@ -38,11 +39,8 @@ def new_market_ids(orderbook: DataFrame, dim: DataFrame, start=None, end=None,
     scanned (the source scans the whole table). Ghost rows count as held, as
     in the source (a ghost is never fetched again); ``retry_ghosts=True``
     requests them again (see ``resolve_ghosts``)."""
-    from ..functions.columns import in_window
-    ob = orderbook
-    if start is not None or end is not None:
-        ob = ob.where(in_window(F.to_date("timestamp_received"), start, end))
-    ids = ob.where(F.col("market_id").isNotNull()) \
+    from .ticks import window_rows
+    ids = window_rows(orderbook, start, end).where(F.col("market_id").isNotNull()) \
         .select(F.col("market_id").cast("string").alias("market_id")).distinct()
     held = dim.where(F.col("is_ghost") == F.lit(False)) if retry_ghosts else dim
     return ids.join(held.select("market_id"), "market_id", "left_anti")
@@ -73,11 +71,15 @@ def enrich_markets(ids: DataFrame, payload: DataFrame, event_tags: DataFrame,
     from ..functions.category import pick_category
     from ..functions.text import sanitize_text
 
+    # only what was asked for is looked up and cleaned, however much has landed
+    requested = ids.select(F.col("market_id").cast("string").alias("market_id")).distinct()
     p = payload.where(F.col("conditionId").isNotNull() & (F.col("conditionId") != "")) \
-        .withColumn("market_id", F.col("conditionId").cast("string"))
+        .withColumn("market_id", F.col("conditionId").cast("string")) \
+        .join(requested, "market_id", "left_semi")
     event = F.try_element_at(F.col("events"), F.lit(1))
     p = p.select("*", event.alias("_event"))
-    tags = event_tags.select(F.col("event_id").alias("_event_id"), F.col("tags").alias("_tags"))
+    # one answer per event: a repeated lookup must not multiply its markets
+    tags = event_tags.groupBy(F.col("event_id").alias("_event_id")).agg(F.min("tags").alias("_tags"))
     p = p.join(tags, F.col("_event.id") == F.col("_event_id"), "left")
     has_event_id = F.col("_event.id").isNotNull() & (F.col("_event.id") != "")
     market_tags = F.when(has_event_id, F.coalesce("_tags", F.array())) \
@@ -95,7 +97,6 @@ def enrich_markets(ids: DataFrame, payload: DataFrame, event_tags: DataFrame,
         status.alias("resolution_status"),
         F.lit(False).alias("is_ghost"),
     )
-    requested = ids.select(F.col("market_id").cast("string").alias("market_id")).distinct()
     j = requested.join(found, "market_id", "left")
     ghost = F.col("is_ghost").isNull()
     return j.select(
@@ -131,15 +132,16 @@ def _end_date_text(iso, other):
     raw = F.trim(_first_truthy(iso, other))
     iso_day = F.when(raw.rlike(_ISO_DATE),
                      F.try_to_date(F.regexp_extract(raw, _ISO_DATE, 1), "yyyy-MM-dd"))
-    day = F.coalesce(iso_day, F.to_date(raw.try_cast("timestamp")))
+    day = F.coalesce(iso_day, F.to_date(to_timestamp(raw)))
     return F.date_format(day, "yyyy-MM-dd")
 
 
 def _resolution_status(single, many):
-    """First truthy of the two status fields; '[]' / '' -> NULL, a JSON list
-    -> its first element."""
-    raw = _first_truthy(single, many)
-    as_list = F.from_json(raw, "array<string>")
-    first = F.when(F.trim(raw).startswith("["), F.try_element_at(as_list, F.lit(1)))
-    return F.when(raw.isNull() | (F.trim(raw) == "[]"), F.lit(None).cast("string")) \
-        .when(F.trim(raw).startswith("["), first).otherwise(raw)
+    """The single status if it has text; else the other field (a variant): a
+    list gives its first element, text is taken as it is; '', '[]' and an
+    empty list give NULL."""
+    kind = F.schema_of_variant(many)
+    text = F.when(kind == "STRING", F.try_variant_get(many, "$", "string"))
+    first = F.when(kind.startswith("ARRAY"), F.try_variant_get(many, "$[0]", "string"))
+    raw = F.coalesce(_first_truthy(single, text), first)
+    return F.when(F.trim(raw) != "[]", raw)

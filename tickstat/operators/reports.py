@@ -8,14 +8,16 @@ Plan shape (what keeps these cheap at 5e8+ ticks a day):
   holds a third of all ticks costs the same shuffle as any other key.
 * The source groups ticks by 9 keys after joining the dimension to every tick.
   Here ticks are aggregated by (date, market_id) first and the dimension is
-  joined to that one-row-per-market-day result (same answer because the view
-  has one row per market). The join then sees thousands of rows, not
+  joined to that one-row-per-market-day result. Where the view has several rows
+  of a market, the join multiplies that market's ticks as it would before the
+  aggregation: equal view rows weigh the aggregates, different ones are
+  separate groups. The join then sees thousands of rows, not
   billions; Spark broadcasts it when its measured size is under the
   broadcast threshold (AQE) and sort-merges it otherwise - no unchecked
   broadcast hint.
-* Category activity is a roll-up of the same per-market-day aggregate (count,
-  sum, tick-weighted mean) instead of a COUNT(DISTINCT) over ticks, which
-  removes the distinct-aggregation stage.
+* Category activity is a roll-up of the same per-market-day aggregate (distinct
+  ids, sum, tick-weighted mean): the distinct count runs over market-days, not
+  over ticks.
 * Expiry buckets and concentration are computed from the market-day facts
   (one row per market per day), never from ticks.
 """
@@ -40,8 +42,9 @@ HISTORY_COLUMNS = (
 def market_day_stats(ticks: DataFrame, start=None, end=None) -> DataFrame:
     """Per (date, market_id) aggregates over ticks with a non-negative spread.
 
-    Also carries ``spread_sum`` so that category activity can be rolled up
-    exactly (tick-weighted) from the same result.
+    Also carries ``spread_sum`` and ``spread_m2`` (sum of squared deviations),
+    so that category activity and repeated view rows can be worked out from
+    the same result.
     """
     t = ticks.where((F.col("spread") >= 0) & in_window("date", start, end))
     unix_s = F.unix_seconds(F.col("timestamp_received").cast("timestamp"))
@@ -57,13 +60,12 @@ def market_day_stats(ticks: DataFrame, start=None, end=None) -> DataFrame:
         F.max("spread").alias("max_spread"),
         guarded_corr(yes_only(unix_s.cast("double")), yes_only("best_bid")).alias("price_trend_corr"),
         F.sum("spread").alias("spread_sum"),
+        (F.var_pop("spread") * F.count(F.lit(1))).alias("spread_m2"),
     )
 
 
-def _with_market(stats: DataFrame, markets: DataFrame) -> DataFrame:
-    dim = markets.select("market_id", "question", "event_title", "category", "category_slug",
-                         "end_date", "closed", "resolution_status")
-    return stats.join(dim, "market_id", "left")
+VIEW_COLUMNS = ("question", "event_title", "category", "category_slug", "end_date", "closed",
+                "resolution_status")
 
 
 def market_history(ticks: DataFrame, markets: DataFrame, start=None, end=None,
@@ -72,7 +74,14 @@ def market_history(ticks: DataFrame, markets: DataFrame, start=None, end=None,
     the time/price correlation, with market metadata (defaults when the market
     has no row in the view)."""
     stats = market_day_stats(ticks, start, end) if stats is None else stats
-    j = _with_market(stats, markets)
+    view = markets.groupBy("market_id", *VIEW_COLUMNS).agg(F.count(F.lit(1)).alias("_copies"))
+    j = stats.join(view, "market_id", "left").withColumn("_copies", F.coalesce("_copies", F.lit(1)))
+    # n ticks taken k times each: k * m2 squared deviations of k * n values
+    repeated = F.sqrt(F.try_divide(F.col("_copies") * F.col("spread_m2"),
+                                   F.col("_copies") * F.col("tick_count") - 1))
+    j = j.withColumn("spread_volatility",
+                     F.when(F.col("_copies") == 1, F.col("spread_volatility")).otherwise(repeated))
+    j = j.withColumn("tick_count", F.col("tick_count") * F.col("_copies"))
     return j.select(
         "date", "market_id",
         F.coalesce("question", F.lit(S.MISSING_QUESTION)).alias("question"),
@@ -87,13 +96,15 @@ def market_history(ticks: DataFrame, markets: DataFrame, start=None, end=None,
 def category_activity(ticks: DataFrame, markets: DataFrame, start=None, end=None,
                       stats: DataFrame | None = None) -> DataFrame:
     """Per (date, category): active markets, ticks and tick-weighted mean
-    spread. Markets missing from the view count under 'Unknown / Deleted'."""
+    spread. Markets missing from the view count under 'Unknown / Deleted'; a
+    NULL market id counts as no market."""
     stats = market_day_stats(ticks, start, end) if stats is None else stats
-    j = _with_market(stats.select("date", "market_id", "tick_count", "spread_sum"), markets)
+    j = stats.select("date", "market_id", "tick_count", "spread_sum").join(
+        markets.select("market_id", "category"), "market_id", "left")
     agg = j.groupBy(
         "date", F.coalesce("category", F.lit(S.MISSING_CATEGORY)).alias("category")
     ).agg(
-        F.count(F.lit(1)).alias("market_count"),
+        F.count_distinct("market_id").alias("market_count"),
         F.sum("tick_count").alias("tick_count"),
         F.sum("spread_sum").alias("_spread_sum"),
     )
@@ -144,22 +155,29 @@ def expiry_buckets(history: DataFrame, start=None, end=None) -> DataFrame:
     )
 
 
-def category_concentration(history: DataFrame, activity: DataFrame, start=None,
+def category_concentration(history: DataFrame, activity: DataFrame | None = None, start=None,
                            end=None) -> DataFrame:
     """Per (date, category, market): tick share, rank, and the category-day's
     top share, top-3 share and Herfindahl index repeated on every row.
 
-    Input rows are market-days (already aggregated), so each (date, category)
-    window holds at most the markets active that day; all five window
-    functions share one exchange on (date, category).
+    Category totals come from ``activity``; without it they are summed over
+    the same history rows, which is what the activity fact holds, and the
+    ticks behind an unwritten history are read once.
+
+    Input rows are market-days (already aggregated). The rank of every market
+    needs a category-day's rows sorted in one place, so the other statistics
+    share that exchange; a group holds at most the markets active that day.
     """
-    m = history.where(in_window("date", start, end)).select(
+    group = Window.partitionBy("date", "category")
+    base = history.where(in_window("date", start, end)).select(
         "date", "category", "market_id", "question",
         F.col("tick_count").alias("market_tick_count"), "avg_spread", "spread_volatility")
-    c = activity.where(in_window("date", start, end) & (F.col("tick_count") > 0)).select(
-        "date", "category", F.col("tick_count").alias("category_tick_count"))
-    base = m.join(c, ["date", "category"], "inner")
-    group = Window.partitionBy("date", "category")
+    if activity is None:
+        base = base.withColumn("category_tick_count", F.sum("market_tick_count").over(group))
+    else:
+        c = activity.where(in_window("date", start, end) & (F.col("tick_count") > 0)).select(
+            "date", "category", F.col("tick_count").alias("category_tick_count"))
+        base = base.join(c, ["date", "category"], "inner")
     ranked = base.select(
         "*",
         F.count(F.lit(1)).over(group).alias("active_markets"),

@@ -32,24 +32,26 @@ from ..functions.columns import _as_date, in_window
 # --------------------------------------------------------------- DataFrame
 def window_replace(existing: DataFrame, fresh: DataFrame, start, end,
                    key: str = "date") -> DataFrame:
-    """Rows of ``existing`` outside ``[start, end)`` plus all ``fresh`` rows."""
-    kept = existing.where(~in_window(key, start, end))
+    """Rows of ``existing`` outside ``[start, end)`` plus all ``fresh`` rows.
+    A NULL date lies outside every window, so its rows stay."""
+    kept = existing.where(~F.coalesce(in_window(key, start, end), F.lit(False)))
     return kept.unionByName(fresh)
 
 
 def insert_only_merge(target: DataFrame, source: DataFrame, key: str | list[str] = "market_id",
-                      dedup: bool = True) -> DataFrame:
+                      dedup: bool = False) -> DataFrame:
     """``target`` plus the ``source`` rows whose key is not in ``target``.
 
-    ``dedup`` keeps one source row per key (the smallest by the remaining
-    columns, so the choice is deterministic), which stops duplicated keys from
-    fanning out later joins; ``dedup=False`` inserts every duplicate.
+    Every unmatched source row is inserted, also several of a key. ``dedup``
+    keeps one source row per key (the smallest by the remaining columns, so
+    the choice is deterministic), which stops duplicated keys from fanning out
+    later joins.
     """
     return target.unionByName(merge_inserts(target, source, key, dedup))
 
 
 def merge_inserts(target: DataFrame, source: DataFrame, key: str | list[str] = "market_id",
-                  dedup: bool = True) -> DataFrame:
+                  dedup: bool = False) -> DataFrame:
     """Only the rows ``insert_only_merge`` adds."""
     keys = [key] if isinstance(key, str) else list(key)
     new = source.join(target.select(*keys), keys, "left_anti")
@@ -127,6 +129,9 @@ def overwrite_dates(df: DataFrame, path: str, start, end, cluster_by=(),
     return failed
 
 
+NULL_DATE = "__HIVE_DEFAULT_PARTITION__"
+
+
 def write_window(fresh: DataFrame, path: str, start, end, cluster_by=(),
                  partition_col: str = "date", tie_breaker: str | None = None,
                  max_records_per_file: int | None = None, large: bool = True) -> list[date]:
@@ -136,11 +141,19 @@ def write_window(fresh: DataFrame, path: str, start, end, cluster_by=(),
     (``_staging-*``: ignored by readers), then swapped in date by date: a
     window date with staged rows replaces its folder, a window date without
     staged rows loses its folder, and staged dates outside the window are
-    appended to (as the source inserts whatever the query returns). Returns
-    the window dates left empty. ``fresh`` must not be a lazy read of ``path``.
+    appended to (as the source inserts whatever the query returns). Rows
+    without a date belong to no window; a run replaces the ones that are
+    there, so that a repeated run does not add them again. Returns the window
+    dates left empty. ``fresh`` must not be a lazy read of ``path``, and a table
+    has one writer at a time.
+
+    A replaced folder is moved aside, the new one moved in, and only then is
+    the old one deleted; a run that was stopped in between is put right at the
+    start of the next one (``recover``).
     """
     spark = fresh.sparkSession
     root = path.rstrip("/")
+    recover(spark, root)
     staging = f"{root}/_staging-{uuid.uuid4().hex}"
     out = clustered(fresh, cluster_by, partition_col, tie_breaker, large)
     _writer(out, partition_col, max_records_per_file).mode("errorifexists").save(staging)
@@ -149,14 +162,11 @@ def write_window(fresh: DataFrame, path: str, start, end, cluster_by=(),
               for name in _list_dirs(spark, staging) if name.startswith(f"{partition_col}=")}
     window = {d.isoformat() for d in date_range(start, end)}
     emptied = []
-    for day in sorted(window):
-        target = f"{root}/{partition_col}={day}"
-        if day in staged:
-            _delete_dir(spark, target)
-            _rename(spark, staged[day], target)
-        elif _delete_dir(spark, target):
+    for day in sorted(window | ({NULL_DATE} & set(staged))):
+        had = swap_folder(spark, root, f"{partition_col}={day}", staged.get(day))
+        if had and day not in staged:
             emptied.append(_as_date(day))
-    for day in sorted(set(staged) - window):       # rows outside the window: insert
+    for day in sorted(set(staged) - window - {NULL_DATE}):     # rows outside the window: insert
         target = f"{root}/{partition_col}={day}"
         _mkdirs(spark, target)
         for name in _list_files(spark, staged[day]):
@@ -165,6 +175,43 @@ def write_window(fresh: DataFrame, path: str, start, end, cluster_by=(),
     return emptied
 
 
+ASIDE = "_aside"
+
+
+def swap_folder(spark, root: str, name: str, fresh: str | None) -> bool:
+    """Put the folder ``fresh`` (or nothing) in the place of ``root/name``:
+    old aside, new in, old deleted. True if there was an old one."""
+    target, aside = f"{root}/{name}", f"{root}/{ASIDE}/{name}"
+    had = _exists(spark, target)
+    if had:
+        _mkdirs(spark, f"{root}/{ASIDE}")
+        _rename(spark, target, aside)
+    if fresh:
+        _rename(spark, fresh, target)
+    if had:
+        _delete_dir(spark, aside)
+    return had
+
+
+def recover(spark, root: str) -> list[str]:
+    """Undo what a stopped ``write_window`` left in the table: a folder that
+    was moved aside and not yet replaced goes back, other leftovers go.
+    Returns the folders put back; their window has to be run again."""
+    if not _exists(spark, root):
+        return []
+    back = []
+    if _exists(spark, f"{root}/{ASIDE}"):
+        for name in _list_dirs(spark, f"{root}/{ASIDE}"):
+            if not _exists(spark, f"{root}/{name}"):
+                _rename(spark, f"{root}/{ASIDE}/{name}", f"{root}/{name}")
+                back.append(name)
+        _delete_dir(spark, f"{root}/{ASIDE}")
+    for name in _list(spark, root, True, hidden=True):
+        if name.startswith("_staging-"):
+            _delete_dir(spark, f"{root}/{name}")
+    return back
+
+
 def ensure_table(spark, path: str, schema, partition_col: str | None = "date") -> bool:
     """Create an empty Parquet table with ``schema`` if ``path`` is absent.
     Returns True when it was created."""
@@ -177,15 +224,19 @@ def ensure_table(spark, path: str, schema, partition_col: str | None = "date") -
     return True
 
 
-def append_inserts(target_path: str, source: DataFrame, key="market_id", dedup=True) -> None:
+def append_inserts(target_path: str, source: DataFrame, key="market_id", dedup=False) -> None:
     """Insert-only merge into a Parquet table: only unmatched keys are
     appended, existing rows are never rewritten."""
     spark = source.sparkSession
     target = spark.read.parquet(target_path)
     inserts = merge_inserts(target, source, key, dedup)
     # Cut the lineage to the table being appended to before writing.
-    from ..session import materialize
-    materialize(inserts, "merge_inserts").write.format("parquet").mode("append").save(target_path)
+    from ..session import materialize, scratch_path
+    path = scratch_path(spark, "merge_inserts")
+    try:
+        materialize(inserts, path=path).write.format("parquet").mode("append").save(target_path)
+    finally:
+        remove_dir(spark, path)
 
 
 # ------------------------------------------------------------- file system
@@ -223,12 +274,12 @@ def _rename(spark, src: str, dst: str) -> None:
         raise OSError(f"rename {src} -> {dst} failed")
 
 
-def _list(spark, path: str, dirs: bool) -> list[str]:
+def _list(spark, path: str, dirs: bool, hidden: bool = False) -> list[str]:
     fs, p = _fs_path(spark, path)
     if not fs.exists(p):
         return []
-    return [st.getPath().getName() for st in fs.listStatus(p)
-            if bool(st.isDirectory()) == dirs and not st.getPath().getName().startswith(("_", "."))]
+    return [st.getPath().getName() for st in fs.listStatus(p) if bool(st.isDirectory()) == dirs
+            and (hidden or not st.getPath().getName().startswith(("_", ".")))]
 
 
 def _list_dirs(spark, path: str) -> list[str]:

@@ -68,12 +68,18 @@ def concentration_heatmap(concentration: DataFrame) -> DataFrame:
 
 
 def category_pie(activity: DataFrame) -> DataFrame:
-    """Each category's share of all ticks in the range. The share window runs
-    over the per-category totals (one row per category)."""
+    """Each category's share of all ticks in the range."""
     per = activity.groupBy("category").agg(F.sum("tick_count").alias("tick_count"))
-    return per.select("category", "tick_count",
-                      (F.col("tick_count") / F.sum("tick_count").over(Window.partitionBy()))
-                      .alias("tick_share"))
+    total = activity.agg(F.sum("tick_count")).scalar()        # a single-row subquery
+    return per.select("category", "tick_count", (F.col("tick_count") / total).alias("tick_share"))
+
+
+def market_share_drilldown(concentration: DataFrame, category: str) -> DataFrame:
+    """The markets behind one category's cells of the heat-map, with share and
+    rank on each day."""
+    return concentration.where(F.col("category") == F.lit(category)).select(
+        "date", "market_id", "question", "market_tick_count", "market_tick_share",
+        "market_rank_in_category")
 
 
 def segmentation(facts: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""The daily job: raw order book -> ticks table -> six fact tables.
+"""The daily job: raw order book -> dimension, ticks table -> six fact tables.
 
 One call processes a half-open date window and is idempotent: every table is
 written with ``sinks.write_window`` (delete+insert of the window), so re-runs
@@ -18,11 +18,16 @@ Shape at scale (5e8+ raw rows a day):
 * The per-market-day aggregate is written once as Parquet under the cluster's
   ``spark.checkpoint.dir`` and feeds both the history and the activity fact;
   expiry buckets and concentration read the written history/activity facts.
-* Quality rules of the raw table and of the ticks are observed metrics of
-  the scan that parses and writes them (no second pass over the two largest
-  tables); the facts' rules run on their written tables of the window.
-  ``gate`` raises on a blocking failure after all tables are written (as the
-  source checks after materialization).
+* The ticks' quality rules are observed metrics of the pass that writes them.
+  The raw table's rules are a pass of their own that does not parse: of the
+  payload it needs only whether it is there, and it keeps no filter from the
+  scan that does parse (an observation above that scan would). The facts'
+  rules run on their written tables of the window. ``gate`` raises on a
+  blocking failure after all tables are written (as the source checks after
+  materialization).
+* ``update_dimension`` discovers the window's unknown market ids, enriches and
+  merges them; ``run_daily`` does that first and lets the dimension's and the
+  view's rules stop the run before any fact is written.
 """
 
 from __future__ import annotations
@@ -32,6 +37,7 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .. import schemas as S
 from ..functions.columns import in_window
 from ..operators import markets as M
 from ..operators import quality as Q
@@ -107,14 +113,10 @@ def run_window(spark: SparkSession, raw: DataFrame, dim: DataFrame, out_root: st
     def read(name: str) -> DataFrame:
         return read_window(spark, paths[name], start, end, schemas[name])
 
-    # 1. ticks: the only step that reads raw rows and parses JSON. The raw
-    #    table's checks are observed during this same scan and the ticks'
-    #    checks on the rows being written; the window is applied first so both
-    #    the checks and the scan are window-scoped.
-    raw = K.window_rows(raw, start, end)
-    observed_raw, raw_checks = Q.observe_rules(raw, Q.orderbook_rules(), table="orderbook")
+    # 1. ticks: the only step that parses JSON; the update type and the window
+    #    reach the scan, and the ticks are checked as they are written
     fresh_ticks, tick_checks = Q.observe_rules(
-        K.price_changes(observed_raw, start, end, strict=strict), RULES["price_changes"](),
+        K.price_changes(raw, start, end, strict=strict), RULES["price_changes"](),
         table="price_changes")
     write("price_changes", fresh_ticks)
     ticks = read("price_changes")
@@ -122,9 +124,12 @@ def run_window(spark: SparkSession, raw: DataFrame, dim: DataFrame, out_root: st
     # 2. market-day aggregate, shared by history and activity
     markets = M.markets_view(dim)
     stats_path = scratch_path(spark, "market_day_stats")
-    stats = materialize(R.market_day_stats(ticks, start, end), path=stats_path)
-    write("market_history", R.market_history(None, markets, stats=stats))
-    write("category_activity", R.category_activity(None, markets, stats=stats))
+    try:
+        stats = materialize(R.market_day_stats(ticks, start, end), path=stats_path)
+        write("market_history", R.market_history(None, markets, stats=stats))
+        write("category_activity", R.category_activity(None, markets, stats=stats))
+    finally:
+        SK.remove_dir(spark, stats_path)
 
     # 3. hourly and tier facts straight from the ticks table
     write("spread_over_time", R.spread_over_time(ticks, start, end))
@@ -137,18 +142,50 @@ def run_window(spark: SparkSession, raw: DataFrame, dim: DataFrame, out_root: st
     write("category_concentration", R.category_concentration(history, activity, start, end))
 
     # 5. quality of everything written in the window
-    reports = [Q.quality_report(read(name), RULES[name](), table=name) for name in TABLES
-               if name != "price_changes"]
+    reports = [Q.quality_report(K.window_rows(raw, start, end), Q.orderbook_rules(), table="orderbook")]
+    reports += [Q.quality_report(read(name), RULES[name](), table=name) for name in TABLES
+                if name != "price_changes"]
     report = reports[0]
     for r in reports[1:]:
         report = report.unionByName(r)
-    result.report = raw_checks() + tick_checks() + [r.asDict() for r in report.collect()]
-    SK.remove_dir(spark, stats_path)
+    result.report = tick_checks() + [r.asDict() for r in report.collect()]
     if gate:
         result.failures = Q.gate(result.report)
     return result
 
 
+def update_dimension(spark: SparkSession, raw: DataFrame, dim_path: str, payload: DataFrame,
+                     event_tags: DataFrame, start, end) -> DataFrame:
+    """Discovery, enrichment and merge: ids of the window's raw rows that the
+    stored dimension lacks are looked up in the landed metadata (ghost rows
+    where there is none) and appended. Returns the dimension."""
+    SK.ensure_table(spark, dim_path, S.DIM_MARKETS, partition_col=None)
+    dim = spark.read.schema(S.DIM_MARKETS).parquet(dim_path)
+    new = M.enrich_markets(M.new_market_ids(raw, dim, start, end), payload, event_tags)
+    SK.append_inserts(dim_path, new)
+    return spark.read.schema(S.DIM_MARKETS).parquet(dim_path)
+
+
+def check_dimension(dim: DataFrame) -> list[dict]:
+    """Rules of the dimension and of the view on it; raises on a blocking one."""
+    report = Q.quality_report(dim, Q.dim_rules(), table="dim_markets").unionByName(
+        Q.quality_report(M.markets_view(dim), Q.view_rules(), table="markets_view"))
+    rows = [r.asDict() for r in report.collect()]
+    Q.gate(rows)
+    return rows
+
+
+def run_daily(spark: SparkSession, raw: DataFrame, dim_path: str, payload: DataFrame,
+              event_tags: DataFrame, out_root: str, start, end, **kw) -> RunResult:
+    """The whole chain for ``[start, end)``: the dimension is brought up to
+    date and checked, then every table is built with it."""
+    dim = update_dimension(spark, raw, dim_path, payload, event_tags, start, end)
+    checks = check_dimension(dim)
+    result = run_window(spark, raw, dim, out_root, start, end, **kw)
+    result.report = checks + result.report
+    return result
+
+
 def run_backfill(spark: SparkSession, raw_root: str, dim: DataFrame, out_root: str, start, end,
                  days_per_run: int = 7, **kw) -> list[RunResult]:
     """Backfill ``[start, end)`` in consecutive windows of ``days_per_run``.

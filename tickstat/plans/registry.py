@@ -2,8 +2,8 @@
 
 Each entry takes ``(spark, sf_dir)`` and returns a DataFrame computed from the
 given parquet tables through the fixture projections in
-``sources.fixtures``. Whole tables, no sampling: the fixture windows cover all
-the data. ``present`` aligns output types with the SQL oracle (doubles rounded
+``sources.fixtures``. Whole tables, no sampling; the ``*_window`` queries apply
+the reports' own half-open date window. ``present`` aligns output types with the SQL oracle (doubles rounded
 to 9 places because sums are order dependent; UTC timestamps as wall-clock
 TIMESTAMP_NTZ, the type the oracle returns).
 """
@@ -11,6 +11,7 @@ TIMESTAMP_NTZ, the type the oracle returns).
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from ..operators import markets as M
 from ..operators import reports as R
 from ..operators import ticks as K
 from ..sources import fixtures as FX
-from ..session import configure, materialize
+from ..session import configure
 from ..sources.tables import read_table
 
 ROUND_DIGITS = 9
@@ -150,46 +151,42 @@ def distribution(spark, sf_dir):
 
 
 def concentration(spark, sf_dir):
-    # history and activity both need the market-day aggregate; written once,
-    # it is not re-derived (and the payload not re-parsed) per branch
-    stats = materialize(_stats(spark, sf_dir), "market_day_stats")
-    return R.category_concentration(history(spark, sf_dir, stats), activity(spark, sf_dir, stats))
+    # category totals from the same history rows: the ticks are parsed once
+    return R.category_concentration(history(spark, sf_dir))
 
 
+# the quality queries check rows of which some are bad (see the fixtures), so
+# that every kind of rule has violations to find
 def q_quality_orderbook(spark, sf_dir):
-    return Q.quality_report(orderbook(spark, sf_dir), Q.orderbook_rules(), table="orderbook")
+    return Q.quality_report(FX.spoiled_orderbook(orderbook(spark, sf_dir)), Q.orderbook_rules(),
+                            table="orderbook")
 
 
 def q_quality_ticks(spark, sf_dir):
-    return Q.quality_report(ticks(spark, sf_dir), Q.ticks_rules(), table="price_changes")
+    return Q.quality_report(FX.spoiled_ticks(ticks(spark, sf_dir)), Q.ticks_rules(), table="price_changes")
 
 
 def q_quality_markets(spark, sf_dir):
-    return Q.quality_report(dim(spark, sf_dir), Q.dim_rules(), table="dim_markets").unionByName(
-        Q.quality_report(markets(spark, sf_dir), Q.view_rules(), table="markets_view"))
+    bad = FX.spoiled_dim(dim(spark, sf_dir))
+    return Q.quality_report(bad, Q.dim_rules(), table="dim_markets").unionByName(
+        Q.quality_report(M.markets_view(bad), Q.view_rules(), table="markets_view"))
 
 
 def q_quality_facts(spark, sf_dir):
-    # six facts share the ticks and the market-day aggregate: write both once
-    # under the checkpoint folder instead of re-deriving them per fact
-    tk = materialize(ticks(spark, sf_dir), "ticks")
-    stats = materialize(R.market_day_stats(tk), "market_day_stats")
-    hist = history(spark, sf_dir, stats)
-    act = activity(spark, sf_dir, stats)
-    parts = [
-        Q.quality_report(act, Q.activity_rules(), table="category_activity"),
-        Q.quality_report(hist, Q.history_rules(), table="market_history"),
-        Q.quality_report(R.spread_over_time(tk), Q.over_time_rules(), table="spread_over_time"),
-        Q.quality_report(R.spread_distribution(tk), Q.distribution_rules(),
-                         table="spread_distribution"),
-        Q.quality_report(R.expiry_buckets(hist), Q.expiry_rules(), table="expiry_buckets"),
-        Q.quality_report(R.category_concentration(hist, act), Q.concentration_rules(),
-                         table="category_concentration"),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    # each fact is one small aggregate, kept by the executors (and worked out
+    # again if one is lost) for the several passes its rules make
+    hist = history(spark, sf_dir).persist()
+    facts = {
+        "category_activity": (activity(spark, sf_dir), Q.activity_rules()),
+        "market_history": (hist, Q.history_rules()),
+        "spread_over_time": (over_time(spark, sf_dir), Q.over_time_rules()),
+        "spread_distribution": (distribution(spark, sf_dir), Q.distribution_rules()),
+        "expiry_buckets": (R.expiry_buckets(hist), Q.expiry_rules()),
+        "category_concentration": (R.category_concentration(hist), Q.concentration_rules()),
+    }
+    return reduce(DataFrame.unionByName, [
+        Q.quality_report(FX.spoiled_fact(df, name).persist(), rules, table=name)
+        for name, (df, rules) in facts.items()])
 
 
 def q_ghost_ratio(spark, sf_dir):
@@ -224,6 +221,7 @@ from ..functions.columns import in_window  # noqa: E402
 from ..functions.text import sanitize_text  # noqa: E402
 from ..operators import sinks as SK  # noqa: E402
 from ..sources import raw as RAW  # noqa: E402
+from ..sources.payload import parse_market_payload  # noqa: E402
 
 # Fixed values of the replace and merge fixtures.
 REPLACE_WINDOW = ("2024-01-10", "2024-01-20")
@@ -242,14 +240,20 @@ def q_hour_slots(spark, sf_dir):
     return _expected_slots(spark, sf_dir)
 
 
+def q_date_slots(spark, sf_dir):
+    return RAW.date_slots_between(RAW.data_hour_bounds(orderbook(spark, sf_dir)))
+
+
+def _landed(spark, sf_dir):
+    return RAW.landed_slots_from_data(FX.landed_late(orderbook(spark, sf_dir)))
+
+
 def q_missing_slots(spark, sf_dir):
-    landed = RAW.landed_slots_from_data(orderbook(spark, sf_dir))
-    return RAW.missing_slots(_expected_slots(spark, sf_dir), landed)
+    return RAW.missing_slots(_expected_slots(spark, sf_dir), _landed(spark, sf_dir))
 
 
 def q_slot_completeness(spark, sf_dir):
-    landed = RAW.landed_slots_from_data(orderbook(spark, sf_dir))
-    return RAW.completeness(RAW.slot_status(_expected_slots(spark, sf_dir), landed))
+    return RAW.completeness(RAW.slot_status(_expected_slots(spark, sf_dir), _landed(spark, sf_dir)))
 
 
 def q_window_replace(spark, sf_dir):
@@ -280,12 +284,20 @@ def q_insert_only_merge(spark, sf_dir):
     return SK.insert_only_merge(target, source, "market_id")
 
 
-def q_file_inventory(spark, sf_dir):
-    return RAW.file_inventory(spark, sf_dir)
+def q_merge_one_per_key(spark, sf_dir):
+    target, source = merge_fixture(spark, sf_dir)
+    return SK.insert_only_merge(target, source, "market_id", dedup=True)
 
 
-def q_parquet_integrity(spark, sf_dir):
-    return RAW.parquet_integrity(RAW.file_inventory(spark, sf_dir))
+def q_landed_payload(spark, sf_dir):
+    """Market objects as landed JSON text, read back with the declared schema."""
+    payload = FX.market_payload_from_customer(table(spark, sf_dir, "customer"))
+    landed = payload.select(F.to_json(F.struct(*payload.columns)).alias("value"))
+    event = F.try_element_at("events", F.lit(1))
+    return parse_market_payload(landed).select(
+        "conditionId", "question", F.size("events").cast("long").alias("events"), event["id"].alias("event_id"),
+        event["title"].alias("event_title"), "endDateIso", "endDate", "closed", "umaResolutionStatus",
+        F.schema_of_variant("umaResolutionStatuses").startswith("ARRAY").alias("statuses_are_a_list"))
 
 
 def q_new_market_ids(spark, sf_dir):
@@ -319,8 +331,9 @@ QUERIES.update({
     "slot_completeness": q_slot_completeness,
     "window_replace": q_window_replace,
     "insert_only_merge": q_insert_only_merge,
-    "file_inventory": q_file_inventory,
-    "parquet_integrity": q_parquet_integrity,
+    "merge_one_per_key": q_merge_one_per_key,
+    "date_slots": q_date_slots,
+    "landed_payload": q_landed_payload,
     "new_market_ids": q_new_market_ids,
     "pick_category": q_pick_category,
     "sanitize_text": q_sanitize_text,
@@ -345,4 +358,44 @@ QUERIES.update({
     "expiry_segmentation": lambda s, d: DT.expiry_segmentation(R.expiry_buckets(history(s, d))),
     "concentration_heatmap": lambda s, d: DT.concentration_heatmap(concentration(s, d)),
     "category_pie": lambda s, d: DT.category_pie(activity(s, d)),
+    "market_share_drilldown": lambda s, d: DT.market_share_drilldown(concentration(s, d), TILE_CATEGORY),
+})
+
+
+# ----------------------------------------------------------- date windows
+WINDOW = ("2024-01-08", "2024-01-15")
+
+QUERIES.update({
+    "market_history_window": lambda s, d: R.market_history(ticks(s, d), markets(s, d), *WINDOW),
+    "category_activity_window": lambda s, d: R.category_activity(ticks(s, d), markets(s, d), *WINDOW),
+    "spread_over_time_window": lambda s, d: R.spread_over_time(ticks(s, d), *WINDOW),
+    "spread_distribution_window": lambda s, d: R.spread_distribution(ticks(s, d), *WINDOW),
+    "expiry_buckets_window": lambda s, d: R.expiry_buckets(history(s, d), *WINDOW),
+    "category_concentration_window": lambda s, d: R.category_concentration(
+        history(s, d), activity(s, d), *WINDOW),
+    "price_changes_window": lambda s, d: K.price_changes(orderbook(s, d), *WINDOW),
+    "new_market_ids_window": lambda s, d: M.new_market_ids(orderbook(s, d), dim(s, d), *WINDOW),
+    "partition_row_counts_window": lambda s, d: RAW.partition_row_counts(orderbook(s, d), *WINDOW),
+})
+
+
+# -------------------------------------------------- repeated dimension rows
+def doubled_markets(spark, sf_dir):
+    """The view with the rows of keys % 4 = 0 twice, for keys % 8 = 0 with
+    another question: what a merge of duplicate keys leads to."""
+    view = markets(spark, sf_dir)
+    key = FX.market_key()
+    again = F.when(key % 8 == 0, F.concat("question", F.lit(" (dup)"))).otherwise(F.col("question"))
+    both = F.when(key % 4 == 0, F.array(F.col("question"), again)).otherwise(F.array("question"))
+    return view.withColumn("question", F.explode(both)).select(*view.columns)
+
+
+def unnamed_ticks(spark, sf_dir):
+    """The ticks with no id for markets with key % 23 = 0."""
+    return ticks(spark, sf_dir).withColumn("market_id", F.when(FX.market_key() % 23 != 0, F.col("market_id")))
+
+
+QUERIES.update({
+    "market_history_repeated": lambda s, d: R.market_history(unnamed_ticks(s, d), doubled_markets(s, d)),
+    "category_activity_repeated": lambda s, d: R.category_activity(unnamed_ticks(s, d), doubled_markets(s, d)),
 })

@@ -19,16 +19,6 @@ RAW_ORDERBOOK = T.StructType([
     T.StructField("data", T.StringType()),
 ])
 
-# Fields read from a price_change payload (all kept as text until cast).
-PRICE_CHANGE_PAYLOAD = T.StructType([
-    T.StructField("token_id", T.StringType()),
-    T.StructField("side", T.StringType()),
-    T.StructField("best_bid", T.StringType()),
-    T.StructField("best_ask", T.StringType()),
-    T.StructField("change_size", T.StringType()),
-    T.StructField("change_side", T.StringType()),
-])
-
 PRICE_CHANGES = T.StructType([
     T.StructField("timestamp_received", T.TimestampType()),
     T.StructField("market_id", T.StringType()),
@@ -75,7 +65,8 @@ MARKET_PAYLOAD = T.StructType([
     T.StructField("endDate", T.StringType()),
     T.StructField("closed", T.BooleanType()),
     T.StructField("umaResolutionStatus", T.StringType()),
-    T.StructField("umaResolutionStatuses", T.StringType()),
+    # text or a list in the landed objects: kept with its type
+    T.StructField("umaResolutionStatuses", T.VariantType()),
 ])
 
 EVENT_TAGS = T.StructType([

@@ -3,13 +3,14 @@
 Markets (``schemas.MARKET_PAYLOAD``: conditionId, question, events[] with
 tags[], end dates, closed, resolution statuses) and tags per event
 (``schemas.EVENT_TAGS``) are read with declared schemas - never inferred - so
-a missing field is NULL and a string-or-list field (``umaResolutionStatuses``)
-arrives as its JSON text, which ``operators.markets.enrich_markets`` decodes.
+a missing field is NULL and the string-or-list field ``umaResolutionStatuses``
+is a variant, whose type ``operators.markets.enrich_markets`` tests.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import schemas as S
 
@@ -19,6 +20,12 @@ def read_market_payload(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(S.MARKET_PAYLOAD).option("mode", "PERMISSIVE").json(path)
 
 
+def parse_market_payload(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Market objects from a column of JSON text (one object per row)."""
+    parsed = F.from_json(F.col(column), S.MARKET_PAYLOAD, {"mode": "PERMISSIVE"})
+    return lines.select(parsed.alias("_p")).select("_p.*")
+
+
 def read_event_tags(spark: SparkSession, path: str) -> DataFrame:
     """Tags per event id, one ``{"event_id": ..., "tags": [...]}`` per line."""
     return spark.read.schema(S.EVENT_TAGS).option("mode", "PERMISSIVE").json(path)

@@ -31,14 +31,15 @@ def scan_raw(spark: SparkSession, root: str, start=None, end=None) -> DataFrame:
     listed for reading."""
     schema = T.StructType(S.RAW_ORDERBOOK.fields + [T.StructField("date", T.DateType())])
     df = spark.read.schema(schema).option("basePath", root).parquet(root)
-    return df.where(in_window("date", start, end))
+    # a table filled by the ingest has a folder per load inside each date
+    return df.where(in_window("date", start, end)).select(*schema.fieldNames())
 
 
 def partition_row_counts(orderbook: DataFrame, start=None, end=None) -> DataFrame:
     """Rows present per date (DATE of ``timestamp_received``)."""
+    from ..operators.ticks import window_rows
     day = F.to_date("timestamp_received")
-    df = orderbook.where(in_window(day, start, end)) if (start or end) else orderbook
-    return df.groupBy(day.alias("date")).agg(F.count(F.lit(1)).alias("row_count"))
+    return window_rows(orderbook, start, end).groupBy(day.alias("date")).agg(F.count(F.lit(1)).alias("row_count"))
 
 
 # ------------------------------------------------------------ slot calendar
@@ -77,6 +78,13 @@ def date_slots(spark: SparkSession, start, end) -> DataFrame:
     return spark.range(1).select(F.explode(F.coalesce(seq, F.array())).alias("date"))
 
 
+def date_slots_between(bounds: DataFrame, start_col: str = "start", end_col: str = "end") -> DataFrame:
+    """Dates of each ``[start, end)`` row of ``bounds``."""
+    s, e = F.col(start_col).cast("date"), F.col(end_col).cast("date")
+    seq = F.when(s < e, F.sequence(s, F.date_sub(e, 1)))
+    return bounds.select(F.explode(F.coalesce(seq, F.array())).alias("date"))
+
+
 def data_hour_bounds(df: DataFrame, ts_col: str = "timestamp_received") -> DataFrame:
     """One row ``[first date, last date + 1)`` covering the data (a global
     aggregate: one partial row per task)."""
@@ -144,7 +152,7 @@ def file_inventory(spark: SparkSession, root: str, glob: str = "*.parquet") -> D
     )
 
 
-_INTEGRITY_SCHEMA = "path string, size_bytes long, head string, tail string, ok boolean"
+_INTEGRITY_SCHEMA = "path string, size_bytes long, head string, tail string, ok boolean, error string"
 _MAGIC = S.PARQUET_MAGIC
 
 # Ship this module's code with the mapInPandas function (pickled by value):
@@ -156,26 +164,30 @@ def _check_magic(batches):
     import pyarrow.fs as pafs
 
     for pdf in batches:
-        heads, tails, oks = [], [], []
+        heads, tails, oks, errors = [], [], [], []
         for path, size in zip(pdf["path"], pdf["size_bytes"]):
+            head, tail, error = None, None, None
             try:
                 fs, p = pafs.FileSystem.from_uri(path)
                 with fs.open_input_file(p) as f:
                     n = f.size()
                     head = f.read_at(4, 0) if n >= 4 else f.read_at(n, 0)
                     tail = f.read_at(4, n - 4) if n >= 4 else b""
-            except (OSError, ValueError):
-                head, tail = b"", b""
-            heads.append(head.hex())
-            tails.append(tail.hex())
-            oks.append(head == _MAGIC and tail == _MAGIC)
-        yield pd.DataFrame({"path": pdf["path"], "size_bytes": pdf["size_bytes"],
-                            "head": heads, "tail": tails, "ok": oks})
+            except (OSError, ValueError) as e:       # not read: says nothing about the file
+                error = f"{type(e).__name__}: {e}"
+            heads.append(None if error else head.hex())
+            tails.append(None if error else tail.hex())
+            oks.append(None if error else head == _MAGIC and tail == _MAGIC)
+            errors.append(error)
+        yield pd.DataFrame({"path": pdf["path"], "size_bytes": pdf["size_bytes"], "head": heads,
+                            "tail": tails, "ok": pd.array(oks, "boolean"), "error": errors})
 
 
 def parquet_integrity(files: DataFrame) -> DataFrame:
-    """(path, size_bytes, head, tail, ok): a file is sound when its first and
-    last four bytes are the Parquet magic ``PAR1``.
+    """(path, size_bytes, head, tail, ok, error): a file is sound when its
+    first and last four bytes are the Parquet magic ``PAR1``. A file that could
+    not be read (rights, network, unknown scheme) has a NULL ``ok`` and the
+    reason in ``error``.
 
     Runs on the executors over the listing from ``file_inventory``: each task
     reads 8 bytes per file, so auditing millions of files is a wide, cheap

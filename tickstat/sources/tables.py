@@ -4,44 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Inputs up to this size may be re-spread over the cores; larger ones never are.
-SMALL_INPUT_BYTES = 256 * 1024 * 1024
-# ... in slices of about this many bytes (at most one per core).
-SPREAD_SLICE_BYTES = 256 * 1024
-
-
-def input_bytes(spark: SparkSession, path: str) -> int:
-    """Total size of the files under ``path`` (one file-system call)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
-
-
-def spread_if_small(df: DataFrame, size_bytes: int) -> DataFrame:
-    """Round-robin a small input over all cores.
-
-    A small Parquet file is often one row group, which Spark reads in a single
-    task; every narrow step after the scan (JSON parsing included) would then
-    run on one core. Spreading a table of at most ``SMALL_INPUT_BYTES`` costs a
-    shuffle of at most that much; larger tables are split into many scan
-    partitions by Spark itself and are returned untouched, so this never adds
-    a shuffle of big data.
-    """
-    if size_bytes <= SMALL_INPUT_BYTES:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        slices = max(1, -(-size_bytes // SPREAD_SLICE_BYTES))
-        return df.repartition(min(cores, slices))
-    return df
-
 
 def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
-    """``<directory>/<name>.parquet``, spread over the cores when small.
-    Without access to the cluster's file system API (a Spark Connect client)
-    the table is read as it is."""
-    path = f"{directory.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    try:
-        return spread_if_small(df, input_bytes(spark, path))
-    except Exception:   # noqa: BLE001 - no JVM handle: keep Spark's own splits
-        return df
+    """``<directory>/<name>.parquet`` as it is."""
+    return spark.read.parquet(f"{directory.rstrip('/')}/{name}.parquet")

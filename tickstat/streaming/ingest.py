@@ -1,27 +1,37 @@
 """Incremental load of landed hourly files into the raw order-book table.
 
 The source re-runs a loader that skips hourly files already landed and
-reloads date partitions. In Spark the same guarantee - every landed file is
-loaded exactly once, re-runs are no-ops - is a file stream with a checkpoint:
-the stream's source log remembers which files were read and the Parquet
-sink's commit log which were written. ``availableNow`` processes whatever has
-landed since the last run and stops, so it runs as a scheduled batch.
-
-The raw table is partitioned by ``date = DATE(timestamp_received)`` (UTC), the
-contract ``price_changes`` relies on for partition pruning. Readers of the
-table (``sources.raw.scan_raw``) see only committed files.
+reloads date partitions. Here a file stream remembers which files were read,
+and every micro-batch is written under its own number:
+``<table>/date=YYYY-MM-DD/load=<batch>/*.parquet``. A batch that is run again
+after a failure overwrites its own folders, so every landed file is in the
+table exactly once; ``availableNow`` processes what has landed since the last
+run and stops, so it runs as a scheduled batch.
+
+The stream's memory belongs to the table and lies in it (``_checkpoint``,
+ignored by readers), so any application that loads the table goes on where
+the last one stopped. Files are clustered by market and update type, which
+lets readers skip files by their statistics.
+
+``reload_dates`` replaces whole dates from the landing folder, as the source's
+partition load does; the stream does not read those files again.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
-from ..session import checkpoint_dir
+from ..functions.columns import in_window
+from ..operators import sinks as SK
+from ..sources.raw import scan_raw
 
 LANDED = T.StructType(S.RAW_ORDERBOOK.fields + [T.StructField("date", T.DateType())])
+CLUSTER = ["market_id", "update_type"]
 
 
 def landed_stream(spark: SparkSession, landing_root: str,
@@ -33,22 +43,61 @@ def landed_stream(spark: SparkSession, landing_root: str,
     return reader.parquet(landing_root)
 
 
+def _raw_rows(landed: DataFrame, load: str) -> DataFrame:
+    """Raw columns, the date of the row itself, and the load it came with."""
+    return landed.select(*[F.col(f.name) for f in S.RAW_ORDERBOOK.fields],
+                         F.to_date("timestamp_received").alias("date"), F.lit(load).alias("load"))
+
+
+def _write(rows: DataFrame, path: str, mode: str) -> None:
+    (rows.hint("rebalance", "date", *CLUSTER).sortWithinPartitions("date", *CLUSTER)
+     .write.partitionBy("date", "load").option("partitionOverwriteMode", "dynamic").mode(mode).parquet(path))
+
+
 def load_landed(spark: SparkSession, landing_root: str, raw_table: str,
                 checkpoint_location: str | None = None,
                 max_files_per_trigger: int | None = None) -> dict | None:
-    """Append every newly landed file to ``raw_table`` and stop.
-
-    ``checkpoint_location`` defaults to a folder under the cluster's
-    ``spark.checkpoint.dir``. Returns the last progress report (None when
-    there was nothing new)."""
-    location = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/load_landed"
-    rows = landed_stream(spark, landing_root, max_files_per_trigger).select(
-        *[F.col(f.name) for f in S.RAW_ORDERBOOK.fields],
-        F.to_date("timestamp_received").alias("date"))
-    query = (rows.writeStream.format("parquet")
-             .partitionBy("date")
-             .option("checkpointLocation", location)
+    """Add every newly landed file to ``raw_table`` and stop.
+
+    ``checkpoint_location`` is where the stream keeps its memory, the table's
+    own ``_checkpoint`` folder by default; give the same one in every run.
+    Returns the last progress report (None when there was nothing new)."""
+    root = raw_table.rstrip("/")
+
+    def write(batch: DataFrame, number: int) -> None:
+        _write(_raw_rows(batch, f"b{number:09d}"), root, "overwrite")
+
+    query = (landed_stream(spark, landing_root, max_files_per_trigger).writeStream
+             .foreachBatch(write)
+             .option("checkpointLocation", checkpoint_location or f"{root}/_checkpoint")
              .trigger(availableNow=True)
-             .start(raw_table))
+             .start())
     query.awaitTermination()
     return query.lastProgress
+
+
+def reload_dates(spark: SparkSession, landing_root: str, raw_table: str, start, end) -> DataFrame:
+    """Replace the dates of ``[start, end)`` by what their landing folders hold
+    now. Returns one row per date that had or has rows: ``(date, rows_before,
+    rows_after)``. Dates without landed rows end up empty."""
+    root = raw_table.rstrip("/")
+    counts = []
+    table = scan_raw(spark, root, start, end) if SK._exists(spark, root) else None
+    before = (table.groupBy("date").count() if table is not None
+              else spark.createDataFrame([], "date date, count long"))
+    # dates of the window only, so the driver gets one row per date
+    counts = {r["date"]: r["count"] for r in before.collect()}
+    landed = (spark.read.schema(LANDED).option("basePath", landing_root).option("pathGlobFilter", "*.parquet")
+              .parquet(landing_root).where(in_window("date", start, end)))
+    rows = _raw_rows(landed, f"r{uuid.uuid4().hex}").where(in_window("date", start, end))
+    SK.recover(spark, root)
+    staging = f"{root}/_staging-{uuid.uuid4().hex}"
+    _write(rows, staging, "errorifexists")
+    names = set(SK._list_dirs(spark, staging))
+    for day in SK.date_range(start, end):
+        name = f"date={day.isoformat()}"
+        SK.swap_folder(spark, root, name, f"{staging}/{name}" if name in names else None)
+    SK.remove_dir(spark, staging)
+    after = {r["date"]: r["count"] for r in scan_raw(spark, root, start, end).groupBy("date").count().collect()}
+    return spark.createDataFrame([(d, counts.get(d, 0), after.get(d, 0)) for d in sorted({*counts, *after})],
+                                 "date date, rows_before long, rows_after long")
