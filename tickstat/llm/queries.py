@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from . import bpe, fingerprints, langid, licenses, line_dedup, mixing, quality, secrets, simhash, token_counts
 from .common import read
+from .oracle import oracle_sql
+
+__all__ = ["oracle_sql", "queries"]
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -80,7 +83,3 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
