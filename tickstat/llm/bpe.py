@@ -30,8 +30,9 @@ EMPTY = np.int64(-1)              # free slot of the pair table
 PAIR_BITS = 17                    # ids are below 2**17
 LONG_PIECE = 256
 WIDTHS = (4, 6, 8, 12, 16, 24, 32, 64, 128, LONG_PIECE)
+WIDTH_OF = [next(w for w in WIDTHS if n <= w) for n in range(LONG_PIECE + 1)]
 CELLS = 1 << 20                   # of one matrix
-CACHE_WORDS = 100_000             # pieces whose ids a task remembers
+CACHE_WORDS = 300_000             # pieces whose ids a task remembers
 FLUSH_PIECES = 200_000            # pieces that are encoded together
 
 
@@ -88,6 +89,10 @@ class Encoder:
         self.byte_ids = vocabulary["bytes"]
         self.bits = len(self.slots).bit_length() - 1
         self.whole = {t: i for i, t in enumerate(self.tokens) if t}
+        # ranks of pairs of bytes; row and column 256 are padding
+        self.byte_pairs = np.full((257, 257), NONE, np.int32)
+        left, right = np.divmod(np.arange(1 << 16), 256)
+        self.byte_pairs[:256, :256] = self.pair_ranks(self.byte_ids[left], self.byte_ids[right]).reshape(256, 256)
         self.cache: dict[str, tuple[int, ...]] = {}
 
     def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -106,10 +111,13 @@ class Encoder:
             todo = todo[~hit & (got != EMPTY)]
         return out
 
-    def merge_matrix(self, ids: np.ndarray, rows: list[int], out: list) -> None:
-        """Merge all rows of a padded matrix; ``out[row]`` gets a row's ids."""
-        rows = np.array(rows)
-        rank = self.pair_ranks(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(len(ids), -1)
+    def merge_matrix(self, symbols: np.ndarray, length: np.ndarray, rows: list[int], out: list) -> None:
+        """Merge all rows of a padded matrix of bytes (256: padding);
+        ``out[row]`` gets a row's ids. A row that is still in the matrix has
+        merged once in every round, so its length is known."""
+        rows, merged = np.array(rows), 0
+        rank = self.byte_pairs[symbols[:, :-1], symbols[:, 1:]]
+        ids = np.append(self.byte_ids, np.int32(-1))[symbols]
         while len(ids):
             each = np.arange(len(ids))
             if rank.shape[1]:
@@ -119,13 +127,14 @@ class Encoder:
             else:
                 done = np.ones(len(ids), bool)
             if done.any():
-                for row, got in zip(rows[done].tolist(), ids[done].tolist()):
-                    out[row] = tuple(i for i in got if i >= 0)
+                for row, got, n in zip(rows[done].tolist(), ids[done].tolist(), (length[done] - merged).tolist()):
+                    out[row] = tuple(got[:n])
                 keep = ~done
                 if not keep.any():
                     return
                 ids, rank, rows, at, best = ids[keep], rank[keep], rows[keep], at[keep], best[keep]
-                each = np.arange(len(ids))
+                length, each = length[keep], np.arange(len(ids))
+            merged += 1
             ids[each, at] = best
             wide = ids.shape[1]
             ids = ids[np.arange(wide) != (at + 1)[:, None]].reshape(len(ids), wide - 1)
@@ -179,17 +188,17 @@ class Encoder:
             elif len(piece) > LONG_PIECE:
                 out[k] = self.merge_long(piece)
             else:
-                width = next(w for w in WIDTHS if len(piece) <= w)
-                by_width.setdefault(width, []).append(k)
+                by_width.setdefault(WIDTH_OF[len(piece)], []).append(k)
         for width, rows in by_width.items():
             step = max(1, CELLS // width)
             for start in range(0, len(rows), step):
                 part = rows[start:start + step]
-                raw = np.frombuffer(b"".join(pieces[k].ljust(width, b"\0") for k in part), np.uint8)
-                ids = self.byte_ids[raw].reshape(len(part), width)
-                length = np.array([len(pieces[k]) for k in part])
-                ids[np.arange(width) >= length[:, None]] = -1
-                self.merge_matrix(ids, part, out)
+                held = [pieces[k] for k in part]
+                length = np.array(list(map(len, held)))
+                raw = np.frombuffer(b"".join([p.ljust(width, b"\0") for p in held]), np.uint8)
+                symbols = raw.reshape(len(part), width).astype(np.int16)
+                symbols[np.arange(width) >= length[:, None]] = 256
+                self.merge_matrix(symbols, length, part, out)
         return out
 
     def learn(self, pieces: Iterable[str]) -> None:
