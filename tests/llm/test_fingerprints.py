@@ -1,5 +1,7 @@
 import hashlib
+import math
 import random
+from collections import Counter
 
 import pytest
 from conftest import SF_SMALL
@@ -74,3 +76,34 @@ def test_large_ids_keep_their_order(documents):
     rows = [(base + k, f"text {k} " * 9, "en", "s") for k in range(50)]
     got = [tuple(r) for r in FP.with_edited(documents(rows), 8).collect()]
     assert sorted(got, key=repr) == brute([r[:2] for r in rows])
+
+
+def exact_likeness(a, b):
+    """Of texts of one repeated window pattern each, by unbounded counts of
+    every lane, worked out in plain Python from the windows themselves."""
+    def lanes(text):
+        windows = Counter(p[i:i + FP.WINDOW] for p in text.encode().split(b"\n") for i in range(len(p) - FP.WINDOW + 1))
+        out = [0] * FP.SKETCH
+        for w, n in windows.items():
+            h = 0
+            for c in w:
+                h = (h * FP.BASE + c + 1) % 2**64
+            b = (h * int(FP.MIX) % 2**64) >> (64 - (2 * FP.SKETCH - 1).bit_length())
+            out[b // 2] += -n if b % 2 else n
+        return out
+    x, y = lanes(a), lanes(b)
+    dot = sum(p * q for p, q in zip(x, y))
+    return max(0.0, dot / math.sqrt(sum(p * p for p in x) * sum(q * q for q in y)))
+
+
+@pytest.mark.parametrize("unit,times", [("the same phrase of 35 characters, x ", 40_000), ("a", 40_000), ("a", 120_000),
+                                        ("a line that recurs\n", 150_000)])
+def test_likeness_of_long_repetitive_texts(unit, times):
+    text = unit * times
+    cut = len(text) // 4
+    edited = text[:-cut] + "".join(random.Random(3).choices("abcdef gh", k=cut))
+    a, b = FP.vector(text), FP.vector(edited)
+    assert FP.likeness(a, b) == pytest.approx(exact_likeness(text, edited)) and FP.likeness(a, b) > 0.9
+    again = [FP.from_string(FP.to_string(*v)) for v in (a, b)]
+    assert FP.likeness(*again) == FP.likeness(a, b)
+    assert FP.combine(FP.combine(of(text), of(edited)), of(text), -1) == of(edited)

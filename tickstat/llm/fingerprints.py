@@ -8,8 +8,9 @@ rest of the text. The vector has two parts:
 
 * ``STRONG`` lanes modulo 2**64 with the paragraph's BLAKE2b digest: equal
   sums stand for equal multisets of paragraphs;
-* ``SKETCH`` lanes modulo 2**16 with a signed count of the paragraph's byte
-  windows, whose cosine is the likeness of two documents.
+* ``SKETCH`` lanes modulo 2**64 with a signed count of the paragraph's byte
+  windows, whose cosine is the likeness of two documents. No count of a text
+  reaches 2**63, so the lanes read back as signed numbers are exact.
 
 The empty document is the zero vector.
 """
@@ -55,17 +56,17 @@ def vector(text: str) -> tuple[np.ndarray, np.ndarray]:
             inside[hit[(hit >= 0) & (hit < len(bins))]] = False
             bins = bins[inside]
         counts += np.bincount(bins, minlength=2 * SKETCH)
-    sketch = (counts[0::2] - counts[1::2]).astype(np.uint16)      # modulo 2**16
+    sketch = (counts[0::2] - counts[1::2]).astype(np.uint64)      # modulo 2**64
     return strong, sketch
 
 
 def to_string(strong: np.ndarray, sketch: np.ndarray) -> str:
-    return base64.b64encode(strong.astype("<u8").tobytes() + sketch.astype("<u2").tobytes()).decode()
+    return base64.b64encode(strong.astype("<u8").tobytes() + sketch.astype("<u8").tobytes()).decode()
 
 
 def from_string(fingerprint: str) -> tuple[np.ndarray, np.ndarray]:
     raw = base64.b64decode(fingerprint)
-    return np.frombuffer(raw[:8 * STRONG], "<u8"), np.frombuffer(raw[8 * STRONG:], "<u2")
+    return np.frombuffer(raw[:8 * STRONG], "<u8"), np.frombuffer(raw[8 * STRONG:], "<u8")
 
 
 def combine(a: str, b: str, sign: int = 1) -> str:
@@ -79,7 +80,7 @@ def likeness(a: tuple, b: tuple) -> float:
     """1 for equal fingerprints, else the cosine of the sketches, at least 0."""
     if (a[0] == b[0]).all() and (a[1] == b[1]).all():
         return 1.0
-    x, y = a[1].astype(np.int16).astype(float), b[1].astype(np.int16).astype(float)
+    x, y = a[1].astype(np.int64).astype(float), b[1].astype(np.int64).astype(float)
     norm = float(np.sqrt(x @ x) * np.sqrt(y @ y))
     return min(1.0, max(0.0, float(x @ y) / norm)) if norm else 0.0
 
