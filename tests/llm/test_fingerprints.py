@@ -107,3 +107,19 @@ def test_likeness_of_long_repetitive_texts(unit, times):
     again = [FP.from_string(FP.to_string(*v)) for v in (a, b)]
     assert FP.likeness(*again) == FP.likeness(a, b)
     assert FP.combine(FP.combine(of(text), of(edited)), of(text), -1) == of(edited)
+
+
+def test_short_paragraphs_count_in_the_likeness(monkeypatch):
+    rng = random.Random(9)
+    for text in ("\n".join(str(rng.randrange(10**6)) for _ in range(5000)),
+                 "\n".join("".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(2)) for _ in range(5000))):
+        lines = text.split("\n")
+        edited = "\n".join(lines[:3750] + [x[::-1] + "x" for x in lines[3750:]])
+        assert 0.6 < FP.likeness(FP.vector(text), FP.vector(edited)) < 0.9
+    for short in ("a", "ab", "abcdefg", "é", "\n\nx\n"):
+        assert FP.vector(short)[1].any()
+    # the padding is not a byte of the text, and slices do not matter
+    assert of("ab\nc") == of("c\nab") and (FP.vector("a")[1] != FP.vector("a\0")[1]).any()
+    whole = of(text)
+    monkeypatch.setattr(FP, "SLICE", 97)
+    assert of(text) == whole

@@ -9,8 +9,9 @@ rest of the text. The vector has two parts:
 * ``STRONG`` lanes modulo 2**64 with the paragraph's BLAKE2b digest: equal
   sums stand for equal multisets of paragraphs;
 * ``SKETCH`` lanes modulo 2**64 with a signed count of the paragraph's byte
-  windows, whose cosine is the likeness of two documents. No count of a text
-  reaches 2**63, so the lanes read back as signed numbers are exact.
+  windows, whose cosine is the likeness of two documents; a paragraph shorter
+  than a window is one window, padded. No count of a text reaches 2**63, so
+  the lanes read back as signed numbers are exact.
 
 The empty document is the zero vector.
 """
@@ -32,6 +33,22 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 BASE = 0x100000001B3
 
 
+def short_paragraphs(data: np.ndarray):
+    """Window hashes, in slices, of the paragraphs of 1 to ``WINDOW - 1`` bytes,
+    padded at the end with a value that no byte has."""
+    ends = np.append(np.flatnonzero(data == 10), len(data))
+    starts = np.append(0, ends[:-1] + 1)
+    short = (ends > starts) & (ends - starts < WINDOW)
+    starts, sizes = starts[short], (ends - starts)[short]
+    for at in range(0, len(starts), SLICE):
+        start, length = starts[at:at + SLICE], sizes[at:at + SLICE]
+        h = np.zeros(len(start), np.uint64)
+        for k in range(WINDOW):
+            byte = data[np.minimum(start + k, len(data) - 1)].astype(np.uint64) + np.uint64(1)
+            h = h * np.uint64(BASE) + np.where(k < length, byte, np.uint64(0))
+        yield h
+
+
 def vector(text: str) -> tuple[np.ndarray, np.ndarray]:
     """The two parts of a whole text."""
     raw = text.encode()
@@ -56,6 +73,8 @@ def vector(text: str) -> tuple[np.ndarray, np.ndarray]:
             inside[hit[(hit >= 0) & (hit < len(bins))]] = False
             bins = bins[inside]
         counts += np.bincount(bins, minlength=2 * SKETCH)
+    for h in short_paragraphs(data):
+        counts += np.bincount(((h * MIX) >> shift).astype(np.int64), minlength=2 * SKETCH)
     sketch = (counts[0::2] - counts[1::2]).astype(np.uint64)      # modulo 2**64
     return strong, sketch
 
