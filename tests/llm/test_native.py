@@ -211,6 +211,23 @@ def test_quality_keeps_good_documents(spark):
     assert sum(good) / len(good) > 0.99 and sum(bad) / len(bad) < 0.25
 
 
+def test_verdicts_stay_when_the_corpus_grows(spark):
+    """Labels fixed, eight unlabelled copies of every document added."""
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "text")
+    marks = spark.read.parquet(f"{SF_MID}/labels.parquet")
+    labels = {r.doc_id: r for r in marks.collect()}
+    copies = docs.crossJoin(spark.range(1, 9)).select((docs.doc_id + 10**9 * secrets.F.col("id")).alias("doc_id"), "text")
+    found = []
+    for corpus in (docs, docs.union(copies)):
+        judged = quality.scored(docs, quality.fit(corpus, marks)).collect()
+        found.append({r.doc_id: r._score for r in judged if r.doc_id in labels and not brute_base(r.text)[5]})
+    small, large = found
+    assert large == pytest.approx(small, abs=0.01)
+    for scores in found:
+        assert all(x >= quality.THRESHOLD for i, x in scores.items() if labels[i].quality == 1)
+        assert not any(x >= quality.THRESHOLD for i, x in scores.items() if labels[i].quality == 0)
+
+
 def test_quality_of_odd_rows(spark, odd_documents):
     labels = spark.createDataFrame([(4, 1, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
     want = Counter((r.doc_id, *brute_base(r.text)) for r in odd_documents.collect())

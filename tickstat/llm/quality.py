@@ -5,12 +5,13 @@ Base rules: word, symbol and repetition counts of every whole text.
 The method: words and word pairs are hashed into ``BUCKETS`` buckets and
 counted over all documents (the raw corpus) and over trusted documents (the
 target). A document's score is the mean over its n-grams of
-``log(target share / raw share)`` of their buckets. Both are smoothed by
-``SMOOTHING`` counts a bucket, the target's in proportion to its size, so that
-a bucket seen too rarely to tell has a ratio of 1 and documents outside the
-target are not held against it. A document at or above ``THRESHOLD`` is kept:
-labelled good documents lie above -0.03 at every size of the test tables. The raw counts cover
-every document. The target is fitted on at most ``TARGET_ROWS`` trusted ids
+``log(target share / raw share)`` of their buckets. Both are smoothed by as
+many counts as ``SMOOTHING`` raw ones are in the target, but by no fewer than
+``EVIDENCE`` target counts, so that a bucket of which the target tells too
+little has a ratio of 1 and documents outside the target are not held against
+it. A target of up to ``EVIDENCE / SMOOTHING`` of the corpus is thus smoothed
+alike in a corpus of any size. A document at or above ``THRESHOLD`` is kept.
+The raw counts cover every document. The target is fitted on at most ``TARGET_ROWS`` trusted ids
 (those of smallest hash), so that the ids can be broadcast and no text has to
 be shuffled to find its label; the driver gets the ``BUCKETS`` counts.
 """
@@ -23,7 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS = 1 << 14
-SMOOTHING = 100                # counts per bucket
+SMOOTHING = 40                 # raw counts per bucket
+EVIDENCE = 12                  # target counts per bucket, at least
 THRESHOLD = -0.05              # nats per n-gram
 TARGET_ROWS = 50_000
 MIN_WORDS = 50
@@ -101,7 +103,8 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS,
     if not any(target):
         return [0.0] * buckets
     part = sum(target) / sum(raw)
-    return [math.log((t / part + SMOOTHING) / (r + SMOOTHING)) for r, t in zip(raw, target)]
+    extra = max(SMOOTHING * part, EVIDENCE)
+    return [math.log((t + extra) / (r * part + extra)) for r, t in zip(raw, target)]
 
 
 def scored(docs: DataFrame, ratios: list[float]) -> DataFrame:
