@@ -34,9 +34,10 @@ def unpacked(df: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that pass the base rules and the log-likelihood ratio."""
+    """The documents that pass the base rules and the log-likelihood ratio and
+    are not marked toxic."""
     judged = quality.judge(packed(docs), spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return unpacked(judged.where("_kept"), docs)
+    return unpacked(judged.where("_kept AND NOT _toxic"), docs)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -228,6 +228,31 @@ def test_verdicts_stay_when_the_corpus_grows(spark):
         assert not any(x >= quality.THRESHOLD for i, x in scores.items() if labels[i].quality == 0)
 
 
+def test_toxic_documents_are_marked(documents, spark):
+    """Few abusive words in long texts; fitted on some of the documents."""
+    rng = random.Random(8)
+    usual, abuse = [f"w{k}" for k in range(300)], [f"abuse{k}" for k in range(5)]
+    rows = []
+    for k in range(300):
+        words = rng.choices(usual, k=120)
+        for at in rng.sample(range(120), 3) if k % 5 == 0 else ():
+            words[at] = rng.choice(abuse)
+        rows.append((k, " ".join(words), "en", "s"))
+    labels = spark.createDataFrame([(k, 1, int(k % 5 == 0)) for k in range(200)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r._toxic for r in quality.judge(documents(rows).select("doc_id", "text"), labels).collect()}
+    assert got == {k: k % 5 == 0 for k in range(300)}
+
+
+def test_toxic_labels_of_the_tables(spark):
+    labels = {r.doc_id: r for r in spark.read.parquet(f"{SF_MID}/labels.parquet").collect()}
+    got = [r for r in queries.op6_quality_rules(spark, SF_MID).collect()
+           if r.doc_id in labels and not r.base_failed and labels[r.doc_id].quality == 1]
+    toxic = [r.toxic for r in got if labels[r.doc_id].toxic == 1]
+    assert not any(r.toxic for r in got if labels[r.doc_id].toxic == 0)
+    print("toxic marked", sum(toxic), "of", len(toxic))
+    assert sum(toxic) / len(toxic) > 0.5
+
+
 def test_quality_of_odd_rows(spark, odd_documents):
     labels = spark.createDataFrame([(4, 1, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
     want = Counter((r.doc_id, *brute_base(r.text)) for r in odd_documents.collect())

@@ -58,7 +58,8 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels"))
-    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score",
+             "toxic", "toxicity")
     return judged.select("doc_id", *(F.col(f"_{n}").alias(n) for n in names))
 
 
