@@ -143,6 +143,17 @@ def test_secret_corner_cases(spark, documents):
     assert labels[90] == {"example"} and labels[2] == {"live"} and labels[1] == {"shared"}
 
 
+def test_copies_within_one_owner_are_examples(documents):
+    """Copies in one hot source, in rows without a source, and a few copies."""
+    many, none, few = "hot0example9zQ7xW", "nul0example9zQ7xW", "few0example9zQ7xW"
+    rows = [(k, f"token={many}", "en", "hot") for k in range(40)] + [(100 + k, f"token={none}", "en", None) for k in range(40)]
+    rows += [(200 + k, f"token={few}", "en", "hot") for k in range(secrets.COPIED_REPOSITORIES - 1)]
+    rows += [(300, f"token=one{many}", "en", "hot")] * 40
+    labels = {r.doc_id: {(s.kind, s.label) for s in r.spans} for r in secrets.scan(documents(rows)).collect()}
+    assert all(found == {(0, "example")} for k, found in labels.items() if k < 200)
+    assert all(found == {(0, "live"), (3, "live")} for k, found in labels.items() if k >= 200)
+
+
 def test_secrets_of_odd_rows(spark, odd_documents):
     assert digest(spark, secrets.scan(odd_documents)) == brute_scan([r.asDict() for r in odd_documents.collect()])
     assert secrets.scan(odd_documents.limit(0)).count() == 0

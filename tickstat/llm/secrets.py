@@ -2,8 +2,9 @@
 
 Candidates are found in every whole text by pattern. Their values are hashed
 and counted over the corpus by distinct owners and distinct repositories: a
-value that many owners have is a copied example, one that a single owner has
-and that looks random is a live-looking credential, whose value is reported as
+value that many owners or many repositories have is a copied example (also when
+all the copies are of one hot owner), one that a single owner has in few
+repositories and that looks random is a live-looking credential, whose value is reported as
 a span of kind ``live``.
 
 Positions: splitting a text at a pattern gives the gaps between its matches,
@@ -27,6 +28,7 @@ HEX = r"[0-9a-f]{32,}"         # a run of 32 or more, as the run is greedy
 LEAST = {"assign": 8, "access": 16, "hex": 32}
 KINDS = ("assign", "access", "hex", "live")
 COPIED = 3                     # owners that make a value a copied example
+COPIED_REPOSITORIES = 10       # repositories that do, whoever owns them
 LIVE_CHARS, LIVE_DISTINCT = 16, 8
 
 
@@ -76,11 +78,13 @@ def ownership(spans: DataFrame) -> DataFrame:
             .join(both[1].withColumnRenamed("n", "repositories"), value))
 
 
-def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", copied: int = COPIED) -> DataFrame:
+def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", copied: int = COPIED,
+         copied_repositories: int = COPIED_REPOSITORIES) -> DataFrame:
     """``(doc_id, spans array<struct<start, kind, stop, owners, repositories,
     label>>)`` for every row, in order of start and kind; the array is empty
-    without any. ``label``: ``example`` (``copied`` or more owners), ``live``
-    (one owner, looks random), else ``shared``; a live value is also a span of
+    without any. ``label``: ``example`` (``copied`` or more owners, or
+    ``copied_repositories`` or more repositories), ``live`` (otherwise, one
+    owner, looks random), else ``shared``; a live value is also a span of
     kind ``live`` of its own. NULL owners count as one owner. Repeated rows are
     separate rows of one repository."""
     rows = candidates(docs, owner, repository)
@@ -90,7 +94,7 @@ def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", cop
              .withColumn("stop", F.sum(F.col("gap") + F.col("length")).over(order))
              .withColumn("start", F.col("stop") - F.col("length"))
              .where(F.col("value_length") >= F.get(least, F.col("kind"))))
-    label = (F.when(F.col("owners") >= copied, "example")
+    label = (F.when((F.col("owners") >= copied) | (F.col("repositories") >= copied_repositories), "example")
              .when((F.col("owners") == 1) & F.col("random") & (F.col("value_length") >= LIVE_CHARS), "live")
              .otherwise("shared"))
     named = spans.join(ownership(spans), "value", "left").withColumn("label", label)
