@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, langid, licenses, line_dedup, mixing, quality, secrets, simhash, token_counts
+from . import (bpe, fingerprints, langid, licenses, line_dedup, manifest, mixing, quality, secrets, simhash,
+               token_counts)
 from .common import read
 from .oracle import oracle_sql
 
@@ -82,5 +83,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("group_id").alias("component_id"))
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return manifest.build(docs, manifest.tampered()).proofs().select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
