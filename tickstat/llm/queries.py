@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, fingerprints, langid, licenses, line_dedup, manifest, mixing, quality, secrets, simhash,
-               token_counts)
+from . import (align, bpe, fingerprints, langid, licenses, line_dedup, manifest, mixing, quality, secrets,
+               simhash, token_counts)
 from .common import read
 from .oracle import oracle_sql
 
@@ -90,5 +90,10 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                       public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
