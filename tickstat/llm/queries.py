@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (align, bpe, fingerprints, langid, licenses, line_dedup, manifest, mixing, quality, secrets,
+from . import (align, bpe, fingerprints, jaccard, langid, licenses, line_dedup, manifest, mixing, quality, secrets,
                simhash, token_counts)
 from .common import read
 from .oracle import oracle_sql
@@ -95,5 +95,9 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
                        public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_documents(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
