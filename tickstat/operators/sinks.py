@@ -239,6 +239,54 @@ def append_inserts(target_path: str, source: DataFrame, key="market_id", dedup=F
         remove_dir(spark, path)
 
 
+# ------------------------------------------------------------- one writer
+class TableLocked(RuntimeError):
+    """Another writer holds the table."""
+
+
+class writer_lock:     # noqa: N801 - used as a context manager only
+    """Holds ``<table>/_lock`` while a table is written. The file is created
+    only if it is not there, which file systems do for one caller alone. A
+    lock that has not been renewed for ``lease_minutes`` was left by a writer
+    that died and is taken over."""
+
+    def __init__(self, spark, root: str, lease_minutes: float = 60):
+        self.spark, self.path, self.lease = spark, f"{root.rstrip('/')}/_lock", lease_minutes * 60_000
+
+    def __enter__(self):
+        if not create_mark(self.spark, self.path):
+            fs, p = _fs_path(self.spark, self.path)
+            age = self._now() - fs.getFileStatus(p).getModificationTime()
+            if age < self.lease:
+                raise TableLocked(f"{self.path} is {age // 1000} s old")
+            fs.delete(p, False)
+            if not create_mark(self.spark, self.path):
+                raise TableLocked(f"{self.path} was taken by another writer")
+        return self
+
+    def __exit__(self, *exc) -> None:
+        _delete_dir(self.spark, self.path)
+
+    def _now(self) -> int:
+        return self.spark.sparkContext._jvm.java.lang.System.currentTimeMillis()
+
+    def renew(self) -> None:
+        fs, p = _fs_path(self.spark, self.path)
+        fs.setTimes(p, self._now(), -1)
+
+
+def create_mark(spark, path: str) -> bool:
+    """Create an empty file; False if it is there already."""
+    fs, p = _fs_path(spark, path)
+    try:
+        fs.create(p, False).close()
+    except Exception:   # noqa: BLE001 - the JVM's exists-already error, or a real one
+        if not fs.exists(p):
+            raise
+        return False
+    return True
+
+
 # ------------------------------------------------------------- file system
 def date_range(start, end) -> list[date]:
     """Dates of a half-open window (metadata only, never data)."""
@@ -282,6 +330,12 @@ def _list(spark, path: str, dirs: bool, hidden: bool = False) -> list[str]:
             and (hidden or not st.getPath().getName().startswith(("_", ".")))]
 
 
+def glob(spark, pattern: str) -> list[str]:
+    """Paths that match a pattern."""
+    fs, p = _fs_path(spark, pattern)
+    return [st.getPath().toString() for st in fs.globStatus(p) or []]
+
+
 def _list_dirs(spark, path: str) -> list[str]:
     return _list(spark, path, True)
 

@@ -24,14 +24,47 @@ _SLOT_RE = r"(\d{4}-\d{2}-\d{2}T\d{2})\.parquet$"
 _DATE_DIR_RE = r"date=(\d{4}-\d{2}-\d{2})"
 
 
+LEDGER = "_ledger"                   # of a table that the ingest fills
+
+
+def reload_state(spark: SparkSession, root: str) -> tuple[set[str], dict[str, str]]:
+    """Reloads under way in a table: names (``<load>.<landing folder>``), and
+    of those that are committed the last batch that they replace."""
+    from ..operators import sinks as SK
+    marks = f"{root.rstrip('/')}/{LEDGER}"
+    commits = dict(name.rsplit(".", 1) for name in SK._list_files(spark, f"{marks}/reloads"))
+    return set(SK._list_files(spark, f"{marks}/pending")), commits
+
+
+def _live(pending: set[str], commits: dict[str, str]) -> Column:
+    """Rows that count while reloads are under way: of a committed one its own
+    and not those it replaces, of another one not its own."""
+    load, src, live = F.col("load"), F.col("src"), F.lit(True)
+    for name in sorted(pending):
+        reload_id, folder = name.split(".")
+        if name in commits:
+            older = F.when(load.startswith("b"), load <= commits[name]).otherwise(load < reload_id)
+            live = live & ~((src == F.lit(folder).cast("date")) & older)
+        else:
+            live = live & ~((src == F.lit(folder).cast("date")) & (load == reload_id))
+    return live
+
+
 def scan_raw(spark: SparkSession, root: str, start=None, end=None) -> DataFrame:
     """Raw order book of ``[start, end)`` from a ``date=``-partitioned folder.
 
     The window lands in ``PartitionFilters``: folders outside it are never
-    listed for reading."""
+    listed for reading. In a table that the ingest fills (a folder per landing
+    folder and load inside each date), a reload under way is seen as a whole
+    or not at all; the files are listed again if one began or ended meanwhile."""
     schema = T.StructType(S.RAW_ORDERBOOK.fields + [T.StructField("date", T.DateType())])
-    df = spark.read.schema(schema).option("basePath", root).parquet(root)
-    # a table filled by the ingest has a folder per load inside each date
+    while True:
+        state = reload_state(spark, root)
+        df = spark.read.schema(schema).option("basePath", root).parquet(root)
+        if state == reload_state(spark, root):
+            break
+    if state[0]:
+        df = df.where(_live(*state))
     return df.where(in_window("date", start, end)).select(*schema.fieldNames())
 
 

@@ -1,37 +1,68 @@
-"""Incremental load of landed hourly files into the raw order-book table.
-
-The source re-runs a loader that skips hourly files already landed and
-reloads date partitions. Here a file stream remembers which files were read,
-and every micro-batch is written under its own number:
-``<table>/date=YYYY-MM-DD/load=<batch>/*.parquet``. A batch that is run again
-after a failure overwrites its own folders, so every landed file is in the
-table exactly once; ``availableNow`` processes what has landed since the last
-run and stops, so it runs as a scheduled batch.
-
-The stream's memory belongs to the table and lies in it (``_checkpoint``,
-ignored by readers), so any application that loads the table goes on where
-the last one stopped. Files are clustered by market and update type, which
-lets readers skip files by their statistics.
-
-``reload_dates`` replaces whole dates from the landing folder, as the source's
-partition load does; the stream does not read those files again.
+"""Incremental load of landed hourly files into the raw order-book table, and
+reload of whole landing folders, agreeing through a ledger of files.
+
+The table's layout is ``<table>/date=<date of the row>/src=<landing folder>/
+load=<id>/*.parquet``; ``_ledger/files/src=/load=`` holds one row per landed
+file and row date: ``(file, modified, date, rows)``. Both ways of loading write
+it, and both look at it:
+
+* ``load_landed``: a file stream with ``availableNow`` finds the files that
+  have landed since its last run. Files the ledger has are left out of the
+  micro-batch, so what a reload brought in is not loaded a second time, nor is
+  anything after the stream's memory was lost. A micro-batch writes its own
+  ``load=b<number>`` folders and overwrites them when it is run again.
+* ``reload_dates``: replaces everything that came from a landing folder by what
+  the folder holds now, wherever its rows lie. Rows that lie in a date of the
+  window but came from another folder stay. Each folder is a run of its own; a
+  failing one keeps its old rows, the others go on.
+
+A reload becomes visible as a whole by the creation of one empty file: its rows
+are written under a load that ``scan_raw`` hides while it is pending, the
+creation of ``_ledger/reloads/<id>`` shows it and hides the loads before it,
+and only then are those deleted. Nothing is moved. A run that was stopped is
+put right by the next writer (``recover``); readers see whole folders, old or
+new, at any time. A lock file keeps a second writer out.
+
+The stream's memory lies in the table (``_checkpoint``, ignored by readers).
+Files are clustered by market and update type, which lets readers skip files
+by their statistics.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
-from ..functions.columns import in_window
 from ..operators import sinks as SK
-from ..sources.raw import scan_raw
+from ..session import materialize, scratch_path
+from ..sources.raw import LEDGER, reload_state
 
 LANDED = T.StructType(S.RAW_ORDERBOOK.fields + [T.StructField("date", T.DateType())])
 CLUSTER = ["market_id", "update_type"]
+FILES = T.StructType([T.StructField("file", T.StringType()), T.StructField("modified", T.TimestampType()),
+                      T.StructField("date", T.DateType()), T.StructField("rows", T.LongType()),
+                      T.StructField("src", T.DateType()), T.StructField("load", T.StringType())])
+# a file is named by its folder and name, however the landing root is written
+_FILE = r"([^/]+/[^/]+)$"
+
+
+class LoadFailures(RuntimeError):
+    """Some landing folders could not be loaded; ``failed`` lists them."""
+
+    def __init__(self, failed: list[tuple]):
+        self.failed = sorted(failed)
+        super().__init__("failed dates: " + "; ".join(f"{d}: {why}" for d, why in self.failed))
+
+
+# ------------------------------------------------------------------ reading
+def _named(landed: DataFrame) -> DataFrame:
+    """Raw columns, row date, landing folder, and the file each row is from."""
+    return landed.select(*[F.col(f.name) for f in S.RAW_ORDERBOOK.fields],
+                         F.to_date("timestamp_received").alias("date"), F.col("date").alias("src"),
+                         F.regexp_extract("_metadata.file_path", _FILE, 1).alias("file"),
+                         F.col("_metadata.file_modification_time").alias("modified"))
 
 
 def landed_stream(spark: SparkSession, landing_root: str,
@@ -40,18 +71,57 @@ def landed_stream(spark: SparkSession, landing_root: str,
     reader = spark.readStream.schema(LANDED).option("pathGlobFilter", "*.parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(landing_root)
+    return _named(reader.parquet(landing_root))
 
 
-def _raw_rows(landed: DataFrame, load: str) -> DataFrame:
-    """Raw columns, the date of the row itself, and the load it came with."""
-    return landed.select(*[F.col(f.name) for f in S.RAW_ORDERBOOK.fields],
-                         F.to_date("timestamp_received").alias("date"), F.lit(load).alias("load"))
+def landed_folder(spark: SparkSession, landing_root: str, day) -> DataFrame:
+    """What the landing folder of a date holds now; without rows if it is not
+    there."""
+    folder = f"{landing_root.rstrip('/')}/date={day.isoformat()}"
+    if not SK._exists(spark, folder):
+        return spark.createDataFrame([], T.StructType([
+            *S.RAW_ORDERBOOK.fields, *(f for f in FILES.fields if f.name in ("date", "src", "file", "modified"))]))
+    return _named(spark.read.schema(LANDED).option("basePath", landing_root).option("pathGlobFilter", "*.parquet")
+                  .parquet(folder))
+
 
+def ledger(spark: SparkSession, raw_table: str) -> DataFrame:
+    """``(file, modified, date, rows, src, load)``: the files in the table."""
+    path = f"{raw_table.rstrip('/')}/{LEDGER}/files"
+    if not SK._exists(spark, path):
+        return spark.createDataFrame([], FILES)
+    return spark.read.schema(FILES).parquet(path)
+
+
+def changed_files(spark: SparkSession, landing_root: str, raw_table: str) -> DataFrame:
+    """``(src, file, modified, loaded)`` of the landed files that were written
+    again after they had been loaded: their folders want a reload. Reads file
+    metadata and the ledger, no data column."""
+    landed = (spark.read.schema(LANDED).option("basePath", landing_root).option("pathGlobFilter", "*.parquet")
+              .parquet(landing_root)
+              .select(F.col("date").alias("src"), F.regexp_extract("_metadata.file_path", _FILE, 1).alias("file"),
+                      F.col("_metadata.file_modification_time").alias("modified")).distinct())
+    loaded = ledger(spark, raw_table).groupBy("file").agg(F.max("modified").alias("loaded"))
+    return landed.join(loaded, "file").where("modified > loaded").select("src", "file", "modified", "loaded")
 
-def _write(rows: DataFrame, path: str, mode: str) -> None:
-    (rows.hint("rebalance", "date", *CLUSTER).sortWithinPartitions("date", *CLUSTER)
-     .write.partitionBy("date", "load").option("partitionOverwriteMode", "dynamic").mode(mode).parquet(path))
+
+# ------------------------------------------------------------------ writing
+def _files(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("file", "modified", "date", "src").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _write(rows: DataFrame, root: str, load: str, mode: str) -> None:
+    names = [f.name for f in S.RAW_ORDERBOOK.fields]
+    (rows.select(*names, "date", "src", F.lit(load).alias("load")).hint("rebalance", "date", *CLUSTER)
+     .sortWithinPartitions("date", "src", *CLUSTER)
+     .write.partitionBy("date", "src", "load").option("partitionOverwriteMode", "dynamic").mode(mode).parquet(root))
+
+
+def _note(files: DataFrame, root: str, load: str, mode: str) -> None:
+    """Enter files into the ledger."""
+    (files.select("file", "modified", "date", "rows", "src", F.lit(load).alias("load")).coalesce(1)
+     .write.partitionBy("src", "load").option("partitionOverwriteMode", "dynamic").mode(mode)
+     .parquet(f"{root}/{LEDGER}/files"))
 
 
 def load_landed(spark: SparkSession, landing_root: str, raw_table: str,
@@ -65,39 +135,109 @@ def load_landed(spark: SparkSession, landing_root: str, raw_table: str,
     root = raw_table.rstrip("/")
 
     def write(batch: DataFrame, number: int) -> None:
-        _write(_raw_rows(batch, f"b{number:09d}"), root, "overwrite")
-
-    query = (landed_stream(spark, landing_root, max_files_per_trigger).writeStream
-             .foreachBatch(write)
-             .option("checkpointLocation", checkpoint_location or f"{root}/_checkpoint")
-             .trigger(availableNow=True)
-             .start())
-    query.awaitTermination()
+        load, path = f"b{number:09d}", scratch_path(spark, "landed_files")
+        try:
+            files = materialize(_files(batch), path=path)
+            known = ledger(spark, root).where(F.col("load") != load).select("file")
+            # one name per file of the batch that is in the table already; as a rule none
+            again = [r["file"] for r in files.join(known, "file", "left_semi").select("file").distinct().collect()]
+            _write(batch.where(~F.col("file").isin(again)) if again else batch, root, load, "overwrite")
+            _note(files.where(~F.col("file").isin(again)) if again else files, root, load, "overwrite")
+        finally:
+            SK.remove_dir(spark, path)
+
+    with SK.writer_lock(spark, root):
+        recover(spark, root)
+        query = (landed_stream(spark, landing_root, max_files_per_trigger).writeStream
+                 .foreachBatch(write)
+                 .option("checkpointLocation", checkpoint_location or f"{root}/_checkpoint")
+                 .trigger(availableNow=True)
+                 .start())
+        query.awaitTermination()
     return query.lastProgress
 
 
-def reload_dates(spark: SparkSession, landing_root: str, raw_table: str, start, end) -> DataFrame:
-    """Replace the dates of ``[start, end)`` by what their landing folders hold
-    now. Returns one row per date that had or has rows: ``(date, rows_before,
-    rows_after)``. Dates without landed rows end up empty."""
+def _loads(spark: SparkSession, root: str, src: str) -> dict[str, list[str]]:
+    """Folders of a landing folder's rows and ledger entries, by load."""
+    found: dict[str, list[str]] = {}
+    for pattern in (f"{root}/date=*/src={src}/load=*", f"{root}/{LEDGER}/files/src={src}/load=*"):
+        for path in SK.glob(spark, pattern):
+            found.setdefault(path.rsplit("load=", 1)[1], []).append(path)
+    return found
+
+
+def _older(load: str, reload_id: str, upto: str) -> bool:
+    return load <= upto if load.startswith("b") else load < reload_id
+
+
+def recover(spark: SparkSession, raw_table: str) -> list[str]:
+    """Put right what a stopped reload left: one that was not committed goes,
+    one that was has the loads it replaced deleted. Returns their names."""
     root = raw_table.rstrip("/")
-    counts = []
-    table = scan_raw(spark, root, start, end) if SK._exists(spark, root) else None
-    before = (table.groupBy("date").count() if table is not None
-              else spark.createDataFrame([], "date date, count long"))
-    # dates of the window only, so the driver gets one row per date
-    counts = {r["date"]: r["count"] for r in before.collect()}
-    landed = (spark.read.schema(LANDED).option("basePath", landing_root).option("pathGlobFilter", "*.parquet")
-              .parquet(landing_root).where(in_window("date", start, end)))
-    rows = _raw_rows(landed, f"r{uuid.uuid4().hex}").where(in_window("date", start, end))
-    SK.recover(spark, root)
-    staging = f"{root}/_staging-{uuid.uuid4().hex}"
-    _write(rows, staging, "errorifexists")
-    names = set(SK._list_dirs(spark, staging))
-    for day in SK.date_range(start, end):
-        name = f"date={day.isoformat()}"
-        SK.swap_folder(spark, root, name, f"{staging}/{name}" if name in names else None)
-    SK.remove_dir(spark, staging)
-    after = {r["date"]: r["count"] for r in scan_raw(spark, root, start, end).groupBy("date").count().collect()}
-    return spark.createDataFrame([(d, counts.get(d, 0), after.get(d, 0)) for d in sorted({*counts, *after})],
-                                 "date date, rows_before long, rows_after long")
+    pending, commits = reload_state(spark, root)
+    for name in pending:
+        _finish(spark, root, name, commits.get(name))
+    return sorted(pending)
+
+
+def _finish(spark: SparkSession, root: str, name: str, upto: str | None) -> None:
+    """Delete the loads that a reload replaced, or its own if it has no commit,
+    then its marks. Can be repeated after a stop at any point."""
+    reload_id, src = name.split(".")
+    for load, folders in _loads(spark, root, src).items():
+        if _older(load, reload_id, upto) if upto is not None else load == reload_id:
+            for folder in folders:
+                SK.remove_dir(spark, folder)
+    SK.remove_dir(spark, f"{root}/{LEDGER}/pending/{name}")      # first: a commit without it changes nothing
+    if upto is not None:
+        SK.remove_dir(spark, f"{root}/{LEDGER}/reloads/{name}.{upto}")
+
+
+def reload_folder(spark: SparkSession, landing_root: str, raw_table: str, day) -> None:
+    """Replace all rows that came from the landing folder of ``day``. The
+    caller holds the table's lock."""
+    root, src = raw_table.rstrip("/"), day.isoformat()
+    had = _loads(spark, root, src)
+    number = 1 + max([0, *(int(load[1:]) for load in had if load.startswith("r"))])
+    reload_id, upto = f"r{number:09d}", max([load for load in had if load.startswith("b")], default="b")
+    name = f"{reload_id}.{src}"
+    SK.create_mark(spark, f"{root}/{LEDGER}/pending/{name}")
+    rows = landed_folder(spark, landing_root, day)
+    _write(rows, root, reload_id, "append")
+    _note(_files(rows), root, reload_id, "append")
+    SK.create_mark(spark, f"{root}/{LEDGER}/reloads/{name}.{upto}")         # the commit
+    _finish(spark, root, name, upto)
+
+
+def reload_dates(spark: SparkSession, landing_root: str, raw_table: str, start, end,
+                 raise_on_failure: bool = True) -> DataFrame:
+    """Replace what came from the landing folders of ``[start, end)`` by what
+    they hold now. Returns one row per folder: ``(date, rows_before,
+    rows_after, error)``; a folder that could not be read keeps its rows, has
+    its reason in ``error``, and with ``raise_on_failure`` is reported by a
+    ``LoadFailures`` after all others were done. Folders that are gone leave
+    no rows."""
+    root = raw_table.rstrip("/")
+    days = SK.date_range(start, end)
+
+    def counted() -> dict:
+        """Rows per folder, one row each to the driver."""
+        found = ledger(spark, root).where(F.col("src").isin(days) if days else F.lit(False))
+        return {r["src"]: r["n"] for r in found.groupBy("src").agg(F.sum("rows").alias("n")).collect()}
+
+    failed: dict = {}
+    with SK.writer_lock(spark, root) as lock:
+        recover(spark, root)
+        before = counted()
+        for day in days:
+            lock.renew()
+            try:
+                reload_folder(spark, landing_root, root, day)
+            except Exception as exc:   # noqa: BLE001 - collected per date, reported below
+                failed[day] = f"{type(exc).__name__}: {str(exc)[:200]}"
+                recover(spark, root)
+        after = counted()
+    if failed and raise_on_failure:
+        raise LoadFailures(list(failed.items()))
+    return spark.createDataFrame([(d, before.get(d, 0), after.get(d, 0), failed.get(d)) for d in days],
+                                 "date date, rows_before long, rows_after long, error string")
