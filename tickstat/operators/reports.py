@@ -24,12 +24,13 @@ Plan shape (what keeps these cheap at 5e8+ ticks a day):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.columns import (days_to_expiry, expiry_bucket, expiry_bucket_order,
                                  guarded_corr, in_window, safe_divide, spread_tier, yes_only)
+from . import ranking
 
 HISTORY_COLUMNS = (
     "date", "market_id", "question", "event_title", "category", "category_slug", "end_date",
@@ -112,6 +113,26 @@ def category_activity(ticks: DataFrame, markets: DataFrame, start=None, end=None
                       (F.col("_spread_sum") / F.col("tick_count")).alias("avg_spread"))
 
 
+SKETCH_BITS = 12          # of the register index: about 1.6 % standard error beyond some thousand ids
+
+
+def category_market_sketches(stats: DataFrame, markets: DataFrame) -> DataFrame:
+    """Per (date, category): the exact number of markets, and a sketch of
+    their ids that can be merged with other days' (``distinct_markets``).
+    ``stats`` are market-days."""
+    j = stats.select("date", "market_id").join(markets.select("market_id", "category"), "market_id", "left")
+    return j.groupBy("date", F.coalesce("category", F.lit(S.MISSING_CATEGORY)).alias("category")).agg(
+        F.count_distinct("market_id").alias("market_count"),
+        F.hll_sketch_agg("market_id", F.lit(SKETCH_BITS)).alias("market_sketch"))
+
+
+def distinct_markets(sketches: DataFrame, start=None, end=None) -> DataFrame:
+    """Per category the distinct markets of any range of dates, approximately,
+    from one small sketch per date: neither ticks nor market-days are read."""
+    return sketches.where(in_window("date", start, end)).groupBy("category").agg(
+        F.hll_sketch_estimate(F.hll_union_agg("market_sketch")).alias("market_estimate"))
+
+
 def spread_over_time(ticks: DataFrame, start=None, end=None) -> DataFrame:
     """Per (date, hour): YES mean prices, mean and sample stddev of the spread,
     tick count. At most 24 rows a day."""
@@ -156,7 +177,7 @@ def expiry_buckets(history: DataFrame, start=None, end=None) -> DataFrame:
 
 
 def category_concentration(history: DataFrame, activity: DataFrame | None = None, start=None,
-                           end=None) -> DataFrame:
+                           end=None, with_share_sum: bool = False) -> DataFrame:
     """Per (date, category, market): tick share, rank, and the category-day's
     top share, top-3 share and Herfindahl index repeated on every row.
 
@@ -164,34 +185,34 @@ def category_concentration(history: DataFrame, activity: DataFrame | None = None
     the same history rows, which is what the activity fact holds, and the
     ticks behind an unwritten history are read once.
 
-    Input rows are market-days (already aggregated). The rank of every market
-    needs a category-day's rows sorted in one place, so the other statistics
-    share that exchange; a group holds at most the markets active that day.
+    Input rows are market-days (already aggregated). No task holds a whole
+    category-day: ranks are put together from ranges (``ranking``), the other
+    statistics are sums and maxima per category-day, combined before they are
+    shuffled, and joined back. ``_share_sum`` of ``with_share_sum`` is the sum
+    of a category-day's shares, for the rule that checks it.
     """
-    group = Window.partitionBy("date", "category")
+    group, order = ["date", "category"], [F.desc("market_tick_count"), F.asc("market_id")]
     base = history.where(in_window("date", start, end)).select(
         "date", "category", "market_id", "question",
         F.col("tick_count").alias("market_tick_count"), "avg_spread", "spread_volatility")
-    if activity is None:
-        base = base.withColumn("category_tick_count", F.sum("market_tick_count").over(group))
-    else:
+    dealt = ranking.deal(base, group, order)
+    totals = dealt.groupBy(*group).agg(F.count(F.lit(1)).alias("active_markets"),
+                                       F.sum("market_tick_count").alias("category_tick_count"),
+                                       F.max("market_tick_count").alias("_top"))
+    if activity is not None:
         c = activity.where(in_window("date", start, end) & (F.col("tick_count") > 0)).select(
-            "date", "category", F.col("tick_count").alias("category_tick_count"))
-        base = base.join(c, ["date", "category"], "inner")
-    ranked = base.select(
-        "*",
-        F.count(F.lit(1)).over(group).alias("active_markets"),
-        safe_divide("market_tick_count", "category_tick_count").alias("market_tick_share"),
-        F.row_number().over(group.orderBy(F.desc("market_tick_count"), F.asc("market_id")))
-         .cast("long").alias("market_rank_in_category"),
-    )
-    share = F.col("market_tick_share")
-    return ranked.select(
+            *group, F.col("tick_count").alias("category_tick_count"))
+        totals = totals.drop("category_tick_count").join(c, group, "inner")
+    share = safe_divide("market_tick_count", "category_tick_count")
+    ranked = ranking.join_groups(ranking.rank(dealt, group, order, "market_rank_in_category"), totals, group)
+    ranked = ranked.withColumn("market_tick_share", share)
+    sums = ranking.join_groups(dealt, totals, group).withColumn("_share", share).groupBy(*group).agg(
+        F.sum(F.pow("_share", F.lit(2))).alias("hhi_concentration_index"), F.sum("_share").alias("_share_sum"))
+    top = ranked.where("market_rank_in_category <= 3").groupBy(*group).agg(
+        F.sum("market_tick_share").alias("top_3_market_share"))
+    out = ranking.join_groups(ranking.join_groups(ranked, sums, group), top, group)
+    return out.select(
         "date", "category", "market_id", "question", "market_tick_count", "category_tick_count",
         "active_markets", "market_tick_share", "market_rank_in_category", "avg_spread",
-        "spread_volatility",
-        F.max(share).over(group).alias("top_market_share"),
-        F.sum(F.when(F.col("market_rank_in_category") <= 3, share).otherwise(F.lit(0.0)))
-         .over(group).alias("top_3_market_share"),
-        F.sum(F.pow(share, 2)).over(group).alias("hhi_concentration_index"),
-    )
+        "spread_volatility", safe_divide("_top", "category_tick_count").alias("top_market_share"),
+        "top_3_market_share", "hhi_concentration_index", *["_share_sum"] * with_share_sum)

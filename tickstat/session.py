@@ -98,4 +98,12 @@ def materialize(df, name: str = "step", path: str | None = None):
     spark = df.sparkSession
     path = path or scratch_path(spark, name)
     df.write.format("parquet").save(path)
+    delete_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the file system delete a folder when the driver ends (not when it
+    is killed). For tables behind lazy results, which nothing can delete before."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
