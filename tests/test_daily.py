@@ -128,3 +128,113 @@ def test_tick_scan_gets_the_update_type(spark):
     observed, _ = Q.observe_rules(K.price_changes(raw, "2024-01-03", "2024-01-04"), Q.ticks_rules(), table="t")
     plan = observed._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(update_type,price_change)" in plan and "2024-01-03" in plan
+
+
+def payload_lines(spark, root, spoil):
+    """The landed metadata as JSON lines, changed by ``spoil(list of lines)``."""
+    import os
+    from tickstat.sources import fixtures as FX
+    payload = FX.market_payload_from_customer(G.table(spark, SF_SMALL, "customer"))
+    lines = [r.v for r in payload.select(F.to_json(F.struct(*payload.columns)).alias("v")).collect()]
+    os.makedirs(f"{root}/payload", exist_ok=True)
+    with open(f"{root}/payload/a.json", "w", encoding="utf-8") as f:
+        f.write("\n".join(spoil(lines)) + "\n")
+    return f"{root}/payload"
+
+
+def test_repeated_and_malformed_metadata(spark):
+    """A market in two landed lines and lines that are no JSON: the run goes
+    through, counts them, and the next one too."""
+    from tickstat.sources.payload import read_market_payload, split_payload
+    root = tempfile.mkdtemp(prefix="ts-repeat-")
+    raw, _, tags = landed_tables(spark, root)
+    window = ("2024-01-03", "2024-01-06")
+    wanted = {r.market_id for r in raw.where(F.col("date").between("2024-01-03", "2024-01-05")).select("market_id").distinct().collect()}
+    def spoil(lines):
+        ids = [x.split('"')[3] for x in lines]
+        twice = next(i for i, k in enumerate(ids) if k in wanted)
+        cut = next(i for i, k in enumerate(ids) if k in wanted and i != twice)
+        spoil.cut = ids[cut]
+        return [*(x[:25] if i == cut else x for i, x in enumerate(lines)), lines[twice], lines[twice].replace("Customer", "Again"), "no json", "[1]"]
+
+    payload = read_market_payload(spark, payload_lines(spark, root, spoil), quarantine=True)
+    good, bad = split_payload(payload)
+    assert sorted(len(r.line) for r in bad.collect()) == [3, 7, 25] and all(r.file for r in bad.collect())
+    for _ in range(2):
+        res = daily.run_daily(spark, raw, f"{root}/dim", payload, tags, f"{root}/out", *window)
+        dim = spark.read.parquet(f"{root}/dim")
+        assert dim.count() == len(wanted) == dim.select("market_id").distinct().count()
+        found = {r["check"]: r["violations"] for r in res.report if r["table"] == "market_payload"}
+        assert found["lines are well-formed"] == 3
+    assert dim.where((F.col("market_id") == spoil.cut) & F.col("is_ghost")).count() == 1
+
+    # the line is landed whole: its ghost is looked up again, the view has it
+    from tickstat.operators import markets as M
+    mended = read_market_payload(spark, payload_lines(spark, root, lambda lines: lines))
+    daily.run_daily(spark, raw, f"{root}/dim", mended, tags, f"{root}/out", *window, retry_ghosts=True)
+    view = M.markets_view(spark.read.parquet(f"{root}/dim"))
+    assert view.where(F.col("market_id") == spoil.cut).count() == 1
+    assert view.count() == view.select("market_id").distinct().count()
+    n = spark.read.parquet(f"{root}/dim").count()
+    daily.run_daily(spark, raw, f"{root}/dim", mended, tags, f"{root}/out", *window, retry_ghosts=True)
+    assert spark.read.parquet(f"{root}/dim").count() == n
+
+
+def test_nothing_is_appended_when_the_gate_blocks(spark):
+    import pytest
+    from tickstat import schemas
+    from tickstat.operators import quality as Q
+    root = tempfile.mkdtemp(prefix="ts-block-")
+    raw, payload, tags = landed_tables(spark, root)
+    SK.ensure_table(spark, f"{root}/dim", schemas.DIM_MARKETS, partition_col=None)
+    row = ("m1", "q", "e", None, None, None, False, None, False)
+    spark.createDataFrame([row, row], schemas.DIM_MARKETS).write.mode("append").parquet(f"{root}/dim")
+    with pytest.raises(Q.QualityError, match="unique"):
+        daily.run_daily(spark, raw, f"{root}/dim", payload, tags, f"{root}/out", "2024-01-03", "2024-01-04")
+    assert spark.read.parquet(f"{root}/dim").count() == 2
+
+
+def test_facts_are_not_read_to_be_checked(spark, monkeypatch):
+    """Same report as checking the written tables, without scanning them for it."""
+    from tickstat.operators import quality as Q
+    root = tempfile.mkdtemp(prefix="ts-observe-")
+    raw, _, _ = landed_tables(spark, root)
+    window, checked = ("2024-01-03", "2024-01-06"), []
+    real = Q.quality_report
+    monkeypatch.setattr(Q, "quality_report", lambda df, rules, **kw: (checked.append(kw.get("table")), real(df, rules, **kw))[1])
+    res = daily.run_window(spark, raw, G.dim(spark, SF_SMALL), f"{root}/out", *window)
+    assert checked == ["orderbook"]
+    monkeypatch.undo()
+    for name in daily.TABLES:
+        want = {r.check: r.violations for r in
+                Q.quality_report(daily.read_window(spark, res.paths[name], *window), daily.RULES[name]()).collect()}
+        assert {r["check"]: r["violations"] for r in res.report if r["table"] == name} == want, name
+
+
+def test_daily_job_on_catalog_tables(spark):
+    root = tempfile.mkdtemp(prefix="ts-catalog-")
+    raw, _, _ = landed_tables(spark, root)
+    prefix, window = f"cat{abs(hash(root)) % 10**9}_", ("2024-01-03", "2024-01-06")
+    for _ in range(2):
+        daily.run_window(spark, raw, G.dim(spark, SF_SMALL), f"{root}/cat", *window, catalog=prefix)
+    plain = daily.run_window(spark, raw, G.dim(spark, SF_SMALL), f"{root}/plain", *window)
+    for name in daily.TABLES:
+        assert rows(spark.table(prefix + name)) == rows(spark.read.parquet(plain.paths[name])), name
+        spark.sql(f"DROP TABLE {prefix}{name}")
+
+
+def test_a_failing_window_does_not_stop_a_backfill(spark):
+    import os
+    import pytest
+    root = tempfile.mkdtemp(prefix="ts-failing-")
+    raw, _, _ = landed_tables(spark, root)
+    folder = f"{root}/raw/date=2024-01-03"
+    for f in os.listdir(folder):
+        if f.endswith(".parquet"):
+            with open(f"{folder}/{f}", "wb") as out:
+                out.write(b"PAR1 broken PAR1")
+    with pytest.raises(daily.BackfillFailures, match="2024-01-03") as caught:
+        daily.run_backfill(spark, f"{root}/raw", G.dim(spark, SF_SMALL), f"{root}/out", "2024-01-02", "2024-01-05", days_per_run=1)
+    assert [(str(a), str(b)) for a, b, _ in caught.value.failed] == [("2024-01-03", "2024-01-04")]
+    dates = {str(r.date) for r in spark.read.parquet(f"{root}/out/market_history").select("date").distinct().collect()}
+    assert dates == {"2024-01-02", "2024-01-04"} and len(caught.value.results) == 2

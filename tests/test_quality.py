@@ -70,4 +70,45 @@ def test_observed_rules_match_report(spark, df):
     want = [r.asDict() for r in Q.quality_report(df, rules, table="t").collect()]
     assert got == want
     with pytest.raises(ValueError):
-        Q.observe_rules(df, [Q.unique("k")])
+        Q.observe_rules(df, [Q.Rule("x", "no such kind", keys=("k",))])
+
+
+def grouped_rules():
+    return [Q.unique("k"), Q.unique("date", "k"), Q.max_per_group("per date", ["date"], 1),
+            Q.max_per_group("per key", ["k"], 2), Q.group_sum_near("sums", "x", ["date"], 1.0, 0.4),
+            Q.group_sum_near("sums of keys", "n", ["k"], 2.0, 0.5), Q.not_null("k")]
+
+
+def with_null_keys(df):
+    """A NULL key is a group, also beside sets of keys that leave it out."""
+    return df.unionByName(df.where("n = 2").withColumn("k", F.lit(None).cast("string")))
+
+
+def test_grouped_rules_share_one_pass(spark, df):
+    data = with_null_keys(df)
+    report = Q.quality_report(data, grouped_rules())
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Expand") == 1 and plan.count("Relation") + plan.count("LogicalRDD") <= 2 * 2
+    got = {r.check: r.violations for r in report.collect()}
+    one_by_one = {r.name: Q.quality_report(data, [r]).first().violations for r in grouped_rules()}
+    assert got == one_by_one
+    assert got["k: unique"] == 1 and got["date, k: unique"] == 0 and got["per date"] == 1 and got["k: not_null"] == 1
+
+
+def test_grouped_rules_are_observed(spark, df):
+    data = with_null_keys(df)
+    for rows in (data, data.where("n > 100")):
+        observed, finish = Q.observe_rules(rows, grouped_rules(), table="t")
+        assert observed.columns == rows.columns
+        observed.write.format("noop").mode("overwrite").save()
+        want = {r.check: r.violations for r in Q.quality_report(rows, grouped_rules(), table="t").collect()}
+        assert {r["check"]: r["violations"] for r in finish()} == want
+
+
+def test_rows_that_carry_their_groups_value(spark, df):
+    per = df.groupBy("date").agg(F.sum("x").alias("s"), F.min("n").alias("first")).withColumnRenamed("date", "day")
+    rows = df.join(per, F.col("date") == F.col("day"))
+    rule = Q.group_sum_near("sums", "x", ["date"], 1.0, 0.4)
+    observed, finish = Q.observe_rules(rows, [rule], given={"sums": (F.col("s"), F.col("n") == F.col("first"))})
+    observed.write.format("noop").mode("overwrite").save()
+    assert [r["violations"] for r in finish()] == [Q.quality_report(df, [rule]).first().violations] == [1]

@@ -6,9 +6,12 @@ values present, ratios) become ``count_if``-style aggregate expressions and
 are **all evaluated in one aggregation pass** over the checked table (a global
 aggregate: each task emits one partial row, so the pass is as parallel as the
 scan). Rules that need a grouping (uniqueness, per-date cardinality, per-group
-sums) add one grouped aggregation each. The report is unpivoted to one row per
-rule; ``gate`` collects that report (one row per rule, never data rows) and
-raises on a blocking failure.
+sums) share a second one, whatever they group by (GROUPING SETS). The report is
+unpivoted to one row per rule; ``gate`` collects that report (one row per rule,
+never data rows) and raises on a blocking failure.
+
+``observe_rules`` evaluates the same rules on rows on their way into a table,
+so that a table is not scanned only to be checked.
 
 The per-asset rule sets reproduce the source's declared checks; windowed
 checks take the same half-open date window as the transforms.
@@ -19,11 +22,12 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.columns import in_window
+from ..sources.payload import CORRUPT
 
 
 class QualityError(RuntimeError):
@@ -64,20 +68,25 @@ class Rule:
             return F.when(ratio > F.lit(self.value), 1).otherwise(0)
         return None
 
-    # ---- grouped rules: a small aggregation of their own
-    def grouped(self, df: DataFrame) -> DataFrame:
+    # ---- grouped rules: over one row per group, with its value (the number
+    # of its rows, or their sum); ``own`` marks the groups of this rule's keys
+    def of_rows(self) -> Column:
+        """The value of a group, as an aggregate (or window function) of rows."""
+        if self.kind in ("unique", "max_per_group"):
+            return F.count(F.lit(1))
+        if self.kind == "group_sum_near":
+            return F.sum(self.column)
+        raise ValueError(f"unknown rule kind {self.kind}")
+
+    def of_groups(self, value: Column, own: Column) -> Column:
         if self.kind == "unique":
-            dup = df.groupBy(*self.keys).count().where(F.col("count") > 1)
-            return dup.agg(F.count(F.lit(1)).alias("v"))
-        if self.kind == "max_per_group":        # rows per group <= value
-            per = df.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("n"))
+            return F.count_if(own & (value > 1))
+        if self.kind == "max_per_group":
             # MAX over no rows is NULL and the CASE then fails: an empty window warns.
-            return per.agg(F.when(F.max("n") <= F.lit(self.value), 0).otherwise(1).alias("v"))
-        if self.kind == "group_sum_near":       # |sum(column) - 1| <= tol per group
+            return F.when(F.max(F.when(own, value)) <= F.lit(self.value), 0).otherwise(1)
+        if self.kind == "group_sum_near":       # |sum(column) - target| <= tol per group
             target, tol = self.value
-            per = df.groupBy(*self.keys).agg(
-                F.abs(F.sum(self.column) - F.lit(target)).alias("gap"))
-            return per.agg(F.count_if(F.col("gap") > F.lit(tol)).alias("v"))
+            return F.count_if(own & (F.abs(value - F.lit(target)) > F.lit(tol)))
         raise ValueError(f"unknown rule kind {self.kind}")
 
 
@@ -143,16 +152,9 @@ def quality_report(df: DataFrame, rules, start=None, end=None, date_col: str = "
     grouped = [r for r in rules if r.expr() is None]
     parts = []
     if single:
-        wide = df.agg(*[r.expr().cast("long").alias(f"r{i}") for i, r in enumerate(single)])
-        rows = F.array(*[
-            F.struct(F.lit(r.name).alias("check"),
-                     F.col(f"r{i}").alias("violations"), F.lit(r.blocking).alias("blocking"))
-            for i, r in enumerate(single)])
-        parts.append(wide.select(F.inline(rows)))
-    for r in grouped:
-        parts.append(r.grouped(df).select(
-            F.lit(r.name).alias("check"),
-            F.col("v").cast("long").alias("violations"), F.lit(r.blocking).alias("blocking")))
+        parts.append(_unpivoted(df.agg(*[r.expr().cast("long").alias(f"r{i}") for i, r in enumerate(single)]), single))
+    if grouped:
+        parts.append(_unpivoted(_over_groups(df, grouped), grouped))
     counts = reduce(DataFrame.unionByName, parts)
     violations_ = F.coalesce(F.col("violations"), F.lit(0).cast("long"))
     return counts.select(
@@ -160,27 +162,66 @@ def quality_report(df: DataFrame, rules, start=None, end=None, date_col: str = "
         (violations_ == 0).alias("passed"), "blocking")
 
 
-def observe_rules(df: DataFrame, rules, table: str | None = None):
-    """Attach single-pass rules to ``df`` as observed metrics, so they are
-    computed by whatever action later consumes ``df`` (e.g. the write that
-    parses it) instead of by a second scan.
+def _unpivoted(wide: DataFrame, rules: list[Rule]) -> DataFrame:
+    """One row per rule from the one row that has the rules' counts."""
+    rows = F.array(*[
+        F.struct(F.lit(r.name).alias("check"), F.col(f"r{i}").alias("violations"), F.lit(r.blocking).alias("blocking"))
+        for i, r in enumerate(rules)])
+    return wide.select(F.inline(rows))
+
+
+def _over_groups(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """The counts of all grouped rules in one pass: the groups of every set of
+    keys at once, then one row. With one set of keys that is a plain grouping."""
+    sets = list(dict.fromkeys(r.keys for r in rules))
+    columns = list(dict.fromkeys(k for keys in sets for k in keys))
+    values = [r.of_rows().alias(f"v{i}") for i, r in enumerate(rules)]
+    if len(sets) == 1:
+        per, own = df.groupBy(*columns).agg(*values), [F.lit(True)] * len(rules)
+    else:
+        # a column that a set does not group by is marked, so that its NULL is
+        # not taken for a group
+        marks = [F.grouping(c).alias(f"g{k}") for k, c in enumerate(columns)]
+        per = df.groupingSets([[F.col(c) for c in keys] for keys in sets], *columns).agg(*values, *marks)
+        own = [reduce(Column.__and__, [F.col(f"g{k}") == int(c not in r.keys) for k, c in enumerate(columns)])
+               for r in rules]
+    return per.agg(*[r.of_groups(F.col(f"v{i}"), own[i]).cast("long").alias(f"r{i}") for i, r in enumerate(rules)])
+
+
+def observe_rules(df: DataFrame, rules, table: str | None = None, given: dict | None = None):
+    """Attach rules to ``df`` as observed metrics, so they are computed by
+    whatever action later consumes ``df`` (e.g. the write that parses it)
+    instead of by a second scan.
+
+    A grouped rule needs on every row the value of the row's group, and one
+    row that stands for the group. ``given`` has both for rules whose rows
+    carry them already: ``{rule name: (value, once)}``; for the others they
+    come from a window over the rule's keys, which is for small groups.
 
     Returns ``(observed_df, finish)``; after the action, ``finish()`` gives
     the report rows (same shape as ``quality_report``)."""
     from pyspark.sql import Observation
 
-    rules = list(rules)
-    if any(r.expr() is None for r in rules):
-        raise ValueError("grouped rules cannot be observed; use quality_report")
+    rules, hidden, metrics = list(rules), {}, []
+    for i, r in enumerate(rules):
+        metric = r.expr()
+        if metric is None:
+            if r.name in (given or {}):
+                value, once = given[r.name]
+            else:
+                group = Window.partitionBy(*r.keys)
+                value = r.of_rows().over(group)
+                once = F.row_number().over(group.orderBy(*r.keys)) == 1
+            hidden |= {f"_value{i}": value, f"_once{i}": once}
+            metric = r.of_groups(F.col(f"_value{i}"), F.col(f"_once{i}"))
+        metrics.append(metric.cast("long").alias(f"r{i}"))
     obs = Observation(f"quality_{table or 'df'}")
-    observed = df.observe(obs, *[r.expr().cast("long").alias(f"r{i}") for i, r in enumerate(rules)])
+    observed = (df.withColumns(hidden) if hidden else df).observe(obs, *metrics).drop(*hidden)
 
     def finish() -> list[dict]:
-        # a plan that the optimizer proved empty runs without its metrics; any
-        # other failure to get them is raised
-        got = {} if known_empty(observed) else obs.get
-        if not got:
-            return [r.asDict() for r in quality_report(df.limit(0), rules, table=table).collect()]
+        got = {} if known_empty(observed) else _metrics(obs)
+        if not got:          # a plan that turned out to have no rows may run without its metrics
+            return [r.asDict() for r in quality_report(df, rules, table=table).collect()]
         rows = []
         for i, r in enumerate(rules):
             v = got.get(f"r{i}") or 0
@@ -191,6 +232,18 @@ def observe_rules(df: DataFrame, rules, table: str | None = None):
     return observed, finish
 
 
+def _metrics(obs) -> dict:
+    """The observed values; none where the action did not run them (the JVM
+    then has a row without columns, which cannot be converted)."""
+    from py4j.protocol import Py4JJavaError
+    try:
+        return obs.get
+    except Py4JJavaError as e:
+        if "toPyRow" not in str(e):
+            raise
+        return {}
+
+
 def known_empty(df: DataFrame) -> bool:
     """Whether the optimizer proved that the plan has no input rows."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
@@ -249,6 +302,15 @@ def ticks_rules():
     ]
 
 
+def payload_rules(malformed_limit: float = 0.01):
+    """Of landed payload read with its malformed lines (``payload.CORRUPT``)."""
+    return [
+        non_empty("payload has lines", blocking=False),
+        ratio_at_most("malformed share within its limit", F.col(CORRUPT).isNotNull(), malformed_limit, blocking=False),
+        violations("lines are well-formed", F.col(CORRUPT).isNotNull(), blocking=False),
+    ]
+
+
 def dim_rules(ghost_ratio_limit: float = 0.10):
     return [
         non_empty("dimension has rows"),
@@ -315,6 +377,9 @@ def expiry_rules():
     ]
 
 
+SHARE_SUM_CHECK = "shares of a category-day add up to 1"
+
+
 def concentration_rules(hhi_tolerance: float = 1e-4, share_max: float = 1.0):
     """``share_max`` is the bound of the per-column ``max`` checks (exact 1 in
     the source, while its own HHI check allows 1.0001)."""
@@ -328,7 +393,7 @@ def concentration_rules(hhi_tolerance: float = 1e-4, share_max: float = 1.0):
     rules += [
         non_negative("spread_volatility"),
         non_empty("fact has rows"),
-        group_sum_near("shares of a category-day add up to 1",
+        group_sum_near(SHARE_SUM_CHECK,
                        "market_tick_share", ["date", "category"], 1.0, 1e-4),
         violations("Herfindahl index within 0 and 1",
                    (c("hhi_concentration_index") < 0)

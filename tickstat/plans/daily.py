@@ -18,16 +18,20 @@ Shape at scale (5e8+ raw rows a day):
 * The per-market-day aggregate is written once as Parquet under the cluster's
   ``spark.checkpoint.dir`` and feeds both the history and the activity fact;
   expiry buckets and concentration read the written history/activity facts.
-* The ticks' quality rules are observed metrics of the pass that writes them.
-  The raw table's rules are a pass of their own that does not parse: of the
-  payload it needs only whether it is there, and it keeps no filter from the
-  scan that does parse (an observation above that scan would). The facts'
-  rules run on their written tables of the window. ``gate`` raises on a
-  blocking failure after all tables are written (as the source checks after
+* The rules of the ticks and of every fact are observed metrics of the pass
+  that writes them: no table is scanned only to be checked. The raw table's
+  rules are a pass of their own that does not parse: of the payload it needs
+  only whether it is there, and it keeps no filter from the scan that does
+  parse (an observation above that scan would). ``gate`` raises on a blocking
+  failure after all tables are written (as the source checks after
   materialization).
-* ``update_dimension`` discovers the window's unknown market ids, enriches and
-  merges them; ``run_daily`` does that first and lets the dimension's and the
-  view's rules stop the run before any fact is written.
+* With ``catalog`` the tables are catalog tables whose dates are replaced by
+  pointing them at new folders (``operators.catalog``), else folders that are
+  moved (``sinks.write_window``).
+* ``update_dimension`` discovers the window's unknown market ids, enriches
+  them and checks what the dimension would be with them before it appends
+  them; ``run_daily`` does that first, so a blocking rule of the dimension or
+  the view stops the run before anything is written.
 """
 
 from __future__ import annotations
@@ -36,15 +40,19 @@ from dataclasses import dataclass, field
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.columns import in_window
+from ..operators import catalog as C
 from ..operators import markets as M
 from ..operators import quality as Q
 from ..operators import reports as R
 from ..operators import sinks as SK
 from ..operators import ticks as K
 from ..session import materialize, scratch_path
+from ..sources.payload import CORRUPT, split_payload
+from ..sources.raw import scan_raw
 
 TABLES = ("price_changes", "market_history", "category_activity", "spread_over_time",
           "spread_distribution", "expiry_buckets", "category_concentration")
@@ -93,32 +101,41 @@ def read_window(spark: SparkSession, path: str, start, end, schema=None) -> Data
 
 
 def run_window(spark: SparkSession, raw: DataFrame, dim: DataFrame, out_root: str, start, end,
-               strict: bool = False, gate: bool = True) -> RunResult:
+               strict: bool = False, gate: bool = True, catalog: str | None = None) -> RunResult:
     """Build every table for ``[start, end)`` under ``out_root``.
 
     ``raw`` is the order book (e.g. ``sources.raw.scan_raw``), ``dim`` the
-    stored market dimension. Returns the paths, the window dates left empty
-    per table, and the quality report rows.
+    stored market dimension. ``catalog`` is the prefix of the tables' names in
+    the session's catalog (``"liquidity."``); without it they are folders.
+    Returns the paths, the window dates left empty per table, and the quality
+    report rows.
     """
     paths = {name: _path(out_root, name) for name in TABLES}
     result = RunResult(paths)
-    schemas = {}
+    schemas, checks = {}, []
 
-    def write(name: str, df: DataFrame) -> None:
+    def write(name: str, df: DataFrame, given: dict | None = None) -> None:
         keys, tie = CLUSTER[name]
-        schemas[name] = df.schema
-        result.emptied[name] = SK.write_window(df, paths[name], start, end, cluster_by=keys,
-                                               tie_breaker=tie, large=name in LARGE)
+        observed, finish = Q.observe_rules(df, RULES[name](), table=name, given=given)
+        fresh = observed.drop("_share_sum")
+        schemas[name] = fresh.schema
+        if catalog is None:
+            result.emptied[name] = SK.write_window(fresh, paths[name], start, end, cluster_by=keys,
+                                                   tie_breaker=tie, large=name in LARGE)
+        else:
+            C.ensure_catalog_table(spark, catalog + name, fresh.schema, paths[name])
+            result.emptied[name] = C.replace_partitions(fresh, catalog + name, start, end, cluster_by=keys,
+                                                        tie_breaker=tie, large=name in LARGE)
+        checks.extend(finish())
 
     def read(name: str) -> DataFrame:
+        if catalog is not None:
+            return C.read_partitions(spark, catalog + name, start, end)
         return read_window(spark, paths[name], start, end, schemas[name])
 
     # 1. ticks: the only step that parses JSON; the update type and the window
     #    reach the scan, and the ticks are checked as they are written
-    fresh_ticks, tick_checks = Q.observe_rules(
-        K.price_changes(raw, start, end, strict=strict), RULES["price_changes"](),
-        table="price_changes")
-    write("price_changes", fresh_ticks)
+    write("price_changes", K.price_changes(raw, start, end, strict=strict))
     ticks = read("price_changes")
 
     # 2. market-day aggregate, shared by history and activity
@@ -135,74 +152,108 @@ def run_window(spark: SparkSession, raw: DataFrame, dim: DataFrame, out_root: st
     write("spread_over_time", R.spread_over_time(ticks, start, end))
     write("spread_distribution", R.spread_distribution(ticks, start, end))
 
-    # 4. facts of facts
+    # 4. facts of facts; a category-day's share sum comes with its rows
     history = read("market_history")
     activity = read("category_activity")
     write("expiry_buckets", R.expiry_buckets(history, start, end))
-    write("category_concentration", R.category_concentration(history, activity, start, end))
-
-    # 5. quality of everything written in the window
-    reports = [Q.quality_report(K.window_rows(raw, start, end), Q.orderbook_rules(), table="orderbook")]
-    reports += [Q.quality_report(read(name), RULES[name](), table=name) for name in TABLES
-                if name != "price_changes"]
-    report = reports[0]
-    for r in reports[1:]:
-        report = report.unionByName(r)
-    result.report = tick_checks() + [r.asDict() for r in report.collect()]
+    once = F.col("market_rank_in_category") == 1
+    write("category_concentration", R.category_concentration(history, activity, start, end, with_share_sum=True),
+          {Q.SHARE_SUM_CHECK: (F.col("_share_sum"), once)})
+
+    # 5. the raw rows of the window
+    report = Q.quality_report(K.window_rows(raw, start, end), Q.orderbook_rules(), table="orderbook")
+    result.report = [r.asDict() for r in report.collect()] + checks
     if gate:
         result.failures = Q.gate(result.report)
     return result
 
 
+def dimension_report(dim: DataFrame) -> list[dict]:
+    """Rules of a dimension and of the view on it, one row per rule."""
+    report = Q.quality_report(dim, Q.dim_rules(), table="dim_markets").unionByName(
+        Q.quality_report(M.markets_view(dim), Q.view_rules(), table="markets_view"))
+    return [r.asDict() for r in report.collect()]
+
+
 def update_dimension(spark: SparkSession, raw: DataFrame, dim_path: str, payload: DataFrame,
-                     event_tags: DataFrame, start, end) -> DataFrame:
-    """Discovery, enrichment and merge: ids of the window's raw rows that the
-    stored dimension lacks are looked up in the landed metadata (ghost rows
-    where there is none) and appended. Returns the dimension."""
+                     event_tags: DataFrame, start, end, ids: DataFrame | None = None,
+                     retry_ghosts: bool = False) -> tuple[DataFrame, list[dict]]:
+    """Discovery, enrichment, check and merge: ids of the window's raw rows
+    that the stored dimension lacks are looked up in the landed metadata (ghost
+    rows where there is none) and appended, one row per id. What the dimension
+    would be is checked first: on a blocking failure nothing is appended.
+
+    ``ids`` are the market ids of the window where the ingest keeps them
+    (``ingest.market_ids``); without it they are read from ``raw``.
+    ``retry_ghosts`` looks ghosts up again; the row of one that is found is
+    added, its ghost row stays (the dimension is insert-only, and the view
+    shows no ghosts). Malformed payload (``payload.split_payload``) is counted
+    in the report. Returns the dimension and the report."""
     SK.ensure_table(spark, dim_path, S.DIM_MARKETS, partition_col=None)
     dim = spark.read.schema(S.DIM_MARKETS).parquet(dim_path)
-    new = M.enrich_markets(M.new_market_ids(raw, dim, start, end), payload, event_tags)
-    SK.append_inserts(dim_path, new)
-    return spark.read.schema(S.DIM_MARKETS).parquet(dim_path)
-
-
-def check_dimension(dim: DataFrame) -> list[dict]:
-    """Rules of the dimension and of the view on it; raises on a blocking one."""
-    report = Q.quality_report(dim, Q.dim_rules(), table="dim_markets").unionByName(
-        Q.quality_report(M.markets_view(dim), Q.view_rules(), table="markets_view"))
-    rows = [r.asDict() for r in report.collect()]
-    Q.gate(rows)
-    return rows
+    checks = []
+    if CORRUPT in payload.columns:
+        checks = [r.asDict() for r in Q.quality_report(payload, Q.payload_rules(), table="market_payload").collect()]
+        payload, _ = split_payload(payload)
+    wanted = (M.new_market_ids(raw, dim, start, end, retry_ghosts) if ids is None
+              else M.new_market_ids(ids, dim, retry_ghosts=retry_ghosts))
+    found = M.enrich_markets(wanted, payload, event_tags)
+    held = dim.select("market_id", "is_ghost")
+    known = held.where(F.col("is_ghost") == F.lit(False)) if retry_ghosts else held
+    path = scratch_path(spark, "dimension_inserts")
+    try:
+        new = SK.merge_inserts(known, found, dedup=True)
+        if retry_ghosts:                                    # still a ghost: its row is there
+            new = SK.merge_inserts(held, new.where("is_ghost")).unionByName(new.where("NOT is_ghost"))
+        new = materialize(new, path=path)
+        checks += dimension_report(dim.unionByName(new))
+        Q.gate(checks)
+        new.write.format("parquet").mode("append").save(dim_path)
+    finally:
+        SK.remove_dir(spark, path)
+    return spark.read.schema(S.DIM_MARKETS).parquet(dim_path), checks
 
 
 def run_daily(spark: SparkSession, raw: DataFrame, dim_path: str, payload: DataFrame,
-              event_tags: DataFrame, out_root: str, start, end, **kw) -> RunResult:
-    """The whole chain for ``[start, end)``: the dimension is brought up to
-    date and checked, then every table is built with it."""
-    dim = update_dimension(spark, raw, dim_path, payload, event_tags, start, end)
-    checks = check_dimension(dim)
+              event_tags: DataFrame, out_root: str, start, end, ids: DataFrame | None = None,
+              retry_ghosts: bool = False, **kw) -> RunResult:
+    """The whole chain for ``[start, end)``: the dimension is checked and
+    brought up to date, then every table is built with it."""
+    dim, checks = update_dimension(spark, raw, dim_path, payload, event_tags, start, end, ids, retry_ghosts)
     result = run_window(spark, raw, dim, out_root, start, end, **kw)
     result.report = checks + result.report
     return result
 
 
+class BackfillFailures(RuntimeError):
+    """Some windows of a backfill failed; ``failed`` lists them, ``results``
+    has the results of the others."""
+
+    def __init__(self, failed: list[tuple], results: list[RunResult]):
+        self.failed, self.results = failed, results
+        super().__init__("failed windows: " + "; ".join(f"[{a}, {b}): {why}" for a, b, why in failed))
+
+
 def run_backfill(spark: SparkSession, raw_root: str, dim: DataFrame, out_root: str, start, end,
                  days_per_run: int = 7, **kw) -> list[RunResult]:
     """Backfill ``[start, end)`` in consecutive windows of ``days_per_run``.
 
     Each window is an independent, idempotent ``run_window`` over
     ``sources.raw.scan_raw`` (pruned to its dates), so every job's input is
-    bounded and a failure costs only its window: re-running the backfill
-    replaces windows, never duplicates them. The loop is over date windows
-    (metadata), not rows."""
-    from ..operators.sinks import date_range
-    from ..sources.raw import scan_raw
-
-    days = date_range(start, end)
-    results = []
+    bounded and a failure costs only its window: the others are run, and the
+    failed ones are reported at the end by ``BackfillFailures``. Re-running the
+    backfill replaces windows, never duplicates them. The loop is over date
+    windows (metadata), not rows."""
+    days = SK.date_range(start, end)
+    results, failed = [], []
     for i in range(0, len(days), days_per_run):
         w_start = days[i]
         w_end = days[min(i + days_per_run, len(days)) - 1] + timedelta(days=1)
-        raw = scan_raw(spark, raw_root, w_start, w_end)
-        results.append(run_window(spark, raw, dim, out_root, w_start, w_end, **kw))
+        try:
+            raw = scan_raw(spark, raw_root, w_start, w_end)
+            results.append(run_window(spark, raw, dim, out_root, w_start, w_end, **kw))
+        except Exception as exc:   # noqa: BLE001 - collected per window, reported below
+            failed.append((w_start, w_end, f"{type(exc).__name__}: {str(exc)[:200]}"))
+    if failed:
+        raise BackfillFailures(failed, results)
     return results
