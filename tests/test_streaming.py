@@ -182,7 +182,7 @@ def test_failing_dates_are_collected(spark, two_days):
 
 
 STEPS = [("SK.create_mark", 1), ("_write", 1), ("_note", 1), ("SK.create_mark", 2), ("SK.remove_dir", 1),
-         ("SK.remove_dir", 2), ("SK.remove_dir", 3), ("SK.remove_dir", 4)]
+         *(("SK.remove_dir", n) for n in range(2, 8))]
 
 
 @pytest.mark.parametrize("name,call", STEPS)
@@ -201,7 +201,7 @@ def test_a_reload_stopped_anywhere_is_old_or_new(spark, two_days, monkeypatch, n
         pass
 
     def step(*args, **kw):
-        if "scratch" in str(args) or "_lock" in str(args):
+        if "landed_files" in str(args) or "_lock" in str(args):          # scratch and lock, no step of the table
             return real(*args, **kw)
         calls.append(args)
         if len(calls) == call and not late:
@@ -238,3 +238,29 @@ def test_one_writer_at_a_time(spark, two_days):
     os.utime(f"{table}/_lock", (0, 0))
     reload_dates(spark, landing, table, "2026-03-14", "2026-03-15")
     assert not os.path.exists(f"{table}/_lock")
+
+
+def test_new_markets_from_the_ids_of_the_loads(spark, two_days):
+    from tickstat import schemas as S
+    from tickstat.operators import markets as M
+    landing, table = two_days
+    put(spark, landing, "2026-03-15", "2026-03-15T01", [f"2026-03-15 01:00:{i:02d}" for i in range(5)])
+    load_landed(spark, landing, table)
+    reload_dates(spark, landing, table, "2026-03-14", "2026-03-15")
+    dim = spark.createDataFrame([("m0", "q", "e", None, None, None, False, None, False)], S.DIM_MARKETS)
+    for window in ((None, None), ("2026-03-14", "2026-03-15"), ("2026-03-15", "2026-03-16"), ("2026-03-16", None)):
+        want = M.new_market_ids(RAW.scan_raw(spark, table), dim, *window)
+        ids = ingest.market_ids(spark, table, *window)
+        got = M.new_market_ids(ids, dim, *window)
+        assert sorted(got.collect()) == sorted(want.collect())
+    plan = M.new_market_ids(ids, dim)._jdf.queryExecution().executedPlan().toString()
+    assert "/_ledger/ids" in plan and "update_type" not in plan and "data" not in plan.replace("data:", "")
+
+
+def test_files_of_a_scan(spark, two_days):
+    landing, _ = two_days
+    files = RAW.landed_files(spark.read.parquet(landing))
+    assert sorted(r.slot for r in RAW.landed_slots_from_paths(files).collect()) == ["2026-03-14T23", "2026-03-15T00"]
+    assert all(r.modified for r in files.collect())
+    plan = files._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan

@@ -43,6 +43,42 @@ def to_timestamp(text: str | Column) -> Column:
     return F.when(c.rlike(_DATED), c.try_cast("timestamp"))
 
 
+# The ways a date is written, tried in this order: what the date part looks
+# like, and the format that reads it. 03/14/2026 has the month in front unless
+# that makes no date.
+_WEEKDAY = r"^\s*(?:(?:mon|tues?|wed(?:nes)?|thu(?:rs)?|fri|sat(?:ur)?|sun)(?:day)?,?\s+)?"
+_TAIL = (r"(?:(?:[T,]\s*|\s+)(?:at\s+)?\d{1,2}:\d{2}(?::\d{2}(?:[.,]\d+)?)?(?:\s*[ap]\.?m\.?)?)?"
+         r"\s*(?:Z|UTC|GMT|[+-]\d{2}:?\d{2})?\s*$")
+DATE_LADDER = (
+    (r"(\d{4}-\d{1,2}-\d{1,2})", "yyyy-M-d"),
+    (r"(\d{4}/\d{1,2}/\d{1,2})", "yyyy/M/d"),
+    (r"(\d{4}\.\d{1,2}\.\d{1,2})", "yyyy.M.d"),
+    (r"(\d{8})", "yyyyMMdd"),
+    (r"(\d{1,2}/\d{1,2}/\d{4})", "M/d/yyyy"),
+    (r"(\d{1,2}/\d{1,2}/\d{4})", "d/M/yyyy"),
+    (r"(\d{1,2}-\d{1,2}-\d{4})", "M-d-yyyy"),
+    (r"(\d{1,2}-\d{1,2}-\d{4})", "d-M-yyyy"),
+    (r"([a-z]{3,9}\.?\s+\d{1,2}(?:st|nd|rd|th)?,?\s+\d{4})", "MMM d yyyy"),
+    (r"(\d{1,2}(?:st|nd|rd|th)?[\s-]+[a-z]{3,9}\.?,?[\s-]+\d{4})", "d MMM yyyy"),
+)
+
+
+def written_date(text: str | Column) -> Column:
+    """The calendar date that a text states, NULL if it states none. A time
+    and a zone may follow; they do not move the date. Each row is read by
+    itself, by the first way of writing that fits it and gives a date."""
+    c = col_(text)
+    out = []
+    for shape, fmt in DATE_LADDER:
+        pattern = f"(?i){_WEEKDAY}{shape}{_TAIL}"
+        found = F.regexp_extract(c, pattern, 1)
+        if "MMM" in fmt:                     # Mar, March, MARCH, Sept.: three letters tell a month
+            found = F.regexp_replace(F.regexp_replace(found, r"(?i)(\d)(st|nd|rd|th)", "$1"), r"[\s,.-]+", " ")
+            found = F.initcap(F.regexp_replace(found, r"(?i)([a-z]{3})[a-z]*", "$1"))
+        out.append(F.when(c.rlike(pattern), F.try_to_date(found, fmt)))
+    return F.coalesce(*out)
+
+
 def safe_divide(num: str | Column, den: str | Column) -> Column:
     """NULL instead of a division-by-zero error."""
     return F.try_divide(col_(num), col_(den))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.columns import to_timestamp
+from ..functions.columns import to_timestamp, written_date
 
 
 def markets_view(dim: DataFrame) -> DataFrame:
@@ -122,18 +122,21 @@ def _first_truthy(*cols):
     return F.coalesce(*[F.nullif(c, F.lit("")) for c in cols])
 
 
-_ISO_DATE = r"^(\d{4}-\d{2}-\d{2})([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?)?(Z|[+-]\d{2}:?\d{2})?$"
-
-
 def _end_date_text(iso, other):
     """First non-empty of the two end-date fields, parsed per row to
-    ``YYYY-MM-DD`` (NULL when unparseable). ISO text keeps its own calendar
-    date; anything else goes through a timestamp cast."""
+    ``YYYY-MM-DD`` (NULL when unparseable): the date as it is written
+    (``columns.written_date``), else what a timestamp cast makes of it."""
     raw = F.trim(_first_truthy(iso, other))
-    iso_day = F.when(raw.rlike(_ISO_DATE),
-                     F.try_to_date(F.regexp_extract(raw, _ISO_DATE, 1), "yyyy-MM-dd"))
-    day = F.coalesce(iso_day, F.to_date(to_timestamp(raw)))
-    return F.date_format(day, "yyyy-MM-dd")
+    return F.date_format(F.coalesce(written_date(raw), F.to_date(to_timestamp(raw))), "yyyy-MM-dd")
+
+
+def end_date_report(payload: DataFrame) -> DataFrame:
+    """One row: markets, those with an end date in text, those whose text is
+    read as a date, and those whose is not."""
+    text = F.trim(_first_truthy(F.col("endDateIso"), F.col("endDate")))
+    parsed = _end_date_text(F.col("endDateIso"), F.col("endDate")).isNotNull()
+    return payload.agg(F.count(F.lit(1)).alias("markets"), F.count_if(text.isNotNull()).alias("with_text"),
+                       F.count_if(parsed).alias("parsed"), F.count_if(text.isNotNull() & ~parsed).alias("unparsed"))
 
 
 def _resolution_status(single, many):

@@ -21,7 +21,7 @@ from ..operators import markets as M
 from ..operators import reports as R
 from ..operators import ticks as K
 from ..sources import fixtures as FX
-from ..session import configure
+from ..session import configure, delete_at_exit, materialize, scratch_path
 from ..sources.tables import read_table
 
 ROUND_DIGITS = 9
@@ -173,20 +173,21 @@ def q_quality_markets(spark, sf_dir):
 
 
 def q_quality_facts(spark, sf_dir):
-    # each fact is one small aggregate, kept by the executors (and worked out
-    # again if one is lost) for the several passes its rules make
-    hist = history(spark, sf_dir).persist()
+    # the payload is parsed once; what several facts or several passes of the
+    # rules read is written for them
+    seen, view = materialize(ticks(spark, sf_dir), "ticks"), markets(spark, sf_dir)
+    stats = materialize(R.market_day_stats(seen), "market_day_stats")
+    hist = materialize(R.market_history(None, view, stats=stats), "history")
     facts = {
-        "category_activity": (activity(spark, sf_dir), Q.activity_rules()),
+        "category_activity": (R.category_activity(None, view, stats=stats), Q.activity_rules()),
         "market_history": (hist, Q.history_rules()),
-        "spread_over_time": (over_time(spark, sf_dir), Q.over_time_rules()),
-        "spread_distribution": (distribution(spark, sf_dir), Q.distribution_rules()),
-        "expiry_buckets": (R.expiry_buckets(hist), Q.expiry_rules()),
-        "category_concentration": (R.category_concentration(hist), Q.concentration_rules()),
+        "spread_over_time": (R.spread_over_time(seen), Q.over_time_rules()),
+        "spread_distribution": (materialize(R.spread_distribution(seen), "distribution"), Q.distribution_rules()),
+        "expiry_buckets": (materialize(R.expiry_buckets(hist), "expiry"), Q.expiry_rules()),
+        "category_concentration": (materialize(R.category_concentration(hist), "concentration"), Q.concentration_rules()),
     }
     return reduce(DataFrame.unionByName, [
-        Q.quality_report(FX.spoiled_fact(df, name).persist(), rules, table=name)
-        for name, (df, rules) in facts.items()])
+        Q.quality_report(FX.spoiled_fact(df, name), rules, table=name) for name, (df, rules) in facts.items()])
 
 
 def q_ghost_ratio(spark, sf_dir):
@@ -217,11 +218,12 @@ QUERIES.update({
 
 # ------------------------------------------- sources, sinks and enrichment
 from ..functions.category import pick_category  # noqa: E402
-from ..functions.columns import in_window  # noqa: E402
+from .. import schemas as S  # noqa: E402
+from ..functions.columns import in_window, written_date  # noqa: E402
 from ..functions.text import sanitize_text  # noqa: E402
 from ..operators import sinks as SK  # noqa: E402
 from ..sources import raw as RAW  # noqa: E402
-from ..sources.payload import parse_market_payload  # noqa: E402
+from ..sources.payload import parse_market_payload, split_payload  # noqa: E402
 
 # Fixed values of the replace and merge fixtures.
 REPLACE_WINDOW = ("2024-01-10", "2024-01-20")
@@ -341,6 +343,101 @@ QUERIES.update({
 })
 
 
+# --------------------------------------------- tables: written and read back
+def _landed_table(spark, sf_dir, late=False):
+    """The order book as a date-partitioned table of the shared folder, and
+    its path. Every call writes one of its own; the driver's end deletes it."""
+    path = scratch_path(spark, "raw_orderbook")
+    ob = orderbook(spark, sf_dir)
+    ob = FX.landed_late(ob) if late else ob
+    SK.overwrite_partitions(ob.withColumn("date", F.to_date("timestamp_received")), path,
+                            cluster_by=["market_id", "update_type"])
+    delete_at_exit(spark, path)
+    return path
+
+
+def q_raw_scan_window(spark, sf_dir):
+    return RAW.scan_raw(spark, _landed_table(spark, sf_dir), *WINDOW)
+
+
+def q_overwritten_dates(spark, sf_dir):
+    """Two dates overwritten by the rows of even keys; rows per date after it."""
+    path = _landed_table(spark, sf_dir)
+    fresh = orderbook(spark, sf_dir).withColumn("date", F.to_date("timestamp_received")).where(FX.market_key() % 2 == 0)
+    SK.overwrite_dates(fresh, path, *OVERWRITE_WINDOW, cluster_by=["market_id", "update_type"])
+    return RAW.partition_row_counts(RAW.scan_raw(spark, path))
+
+
+def q_window_replace_table(spark, sf_dir):
+    """``window_replace`` on a table: a first run over all dates, then a run
+    of the window; both as in the daily job."""
+    act, path = materialize(activity(spark, sf_dir), "activity"), scratch_path(spark, "activity_table")
+    SK.write_window(act.withColumn("version", F.lit("old")), path, "2024-01-01", "2024-02-01", ["category"], large=False)
+    fresh = act.where(in_window("date", *REPLACE_WINDOW) & (F.col("date") != F.lit(REPLACE_EMPTIED).cast("date")))
+    SK.write_window(fresh.withColumn("version", F.lit("new")), path, *REPLACE_WINDOW, ["category"], large=False)
+    delete_at_exit(spark, path)
+    return spark.read.parquet(path).select(*act.columns, "version")
+
+
+def q_missing_slots_by_path(spark, sf_dir):
+    """Hours without a landed file: the order book is landed in folders named
+    by the hour, and the slots come from the scan's file paths."""
+    path, late = scratch_path(spark, "landed_hours"), FX.landed_late(orderbook(spark, sf_dir))
+    (late.withColumns({"date": F.to_date("timestamp_received"), "slot": F.date_format("timestamp_received", S.HOUR_SLOT_FORMAT)})
+     .repartition("date").write.partitionBy("date", "slot").parquet(path))
+    delete_at_exit(spark, path)
+    files = RAW.landed_files(spark.read.schema(S.RAW_ORDERBOOK).parquet(path))
+    return RAW.missing_slots(_expected_slots(spark, sf_dir), RAW.landed_slots_from_paths(files))
+
+
+def q_quarantined_payload(spark, sf_dir):
+    """Landed lines of which some are cut off or no objects: one row per line."""
+    lines = FX.landed_lines_from_customer(table(spark, sf_dir, "customer"))
+    parsed = parse_market_payload(lines, quarantine=True)
+    good, bad = split_payload(parsed)
+    return good.select("conditionId", F.lit(None).cast("long").alias("quarantined_chars")).unionByName(
+        bad.select(F.lit(None).cast("string").alias("conditionId"),
+                   F.char_length("line").cast("long").alias("quarantined_chars")))
+
+
+def q_quality_payload(spark, sf_dir):
+    lines = FX.landed_lines_from_customer(table(spark, sf_dir, "customer"))
+    return Q.quality_report(parse_market_payload(lines, quarantine=True), Q.payload_rules(), table="market_payload")
+
+
+def q_end_dates(spark, sf_dir):
+    """End dates written in many ways."""
+    return FX.dated_texts_from_customer(table(spark, sf_dir, "customer")).select(
+        "market_id", "text", written_date("text").alias("end_date"))
+
+
+def q_distinct_markets_range(spark, sf_dir):
+    """Distinct markets per category over all dates, and whether the merged
+    sketches come within 5 % of them."""
+    stats, view = materialize(_stats(spark, sf_dir), "market_day_stats"), markets(spark, sf_dir)
+    sketches = R.category_market_sketches(stats, view)
+    exact = (stats.join(view.select("market_id", "category"), "market_id", "left")
+             .groupBy(F.coalesce("category", F.lit(S.MISSING_CATEGORY)).alias("category"))
+             .agg(F.count_distinct("market_id").alias("market_count")))
+    return exact.join(R.distinct_markets(sketches), "category").select(
+        "category", "market_count",
+        (F.abs(F.col("market_estimate") - F.col("market_count")) <= 0.05 * F.col("market_count")).alias("estimate_is_near"))
+
+
+OVERWRITE_WINDOW = ("2024-01-09", "2024-01-11")
+
+QUERIES.update({
+    "raw_scan_window": q_raw_scan_window,
+    "overwritten_dates": q_overwritten_dates,
+    "window_replace_table": q_window_replace_table,
+    "missing_slots_by_path": q_missing_slots_by_path,
+    "quarantined_payload": q_quarantined_payload,
+    "quality_payload": q_quality_payload,
+    "end_dates": q_end_dates,
+    "distinct_markets_range": q_distinct_markets_range,
+})
+
+
 # ------------------------------------------------------------------- tiles
 from ..operators import tiles as DT  # noqa: E402
 

@@ -191,6 +191,35 @@ def market_payload_from_customer(customer: DataFrame) -> DataFrame:
     )
 
 
+def landed_lines_from_customer(customer: DataFrame) -> DataFrame:
+    """Landed metadata as lines of JSON text (``value``): a line is cut after
+    40 characters when c_custkey % 9 = 0, and no object (the list ["x"]) when
+    c_custkey % 31 = 0."""
+    payload = market_payload_from_customer(customer)
+    key = F.substring("conditionId", 2, 64).cast("long")
+    line = F.to_json(F.struct(*payload.columns))
+    return payload.select(F.when(key % 9 == 0, F.substring(line, 1, 40)).when(key % 31 == 0, F.lit('["x"]'))
+                          .otherwise(line).alias("value"))
+
+
+# fixed values: the ways a date is written by c_custkey % 12; the last two are
+# no dates
+DATE_TEXTS = ("yyyy-MM-dd", "yyyy/MM/dd", "yyyyMMdd", "MM/dd/yyyy", "MMMM d, yyyy", "d MMM yyyy",
+              "yyyy-MM-dd'T'HH:mm:ss'Z'", "MM/dd/yyyy HH:mm", "EEE, dd MMM yyyy HH:mm:ss 'GMT'", "yyyy.MM.dd",
+              "HH:mm", "'Q1 'yyyy")
+
+
+def dated_texts_from_customer(customer: DataFrame) -> DataFrame:
+    """(market_id, text): the date 2024-01-01 + (k % 366) days at 23:30, as
+    ``DATE_TEXTS`` of k % 12."""
+    k = F.col("c_custkey")
+    at = F.date_add(F.lit("2024-01-01").cast("date"), (k % 366).cast("int")).cast("timestamp") + F.expr(
+        "INTERVAL '23:30' HOUR TO MINUTE")
+    texts = F.array(*[F.date_format(at, f) for f in DATE_TEXTS])
+    return customer.select(F.concat(F.lit("m"), k.cast("string")).alias("market_id"),
+                           F.get(texts, (k % 12).cast("int")).alias("text"))
+
+
 def event_tags_from_customer(customer: DataFrame) -> DataFrame:
     """Tags per event id 'e0'..'e9' (the answers for 8 and 9 carry ids 'x8' and
     'x9', which stands for a failed lookup). Tag bits: j * 113."""

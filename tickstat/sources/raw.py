@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from .. import schemas as S
 from ..functions.columns import _as_date, in_window
 
-_SLOT_RE = r"(\d{4}-\d{2}-\d{2}T\d{2})\.parquet$"
+_SLOT_RE = r"(\d{4}-\d{2}-\d{2}T\d{2})(?:\.parquet$|/[^/]*$)"      # a file, or files in a folder, of that name
 _DATE_DIR_RE = r"date=(\d{4}-\d{2}-\d{2})"
 
 
@@ -36,7 +36,7 @@ def reload_state(spark: SparkSession, root: str) -> tuple[set[str], dict[str, st
     return set(SK._list_files(spark, f"{marks}/pending")), commits
 
 
-def _live(pending: set[str], commits: dict[str, str]) -> Column:
+def live_rows(pending: set[str], commits: dict[str, str]) -> Column:
     """Rows that count while reloads are under way: of a committed one its own
     and not those it replaces, of another one not its own."""
     load, src, live = F.col("load"), F.col("src"), F.lit(True)
@@ -64,7 +64,7 @@ def scan_raw(spark: SparkSession, root: str, start=None, end=None) -> DataFrame:
         if state == reload_state(spark, root):
             break
     if state[0]:
-        df = df.where(_live(*state))
+        df = df.where(live_rows(*state))
     return df.where(in_window("date", start, end)).select(*schema.fieldNames())
 
 
@@ -131,6 +131,13 @@ def landed_slots_from_paths(paths: DataFrame, path_col: str = "path") -> DataFra
         .where(F.col("slot") != "").distinct()
 
 
+def landed_files(df: DataFrame) -> DataFrame:
+    """``(path, modified)`` of the files behind a scan that have rows, from the
+    scan's own metadata columns: no data column is read."""
+    return df.select(F.col("_metadata.file_path").alias("path"),
+                     F.col("_metadata.file_modification_time").alias("modified")).distinct()
+
+
 def landed_slots_from_data(df: DataFrame, ts_col: str = "timestamp_received") -> DataFrame:
     """Hours that have at least one row (partial aggregation per task)."""
     return df.select(F.date_format(ts_col, S.HOUR_SLOT_FORMAT).alias("slot")).distinct()

@@ -3,8 +3,9 @@ reload of whole landing folders, agreeing through a ledger of files.
 
 The table's layout is ``<table>/date=<date of the row>/src=<landing folder>/
 load=<id>/*.parquet``; ``_ledger/files/src=/load=`` holds one row per landed
-file and row date: ``(file, modified, date, rows)``. Both ways of loading write
-it, and both look at it:
+file and row date: ``(file, modified, date, rows)``, and ``_ledger/ids`` the
+market ids of each date. Both ways of loading write them, and both look at the
+files:
 
 * ``load_landed``: a file stream with ``availableNow`` finds the files that
   have landed since its last run. Files the ledger has are left out of the
@@ -35,15 +36,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
+from ..functions.columns import in_window
 from ..operators import sinks as SK
 from ..session import materialize, scratch_path
-from ..sources.raw import LEDGER, reload_state
+from ..sources.raw import LEDGER, live_rows, reload_state
 
 LANDED = T.StructType(S.RAW_ORDERBOOK.fields + [T.StructField("date", T.DateType())])
 CLUSTER = ["market_id", "update_type"]
 FILES = T.StructType([T.StructField("file", T.StringType()), T.StructField("modified", T.TimestampType()),
                       T.StructField("date", T.DateType()), T.StructField("rows", T.LongType()),
                       T.StructField("src", T.DateType()), T.StructField("load", T.StringType())])
+IDS = T.StructType([T.StructField("market_id", T.StringType()), T.StructField("date", T.DateType()),
+                    T.StructField("src", T.DateType()), T.StructField("load", T.StringType())])
 # a file is named by its folder and name, however the landing root is written
 _FILE = r"([^/]+/[^/]+)$"
 
@@ -105,9 +109,27 @@ def changed_files(spark: SparkSession, landing_root: str, raw_table: str) -> Dat
     return landed.join(loaded, "file").where("modified > loaded").select("src", "file", "modified", "loaded")
 
 
+def market_ids(spark: SparkSession, raw_table: str, start=None, end=None) -> DataFrame:
+    """``(market_id, timestamp_received)``: the distinct market ids of the rows
+    of each date in ``[start, end)``, with the date's start, kept by the loads:
+    discovery of new markets over any range, or the whole table, reads no
+    order-book row. A reload under way is seen as a whole or not at all."""
+    root = raw_table.rstrip("/")
+    path = f"{root}/{LEDGER}/ids"
+    while True:
+        state = reload_state(spark, root)
+        df = (spark.read.schema(IDS).parquet(path) if SK._exists(spark, path)
+              else spark.createDataFrame([], IDS))
+        if state == reload_state(spark, root):
+            break
+    return (df.where(live_rows(*state)).where(in_window("date", start, end))
+            .select("market_id", F.col("date").cast("timestamp").alias("timestamp_received")).distinct())
+
+
 # ------------------------------------------------------------------ writing
-def _files(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("file", "modified", "date", "src").agg(F.count(F.lit(1)).alias("rows"))
+def _contents(rows: DataFrame) -> DataFrame:
+    """Rows per file, row date and market, for the ledger."""
+    return rows.groupBy("file", "modified", "date", "src", "market_id").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def _write(rows: DataFrame, root: str, load: str, mode: str) -> None:
@@ -117,11 +139,14 @@ def _write(rows: DataFrame, root: str, load: str, mode: str) -> None:
      .write.partitionBy("date", "src", "load").option("partitionOverwriteMode", "dynamic").mode(mode).parquet(root))
 
 
-def _note(files: DataFrame, root: str, load: str, mode: str) -> None:
-    """Enter files into the ledger."""
-    (files.select("file", "modified", "date", "rows", "src", F.lit(load).alias("load")).coalesce(1)
-     .write.partitionBy("src", "load").option("partitionOverwriteMode", "dynamic").mode(mode)
-     .parquet(f"{root}/{LEDGER}/files"))
+def _note(contents: DataFrame, root: str, load: str, mode: str) -> None:
+    """Enter files and the ids of their rows into the ledger, the files last:
+    a file that is in it has its ids there."""
+    ids = contents.select("market_id", "date", "src").distinct()
+    files = contents.groupBy("file", "modified", "date", "src").agg(F.sum("rows").alias("rows"))
+    for kind, rows in (("ids", ids.repartition("src")), ("files", files.coalesce(1))):
+        (rows.withColumn("load", F.lit(load)).write.partitionBy("src", "load")
+         .option("partitionOverwriteMode", "dynamic").mode(mode).parquet(f"{root}/{LEDGER}/{kind}"))
 
 
 def load_landed(spark: SparkSession, landing_root: str, raw_table: str,
@@ -137,12 +162,13 @@ def load_landed(spark: SparkSession, landing_root: str, raw_table: str,
     def write(batch: DataFrame, number: int) -> None:
         load, path = f"b{number:09d}", scratch_path(spark, "landed_files")
         try:
-            files = materialize(_files(batch), path=path)
+            contents = materialize(_contents(batch), path=path)
             known = ledger(spark, root).where(F.col("load") != load).select("file")
             # one name per file of the batch that is in the table already; as a rule none
-            again = [r["file"] for r in files.join(known, "file", "left_semi").select("file").distinct().collect()]
-            _write(batch.where(~F.col("file").isin(again)) if again else batch, root, load, "overwrite")
-            _note(files.where(~F.col("file").isin(again)) if again else files, root, load, "overwrite")
+            again = [r["file"] for r in contents.join(known, "file", "left_semi").select("file").distinct().collect()]
+            fresh = ~F.col("file").isin(again) if again else F.lit(True)
+            _write(batch.where(fresh), root, load, "overwrite")
+            _note(contents.where(fresh), root, load, "overwrite")
         finally:
             SK.remove_dir(spark, path)
 
@@ -160,7 +186,7 @@ def load_landed(spark: SparkSession, landing_root: str, raw_table: str,
 def _loads(spark: SparkSession, root: str, src: str) -> dict[str, list[str]]:
     """Folders of a landing folder's rows and ledger entries, by load."""
     found: dict[str, list[str]] = {}
-    for pattern in (f"{root}/date=*/src={src}/load=*", f"{root}/{LEDGER}/files/src={src}/load=*"):
+    for pattern in (f"{root}/date=*/src={src}/load=*", f"{root}/{LEDGER}/*/src={src}/load=*"):
         for path in SK.glob(spark, pattern):
             found.setdefault(path.rsplit("load=", 1)[1], []).append(path)
     return found
@@ -202,9 +228,12 @@ def reload_folder(spark: SparkSession, landing_root: str, raw_table: str, day) -
     reload_id, upto = f"r{number:09d}", max([load for load in had if load.startswith("b")], default="b")
     name = f"{reload_id}.{src}"
     SK.create_mark(spark, f"{root}/{LEDGER}/pending/{name}")
-    rows = landed_folder(spark, landing_root, day)
-    _write(rows, root, reload_id, "append")
-    _note(_files(rows), root, reload_id, "append")
+    rows, path = landed_folder(spark, landing_root, day), scratch_path(spark, "landed_files")
+    try:
+        _write(rows, root, reload_id, "append")
+        _note(materialize(_contents(rows), path=path), root, reload_id, "append")
+    finally:
+        SK.remove_dir(spark, path)
     SK.create_mark(spark, f"{root}/{LEDGER}/reloads/{name}.{upto}")         # the commit
     _finish(spark, root, name, upto)
 
