@@ -113,19 +113,72 @@ def test_permutations(n):
 
 
 def test_draws_use_up_the_quotas():
-    quotas = np.array([1000, 0, 37, 5000])
-    slots, shards = int(quotas.sum()), -(-int(quotas.sum()) // mixing.SHARD_SLOTS)
-    memo, before = {}, np.zeros(4, int)
-    for shard in range(shards):
-        counts, start = mixing.shard_draw(shard, shards, slots, quotas, 5, memo)
-        assert (start == before).all() and counts.min() >= 0
-        before = before + counts
-    assert (before == quotas).all()
-
-
-def test_huge_populations_split_by_the_normal_limit():
-    rng = np.random.default_rng(1)
-    counts = np.array([3 * 10**9, 10**9, 5])
-    got = mixing.split_counts(counts, 2 * 10**9, rng)
-    assert got.sum() == 2 * 10**9 and (got >= 0).all() and (got <= counts).all()
-    assert abs(got[0] - 1.5e9) < 1e6
+    quotas = np.array([1000, 0, 37, 5000, 0])
+    seen = []
+    for shard in range(-(-int(quotas.sum()) // mixing.SHARD_SLOTS)):
+        number, j = mixing.shard_draw(shard, quotas, 5)
+        seen += list(zip(number.tolist(), j.tolist()))
+    assert sorted(seen) == [(s, j) for s, n in enumerate(quotas.tolist()) for j in range(n)]
+
+
+def test_draws_of_huge_mixes():
+    """The same draw at any size: a shard in the middle of 10**17 slots."""
+    quotas = np.array([3 * 10**16, 6 * 10**16, 10**16, 5])
+    number, j = mixing.shard_draw(10**13, quotas, 8)
+    counts = np.bincount(number, minlength=4)
+    assert counts.sum() == mixing.SHARD_SLOTS and (j >= 0).all() and (j < quotas[number]).all()
+    assert len(set(zip(number.tolist(), j.tolist()))) == mixing.SHARD_SLOTS
+    want = mixing.SHARD_SLOTS * (quotas / quotas.sum())
+    assert (np.abs(counts - want) <= 6 * np.sqrt(want + 1)).all()
+
+
+def brute_permutation(n, key):
+    half = max(1, ((n - 1).bit_length() + 1) // 2)
+    mask, full = (1 << half) - 1, (1 << 64) - 1
+
+    def once(x):
+        left, right = x >> half, x & mask
+        for r in range(4):
+            h = (right + (key * 4 + r + 1) * 0x9E3779B97F4A7C15) & full
+            h = h * 0xBF58476D1CE4E5B9 & full
+            h = (h ^ h >> 29) * 0x94D049BB133111EB & full
+            left, right = right, left ^ (h >> 32 & mask)
+        return left << half | right
+
+    def walk(x):
+        x = once(x)
+        while x >= n:
+            x = once(x)
+        return x
+
+    return walk
+
+
+def brute_taken(documents):
+    """Words taken of every row: documents packed one behind the other, slots
+    permuted one by one."""
+    order = sorted({d.source for d in documents}, key=lambda s: (s is None, s or ""))
+    words, quotas = [], []
+    for source in order:
+        stream = [d.row for d in sorted((d for d in documents if d.source == source and d["size"]),
+                                        key=lambda d: (d.place, d.row)) for _ in range(d["size"])]
+        words.append([stream[i:i + mixing.BLOCK_WORDS] for i in range(0, len(stream), mixing.BLOCK_WORDS)])
+        target = next(d.target for d in documents if d.source == source)
+        n = len(words[-1])
+        quotas.append(min(round(target / len(stream) * n), 3 * n) if n else 0)
+    owners = [(s, j) for s, n in enumerate(quotas) for j in range(n)]
+    place, taken = brute_permutation(len(owners), mixing.SEED), Counter()
+    for slot in range(len(owners)):
+        s, j = owners[place(slot)]
+        n = len(words[s])
+        key = (mixing.SEED * 1_000_003 + s) * 1_009 + j // n
+        taken.update(words[s][brute_permutation(n, key)(j % n)])
+    return taken
+
+
+def test_taken_words_equal_brute_force(spark, odd_documents):
+    small = spark.read.parquet(f"{SF_SMALL}/documents.parquet").where("length(text) < 4000")
+    for docs in (small, odd_documents):
+        documents = mixing.mix(docs)["documents"].collect()
+        taken = brute_taken(documents)
+        assert {d.row: d.taken for d in documents} == {d.row: taken[d.row] for d in documents}

@@ -7,11 +7,12 @@
 2. Targets: the driver shares the total over the sources by weight; a source
    stops at ``max_repeats`` times its size and the excess is shared again.
    A source gets as many slots as blocks make up its target.
-3. Draws: slots are filled shard by shard with multinomial source counts,
-   conditioned on the sources' slots being used up exactly. A shard finds its
-   draw alone: it walks a binary tree over the shards, each node splitting
-   its counts by a seeded multivariate hypergeometric draw, which also tells
-   how many slots of each source the shards before it use.
+3. Draws: the slots of the mix go through a seeded permutation of all slots,
+   where every source owns an interval as long as its slots. A shard's slots
+   fall into the intervals as balls drawn without replacement, so its source
+   counts are a multinomial draw conditioned on the sources' slots being used
+   up exactly; and where in the interval a slot falls tells which of the
+   source's slots it is. A shard finds its draw alone, at any size.
 4. A source's j-th slot is block ``j mod blocks`` of its ``j div blocks``-th
    pass, sent through a seeded Feistel permutation of the block numbers; so a
    block is used once more than another at most.
@@ -33,7 +34,6 @@ MAX_REPEATS = 3
 MAX_SOURCES = 100_000            # a mix is configured per source on the driver
 SLICE_DOCS = 5_000               # documents whose running sum is one task's
 SEED = 8
-EXACT_BELOW = 10**9              # bound of numpy's hypergeometric sampler
 
 
 # ---------------------------------------------------------------- targets
@@ -60,36 +60,14 @@ def share_out(sizes: list[int], weights: list[float], max_repeats: int) -> list[
 
 
 # ------------------------------------------------------------------ draws
-def split_counts(counts: np.ndarray, take: int, rng: np.random.Generator) -> np.ndarray:
-    """How many of ``take`` slots, drawn without replacement, go to each source."""
-    total = int(counts.sum())
-    if total < EXACT_BELOW:
-        return rng.multivariate_hypergeometric(counts, take, method="marginals")
-    out, rest = np.zeros_like(counts), total
-    for i, own in enumerate(counts.tolist()):          # normal limit of the same marginals
-        p = take / rest if rest else 0.0
-        spread = np.sqrt(max(0.0, own * p * (1 - p) * (rest - own) / max(rest - 1, 1)))
-        lo, hi = max(0, take - (rest - own)), min(own, take)
-        out[i] = min(max(round(rng.normal(own * p, spread)), lo), hi)
-        take, rest = take - int(out[i]), rest - own
-    return out
-
-
-def shard_draw(shard: int, shards: int, slots: int, quotas: np.ndarray, seed: int,
-               memo: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Slots of each source in a shard, and in all shards before it."""
-    lo, hi, counts, before = 0, shards, quotas.copy(), np.zeros_like(quotas)
-    while hi - lo > 1:
-        mid = (lo + hi) // 2
-        if (lo, hi) not in memo:
-            take = min(mid * SHARD_SLOTS, slots) - lo * SHARD_SLOTS
-            memo[lo, hi] = split_counts(counts, take, np.random.Generator(np.random.Philox(key=[seed, lo << 32 | hi])))
-        left = memo[lo, hi]
-        if shard < mid:
-            counts, hi = left, mid
-        else:
-            before, counts, lo = before + left, counts - left, mid
-    return counts, before
+def shard_draw(shard: int, quotas: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """The source of every slot of a shard, and which of the source's slots it is."""
+    ends = np.cumsum(quotas)
+    slots = int(ends[-1])
+    own = np.arange(shard * SHARD_SLOTS, min((shard + 1) * SHARD_SLOTS, slots))
+    place = permute(own, slots, seed)
+    source = np.searchsorted(ends, place, "right")
+    return source, place - (ends - quotas)[source]
 
 
 def permute(index: np.ndarray, n: int, key: int) -> np.ndarray:
@@ -173,27 +151,17 @@ def slot_plan(spark, targets: list[tuple], block_words: int, max_repeats: int, s
     shards = -(-slots // SHARD_SLOTS)
 
     def run(batches):
-        memo: dict = {}
         for batch in batches:
             for shard in batch.column(0).to_pylist():
-                if len(memo) > 1000:
-                    memo.clear()
-                counts, before = shard_draw(shard, shards, slots, quotas, seed, memo)
-                numbers, picked = [], []
-                for s in np.flatnonzero(counts).tolist():
-                    j = before[s] + np.arange(counts[s])
-                    turn, index = j // blocks[s], j % blocks[s]
-                    block = np.empty(len(j), np.int64)
-                    for t in np.unique(turn).tolist():
-                        block[turn == t] = permute(index[turn == t], int(blocks[s]), (seed * 1_000_003 + s) * 1_009 + t)
-                    numbers.append(np.full(len(j), s, np.int32))
-                    picked.append(block)
-                n = int(counts.sum())
-                # the order of a shard's slots is a permutation of its draws
-                slot = permute(np.arange(n), n, seed + 31 * shard) if n else np.zeros(0, np.int64)
-                yield pa.record_batch([pa.array(np.full(n, shard)), pa.array(slot),
-                                       pa.array(np.concatenate(numbers) if n else np.zeros(0, np.int32)),
-                                       pa.array(np.concatenate(picked) if n else np.zeros(0, np.int64))],
+                number, j = shard_draw(shard, quotas, seed)
+                turn, index = j // blocks[number], j % blocks[number]
+                block = np.empty(len(j), np.int64)
+                order = np.lexsort((turn, number))             # the slots of a source and pass together
+                for own in np.split(order, np.flatnonzero(np.diff(number[order]) | np.diff(turn[order])) + 1):
+                    s, t = int(number[own[0]]), int(turn[own[0]])
+                    block[own] = permute(index[own], int(blocks[s]), (seed * 1_000_003 + s) * 1_009 + t)
+                yield pa.record_batch([pa.array(np.full(len(j), shard)), pa.array(np.arange(len(j))),
+                                       pa.array(number.astype(np.int32)), pa.array(block)],
                                       ["shard", "slot", "number", "block"])
 
     return spark.range(0, shards).mapInArrow(run, "shard long, slot long, number int, block long")
