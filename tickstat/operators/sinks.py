@@ -144,8 +144,10 @@ def write_window(fresh: DataFrame, path: str, start, end, cluster_by=(),
     appended to (as the source inserts whatever the query returns). Rows
     without a date belong to no window; a run replaces the ones that are
     there, so that a repeated run does not add them again. Returns the window
-    dates left empty. ``fresh`` must not be a lazy read of ``path``, and a table
-    has one writer at a time.
+    dates left empty. ``fresh`` must not be a lazy read of ``path``. A lock file
+    keeps a second writer out (``TableLocked``). Readers can miss a date while
+    it is swapped; where that matters, ``catalog.replace_partitions`` has no
+    such moment.
 
     A replaced folder is moved aside, the new one moved in, and only then is
     the old one deleted; a run that was stopped in between is put right at the
@@ -153,7 +155,15 @@ def write_window(fresh: DataFrame, path: str, start, end, cluster_by=(),
     """
     spark = fresh.sparkSession
     root = path.rstrip("/")
-    recover(spark, root)
+    with writer_lock(spark, root):
+        recover(spark, root)
+        return _write_window(fresh, root, start, end, cluster_by, partition_col, tie_breaker,
+                             max_records_per_file, large)
+
+
+def _write_window(fresh: DataFrame, root: str, start, end, cluster_by, partition_col: str,
+                  tie_breaker: str | None, max_records_per_file: int | None, large: bool) -> list[date]:
+    spark = fresh.sparkSession
     staging = f"{root}/_staging-{uuid.uuid4().hex}"
     out = clustered(fresh, cluster_by, partition_col, tie_breaker, large)
     _writer(out, partition_col, max_records_per_file).mode("errorifexists").save(staging)
@@ -226,17 +236,18 @@ def ensure_table(spark, path: str, schema, partition_col: str | None = "date") -
 
 def append_inserts(target_path: str, source: DataFrame, key="market_id", dedup=False) -> None:
     """Insert-only merge into a Parquet table: only unmatched keys are
-    appended, existing rows are never rewritten."""
+    appended, existing rows are never rewritten. A lock file keeps a second
+    merge out, which would insert the same keys."""
     spark = source.sparkSession
-    target = spark.read.parquet(target_path)
-    inserts = merge_inserts(target, source, key, dedup)
-    # Cut the lineage to the table being appended to before writing.
     from ..session import materialize, scratch_path
     path = scratch_path(spark, "merge_inserts")
-    try:
-        materialize(inserts, path=path).write.format("parquet").mode("append").save(target_path)
-    finally:
-        remove_dir(spark, path)
+    with writer_lock(spark, target_path):
+        inserts = merge_inserts(spark.read.parquet(target_path), source, key, dedup)
+        try:
+            # cuts the lineage to the table being appended to
+            materialize(inserts, path=path).write.format("parquet").mode("append").save(target_path)
+        finally:
+            remove_dir(spark, path)
 
 
 # ------------------------------------------------------------- one writer

@@ -652,6 +652,7 @@ WHERE date NOT IN (DATE '2024-01-09', DATE '2024-01-10') OR k % 2 = 0
 GROUP BY date""")
 SQL["window_replace_table"] = SQL["window_replace"]
 SQL["missing_slots_by_path"] = SQL["missing_slots"]
+SQL["category_concentration_joined"] = SQL["category_concentration"]
 
 # the length of a cut line does not depend on what is in it; a whole line is
 # longer than that

@@ -435,6 +435,8 @@ QUERIES.update({
     "quality_payload": q_quality_payload,
     "end_dates": q_end_dates,
     "distinct_markets_range": q_distinct_markets_range,
+    "category_concentration_joined": lambda s, d: R.category_concentration(
+        *(materialize(f, "fact") for f in (history(s, d), activity(s, d)))),
 })
 
 

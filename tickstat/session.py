@@ -18,6 +18,7 @@ change results or hurt at scale:
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -44,8 +45,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
     Spark applies ``spark.checkpoint.dir`` when the context starts; that value
-    is used as is. A session without one gets a folder in its warehouse, which
-    driver and executors share as well, never a machine-local one.
+    is used as is. A session without one gets a folder in its warehouse. On a
+    cluster that has to be a shared one: a warehouse on the driver's disk, which
+    executors cannot read, is refused. A local session has one machine.
     """
     fallback = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
     try:
@@ -53,7 +55,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     except Exception:   # noqa: BLE001 - Spark Connect: no context on the client
         return spark.conf.get("spark.checkpoint.dir", None) or fallback
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir", None) or fallback)
+        named = sc.getConf().get("spark.checkpoint.dir", None)
+        if not named and not re.match(r"local(\[|$)", sc.master) and re.match(r"(file:|/)", fallback):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share; {fallback} is the driver's")
+        sc.setCheckpointDir(named or fallback)
     return sc.getCheckpointDir()
 
 
