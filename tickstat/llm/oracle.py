@@ -90,9 +90,10 @@ SECRETS = r"""
 WITH patterns(kind, name, pattern, value, least) AS (VALUES
   (0, 'assign', '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 8),
   (1, 'access', 'AKIA[A-Z0-9]+', 0, 16), (2, 'hex', '[0-9a-f]+', 0, 32)),
-docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS owner, coalesce(text, '') AS text FROM documents),
+docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS owner,
+  coalesce(CAST(doc_id AS VARCHAR), '') AS repository, coalesce(text, '') AS text FROM documents),
 matches AS (
-  SELECT r, doc_id, owner, kind, name, least,
+  SELECT r, owner, repository, kind, name, least,
     unnest(regexp_extract_all(text, pattern)) AS m,
     unnest(CASE WHEN value = 2 THEN regexp_extract_all(text, pattern, 2) ELSE regexp_extract_all(text, pattern) END) AS v,
     unnest(string_split_regex(text, pattern)[:len(regexp_extract_all(text, pattern))]) AS gap,
@@ -104,12 +105,15 @@ spans AS (
   FROM (SELECT *, sum(length(gap) + length(m)) OVER (PARTITION BY r, kind ORDER BY i) AS stop FROM matches)
   WHERE length(v) >= least
 ),
-owned AS (SELECT v, count(DISTINCT owner) AS owners FROM spans GROUP BY v),
+owned AS (
+  SELECT v, count(DISTINCT owner) AS owners, count(DISTINCT owner) >= 3 OR count(DISTINCT repository) >= 10 AS copied
+  FROM spans GROUP BY v
+),
 every AS (
-  SELECT r, start, kind, name, stop, owners >= 3 AS copied FROM spans JOIN owned USING (v)
+  SELECT r, start, kind, name, stop, copied FROM spans JOIN owned USING (v)
   UNION ALL
   SELECT r, stop - length(v), 3, 'live', stop, FALSE FROM spans JOIN owned USING (v)
-  WHERE owners = 1 AND length(v) >= 16 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]')
+  WHERE NOT copied AND owners = 1 AND length(v) >= 16 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]')
     AND len(list_distinct(string_split(v, ''))) >= 8
 ),
 listed AS (
