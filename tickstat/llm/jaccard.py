@@ -1,28 +1,38 @@
 """Jaccard join over sets of word shingles, by parity sketches.
 
-A shingle flips one bit of its set's parity sketch (bits are XORed in), so two
-sketches differ in at most as many bits as the sets have shingles that only
-one of them holds. Sets of n and m shingles are linked at ``percent`` exactly
-when that number is at most (n + m) (100 - percent) / (100 + percent).
-
-Pigeonhole join, per size band: a band is a range of sizes (a power of four
-to the next) with one sketch width. Its sketch has words of 64 bits; of two
-linked sets at most d words can differ, d being the bound above. Take a set's
-words that are not zero, in order: in front of the first word that two sets
-share, all words of either differ from the other's, so it is among the first
-d + 1 of both, and those are the set's keys. Sets that share no word have at
-most d words that are not zero; such a set also gives its first d + 1 shingles
-by hash as keys, and two of them meet there. A set joins the band of every
-size its partners can have, so each pair meets in the band of the larger.
-
-Keys that several sets share are written down. A key of up to ``BUCKET`` sets
-pairs them all. A larger one compares its sets with the smallest only, which
-joins near-copies in their thousands; where one key's sets are still in more
-than one component, its sets are searched again through their rarest shingles
-(counted over just those sets), which a passage that many texts share does not
-reach. What shares even these without being connected is compared in full,
-by a join whose condition is the sketches' distance. Every candidate is
-verified on the shingles themselves, so no link between components is lost.
+A shingle is XORed into its set's parity sketch, so two sketches differ in at
+most as many places as the sets have shingles that only one of them holds.
+Sets of n and m shingles are linked at ``percent`` exactly when that number is
+at most (n + m) (100 - percent) / (100 + percent).
+
+Pigeonhole join, per size band: a band is a range of sizes (a power of two to
+the next) with one number of sketch words. A word is the XOR of the hashes of
+the shingles that fall to it. Of two linked sets at most d words can differ, d
+being the bound above. Take a set's words that are not zero, in any order that
+is the same for all sets: in front of the first word that two sets share, all
+words of either differ from the other's, so it is among the first d + 1 of
+both, and those are the set's keys. Sets that share no word have at most d
+words that are not zero; such a set also lists its shingles, and two of them
+meet there in the same way. A set joins the band of every size its partners
+can have, so each pair meets in the band of the larger. A second sketch, of
+bits, whose Hamming distance is a lower bound too, sorts out most candidates.
+
+Keys that several sets share are written down. Every key first compares its
+sets with one of them, then, where they are in several components, with one
+of the component that has most of them; that joins near-copies in their
+thousands. Only keys whose sets are then still in several components go on:
+up to ``BUCKET`` sets are compared across components, by a join whose condition
+is the sketches' distance. The sets of larger keys (a passage that many texts
+share makes such keys) are searched again with those keys at the end of the
+order, so that they are keys only of sets that have little else; what shares
+even these without being connected is compared in full. Every candidate is
+verified on the shingles themselves, which are taken from the texts again, so
+no link between components is lost.
+
+Filters of fixed size (``FILTER_BITS``) spare work and decide nothing: of the
+keys only those that may be shared are dealt out, of the texts only those that
+may be candidates are hashed again. On corpora with far more shared keys
+than bits they let everything through.
 
 Defined results: NULL, empty and blank texts have no shingles and no links.
 Repeated rows and copies are one set. A NULL id is no smallest id; where all
@@ -32,19 +42,22 @@ ids of a component are NULL, so is its id. Shingles and sets are told apart by
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, write_once
 
-BUCKET = 8                            # sets that a key pairs up
-DENSITY = 0.375                       # words of a band's sketch per shingle of its largest set
-SKETCH = 1024                         # bits of the sketch that filters candidates
-FILTER_BITS = 23                      # of the filter in front of the texts, 1 MB
+BUCKET = 64                           # sets of a key that are compared with each other
+DENSITY = 0.27                        # words of a band's sketch per shingle of its largest set
+SKETCH = 1024                         # least bits of the sketch that sorts out candidates
+FILTER_BITS = 25                      # of the filters in front of keys and texts, 4 MB
 KNOWN_WORDS = 1_000_000               # whose hashes a task remembers
-FLUSH = 1 << 20                       # rows of keys in a batch
+SLICE = 1 << 20                       # characters of text that are hashed together
 FIRST, STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -68,19 +81,42 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def shingle_set(text: str | None, width: int, known: Words) -> np.ndarray:
-    """Sorted distinct hashes of the text's word shingles; of all its words
-    where they are fewer."""
-    words = (text or "").encode().lower().split()         # bytes: A-Z only, ASCII white space
-    if not words:
-        return np.empty(0, np.uint64)
-    hashes = np.fromiter((known[w] for w in words), np.uint64, len(words))
-    width = min(width, len(words))
-    n = len(words) - width + 1
+def shingle_sets(texts: list[str], width: int, known: Words) -> list[np.ndarray]:
+    """Sorted distinct hashes of every text's word shingles; of all its words
+    where they are fewer. Texts are hashed one behind the other."""
+    words = [t.encode().lower().split() for t in texts]   # bytes: A-Z only, ASCII white space
+    flat = [w for own in words for w in own]
+    hashes = np.fromiter(map(known.__getitem__, flat), np.uint64, len(flat))
+    full = _rolled(hashes, width) if len(flat) >= width else hashes[:0]
+    out, at = [], 0
+    for own in words:
+        n = len(own)
+        out.append(np.unique(full[at:at + n - width + 1] if n >= width else _rolled(hashes[at:at + n], n) if n
+                             else hashes[:0]))
+        at += n
+    return out
+
+
+def _rolled(hashes: np.ndarray, width: int) -> np.ndarray:
+    n = len(hashes) - width + 1
     h = np.full(n, FIRST)
     for k in range(width):
         h = mixed(h ^ hashes[k:k + n]) + FIRST
-    return np.unique(h)
+    return h
+
+
+def slices(texts: pa.Array) -> Iterator[list[str]]:
+    """The texts in order, some together up to ``SLICE`` characters; NULL as
+    an empty one."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text.as_py() or "")
+        size += len(held[-1])
+        if size >= SLICE:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 def signed(h: np.ndarray) -> np.ndarray:
@@ -94,125 +130,170 @@ def set_id(shingles: np.ndarray) -> int | None:
 
 
 def band_of(n: int) -> int:
-    return (n.bit_length() - 1) // 2
+    return n.bit_length() - 1
 
 
-def set_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
-    """The keys of a set, in every band it joins."""
+def set_lists(shingles: np.ndarray, percent: int) -> list[dict]:
+    """What names a set in each band it joins: words, of which the first
+    ``need`` in a common order are its keys; shingles where words are few."""
     n, out = len(shingles), []
     most = 100 * n // percent                             # shingles that a partner can have
     for band in range(band_of(n), band_of(most) + 1):
-        top = 4 ** (band + 1)
+        top = 2 << band
         differ = (n + min(most, top - 1)) * (100 - percent) // (100 + percent)
         words = max(1, int(DENSITY * top))
         at = ((shingles >> np.uint64(32)) * np.uint64(words)) >> np.uint64(32)      # ascending
         start = np.append(0, np.flatnonzero(at[1:] != at[:-1]) + 1)
-        value = np.bitwise_xor.reduceat(np.uint64(1) << (shingles & np.uint64(63)), start)
+        value = np.bitwise_xor.reduceat(mixed(shingles), start)
         some = value != 0
         value, at = value[some], at[start][some]
         named = np.uint64(2 * band)
-        out.append(mixed(mixed(value ^ FIRST) + mixed(at * np.uint64(128) + named))[:differ + 1])
+        out.append({"need": differ + 1,
+                    "words": signed(mixed(mixed(value ^ FIRST) + mixed(at * np.uint64(128) + named)))})
         if len(value) <= differ:
-            out.append(mixed(mixed(shingles[:differ + 1]) + mixed(np.array([named + np.uint64(1)]))))
-    return np.concatenate(out)
+            out.append({"need": differ + 1,
+                        "words": signed(mixed(mixed(shingles) + mixed(np.array([named + np.uint64(1)]))))})
+    return out
 
 
 def parity_sketch(shingles: np.ndarray) -> list[int]:
-    bits = np.bincount(((shingles >> np.uint64(6)) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1
+    """One bit per shingle of the band's largest set, ``SKETCH`` at least; a
+    sketch of twice the width folds into one of the next lower band."""
+    width = max(SKETCH, 2 << band_of(len(shingles)))
+    bits = np.bincount(((shingles >> np.uint64(6)) % np.uint64(width)).astype(np.int64), minlength=width) & 1
     return np.packbits(bits.astype(np.uint8), bitorder="little").view("<i8").tolist()
 
 
 # --------------------------------------------------------- passes over texts
-def described(docs: DataFrame, width: int) -> DataFrame:
-    """``(doc_id, text_hash, sid, n, sketch)`` for every row; ``sid`` names
-    the set, NULL for an empty one."""
-    def run(batches):
-        import xxhash
+LISTS = pa.list_(pa.struct([("need", pa.int64()), ("words", pa.list_(pa.int64()))]))
 
-        known = Words()
-        for batch in batches:
-            rows = []
-            for text in batch.column(1):
-                own = shingle_set(text.as_py(), width, known)
-                rows.append((xxhash.xxh64_intdigest((text.as_py() or "").encode()) - (1 << 63), set_id(own), len(own),
-                             parity_sketch(own) if len(own) else None))
-            hashes, sids, sizes, sketches = zip(*rows) if rows else ((), (), (), ())
-            yield pa.record_batch([batch.column(0), pa.array(hashes, pa.int64()), pa.array(sids, pa.int64()),
-                                   pa.array(sizes, pa.int64()), pa.array(sketches, pa.list_(pa.int64()))],
-                                  ["doc_id", "text_hash", "sid", "n", "sketch"])
 
-    src = docs.select("doc_id", "text")
-    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, text_hash long, sid long, "
-                               "n long, sketch array<long>")
+def text_hash(text: str) -> int:
+    import xxhash
+
+    return xxhash.xxh64_intdigest(text.encode()) - (1 << 63)
 
 
-def keyed(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """``(key, sid)``: the keys of every row's set."""
+def described(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """``(doc_id, text_hash, sid, n, sketch, lists)`` for every row; ``sid``
+    names the set, NULL for an empty one."""
     def run(batches):
         known = Words()
-        keys, sids, size = [], [], 0
         for batch in batches:
-            for text in batch.column(0):
-                own = shingle_set(text.as_py(), width, known)
-                if len(own):
-                    keys.append(set_keys(own, percent))
-                    sids.append(np.full(len(keys[-1]), set_id(own)))
-                    size += len(keys[-1])
-                if size >= FLUSH:
-                    yield pa.record_batch([signed(np.concatenate(keys)), np.concatenate(sids)], ["key", "sid"])
-                    keys, sids, size = [], [], 0
-        if keys:
-            yield pa.record_batch([signed(np.concatenate(keys)), np.concatenate(sids)], ["key", "sid"])
+            at = 0
+            for texts in slices(batch.column(1)):
+                sets = shingle_sets(texts, width, known)
+                yield pa.record_batch([
+                    batch.column(0).slice(at, len(texts)), pa.array([text_hash(t) for t in texts], pa.int64()),
+                    pa.array([set_id(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([parity_sketch(s) if len(s) else None for s in sets], pa.list_(pa.int64())),
+                    pa.array([set_lists(s, percent) if len(s) else None for s in sets], LISTS)],
+                    ["doc_id", "text_hash", "sid", "n", "sketch", "lists"])
+                at += len(texts)
 
-    return docs.select("text").mapInArrow(run, "key long, sid long")
+    src = docs.select("doc_id", "text")
+    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, text_hash long, sid long, "
+                               "n long, sketch array<long>, lists array<struct<need long, words array<long>>>")
 
 
-def shingles_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """``(sid, shingles)`` of the sets in ``wanted`` (sid, text_hash). A
-    filter of fixed size over the hashes of their texts spares the others the
-    work; which of its hits are wanted is decided by the join."""
-    spark = docs.sparkSession
-    place = F.col("text_hash").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-    maps = (wanted.groupBy(F.shiftright(place, 15).alias("at"))
-            .agg(F.bitmap_construct_agg(place.bitwiseAND(F.lit((1 << 15) - 1))).alias("bits")).collect())
+def bit_filter(values: DataFrame):
+    """Broadcast bits of the hashes in the first column: built as bitmaps by
+    the executors, 4 MB however many there are."""
+    low = values.select(F.col(values.columns[0]).bitwiseAND(F.lit((1 << FILTER_BITS) - 1)).alias("v"))
+    maps = (low.groupBy(F.shiftright("v", 15).alias("at"))
+            .agg(F.bitmap_construct_agg(F.col("v").bitwiseAND(F.lit((1 << 15) - 1))).alias("bits")).collect())
     bits = np.zeros((1 << (FILTER_BITS - 15), 1 << 12), np.uint8)
     for row in maps:
         bits[row["at"]] = np.frombuffer(row["bits"], np.uint8)
-    shared = spark.sparkContext.broadcast(bits.ravel())
+    return values.sparkSession.sparkContext.broadcast(bits.ravel())
+
+
+def may_hold(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    at = values & ((1 << FILTER_BITS) - 1)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
 
+def keys_of(table: DataFrame, last=None, only=None, among=None) -> DataFrame:
+    """``(key, sid)``: the first ``need`` words of every list, those in the
+    filter ``last`` behind the others. ``only`` and ``among`` leave out keys
+    and sets that are not in them."""
     def run(batches):
-        import xxhash
+        for batch in batches:
+            sids, lists = np.asarray(batch.column(0)), batch.column(1)
+            flat = lists.flatten()
+            of = np.repeat(sids, np.asarray(pc.list_value_length(lists)))
+            words = flat.field("words")
+            size, need = np.asarray(pc.list_value_length(words)), np.asarray(flat.field("need"))
+            keys = np.asarray(words.flatten())
+            start = np.repeat(np.cumsum(size) - size, size)
+            at = np.arange(len(keys)) - start
+            if last is not None:                          # places with these words behind the others
+                late = may_hold(last.value, keys)
+                so_far = np.append(0, np.cumsum(late))
+                before = so_far[:-1] - so_far[start]
+                others = np.repeat(size, size) - (so_far[start + np.repeat(size, size)] - so_far[start])
+                at = np.where(late, others + before, at - before)
+            take = at < np.repeat(need, size)
+            if among is not None:
+                take &= np.repeat(may_hold(among.value, of), size)
+            if only is not None:
+                take &= may_hold(only.value, keys)
+            yield pa.record_batch([pa.array(keys[take]), pa.array(np.repeat(of, size)[take])], ["key", "sid"])
+
+    return table.where("sid IS NOT NULL").select("sid", "lists").mapInArrow(run, "key long, sid long")
+
+
+def members_of(table: DataFrame, last=None, among=None) -> DataFrame:
+    """Distinct ``(key, sid)`` of the keys that several rows have."""
+    shared = write_once(keys_of(table, last, None, among).groupBy("key").agg(F.count("*").alias("rows"))
+                        .where("rows > 1").select("key"), "jaccard-shared")
+    rows = keys_of(table, last, bit_filter(shared), among).join(shared, "key")
+    return write_once(rows, "jaccard-keys").distinct()
+
+
+def shingles_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """``(sid, shingles)`` of the sets in ``wanted`` (sid, text_hash; each
+    once). Which of the filter's hits are wanted is decided by the join."""
+    filtering = bit_filter(wanted.select("text_hash"))
 
+    def run(batches):
         known, done = Words(), set()
         for batch in batches:
-            for text in batch.column(0):
-                value = text.as_py() or ""
-                own = xxhash.xxh64_intdigest(value.encode()) - (1 << 63)
-                at = own & ((1 << FILTER_BITS) - 1)
-                if own in done or not shared.value[at >> 3] >> (at & 7) & 1:
-                    continue
-                done.add(own)                             # a copy in the same task
-                yield pa.record_batch([pa.array([own], pa.int64()),
-                                       pa.array([signed(shingle_set(value, width, known))], pa.list_(pa.int64()))],
-                                      ["text_hash", "shingles"])
-
-    found = docs.select("text").mapInArrow(run, "text_hash long, shingles array<long>")
-    return found.join(wanted, "text_hash").groupBy("sid").agg(F.first("shingles").alias("shingles"))
+            for texts in slices(batch.column(0)):
+                hashes = [text_hash(t) for t in texts]
+                hit = may_hold(filtering.value, np.array(hashes, np.int64))
+                hits = {h: t for h, t, own in zip(hashes, texts, hit) if own and h not in done}
+                done.update(hits)                         # a copy in the same task
+                if hits:
+                    sets = shingle_sets(list(hits.values()), width, known)
+                    yield pa.record_batch([pa.array(list(hits), pa.int64()),
+                                           pa.array([signed(s) for s in sets], pa.list_(pa.int64()))],
+                                          ["text_hash", "shingles"])
+
+    found = docs.select("text").mapInArrow(run, "text_hash long, shingles array<long>").join(wanted, "text_hash")
+    return write_once(found.groupBy("text_hash", "sid").agg(F.first("shingles").alias("shingles"))
+                      .select("sid", "shingles"), "jaccard-shingles")
 
 
 # ------------------------------------------------------------------- search
 class Search:
-    """Candidates and verified links between the sets of one corpus."""
+    """Candidates and verified links between the sets of one corpus. ``sets``
+    is ``(sid, n, sketch, text_hash)``."""
+
+    def __init__(self, docs: DataFrame, sets: DataFrame, width: int, percent: int):
+        self.docs, self.sets, self.width, self.percent = docs, sets, width, percent
 
-    def __init__(self, sets: DataFrame, shingles: DataFrame, percent: int):
-        self.sets, self.shingles, self.percent = sets, shingles, percent
+    def shingles(self, sids: DataFrame) -> DataFrame:
+        return shingles_of(self.docs, self.sets.select("sid", "text_hash").join(sids, "sid", "left_semi"), self.width)
 
     def near(self, a: str, b: str) -> Column:
         """Sizes and sketches of two sets allow a link."""
         p, n, m = self.percent, F.col(f"n_{a}"), F.col(f"n_{b}")
-        flips = F.zip_with(f"sketch_{a}", f"sketch_{b}", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-        distance = F.aggregate(flips, F.lit(0), lambda s, x: s + x)
-        return (100 * F.least(n, m) >= p * F.greatest(n, m)) & ((100 + p) * distance <= (100 - p) * (n + m))
+        x, y = F.col(f"sketch_{a}"), F.col(f"sketch_{b}")
+        flips = F.zip_with(_folded(x, y), _folded(y, x), lambda u, v: F.bit_count(u.bitwiseXOR(v)))
+        distance = F.aggregate(flips, F.lit(0), lambda s, u: s + u)
+        sized = 100 * F.least(n, m) >= p * F.greatest(n, m)
+        return F.when(sized, (100 + p) * distance <= (100 - p) * (n + m)).otherwise(F.lit(False))
 
     def sketched(self, df: DataFrame, a: str) -> DataFrame:
         return df.join(self.sets.select(F.col("sid").alias(a), F.col("n").alias(f"n_{a}"),
@@ -221,75 +302,101 @@ class Search:
     def links(self, pairs: DataFrame) -> DataFrame:
         """Those of the pairs ``(a, b)`` that are linked."""
         near = self.sketched(self.sketched(pairs.distinct(), "a"), "b").where(self.near("a", "b"))
-        near = near.select("a", "b", (F.col("n_a") + F.col("n_b")).alias("sizes"))
-        for side in ("a", "b"):
-            near = near.join(self.shingles.select(F.col("sid").alias(side), F.col("shingles").alias(f"s_{side}")), side)
+        near = write_once(near.select("a", "b", (F.col("n_a") + F.col("n_b")).alias("sizes")), "jaccard-candidates")
+        if near.isEmpty():
+            return near.select("a", "b")
+        shingles = self.shingles(near.select(F.explode(F.array("a", "b")).alias("sid")))
+        for side in ("b", "a"):
+            near = near.join(shingles.select(F.col("sid").alias(side), F.col("shingles").alias(f"s_{side}")), side)
         both = F.size(F.array_intersect("s_a", "s_b"))
-        return (near.withColumn("both", both)
-                .where(100 * F.col("both") >= self.percent * (F.col("sizes") - F.col("both"))).select("a", "b"))
-
-    def probe(self, members: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Links through keys, and the members of the keys that did not pair
-        all their sets. ``members`` are distinct ``(key, sid)``."""
+        near = near.withColumn("both", both).where(100 * F.col("both") >= self.percent * (F.col("sizes") - F.col("both")))
+        return write_once(near.select("a", "b"), "jaccard-links")
+
+    def probe(self, members: DataFrame, links: DataFrame | None = None,
+              roots: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """``links`` and those found by comparing every set with one of each
+        of its keys; the components' roots; and ``(key, sid, size, root)`` of
+        the keys that have several components then. ``members`` are distinct
+        ``(key, sid)``; ``roots`` are those of some of ``links``."""
         sizes = members.groupBy("key").agg(F.count("*").alias("size"), F.min("sid").alias("a"))
         sized = write_once(members.join(sizes.where("size > 1"), "key"), "jaccard-members")
-        few = sized.where(F.col("size") <= BUCKET)
-        pairs = (few.select("key", F.col("sid").alias("a")).join(few.select("key", F.col("sid").alias("b")), "key")
-                 .where("a < b").select("a", "b"))
-        many = sized.where(F.col("size") > BUCKET)
-        stars = many.select("a", F.col("sid").alias("b")).where("a < b")
-        return write_once(self.links(pairs.unionByName(stars)), "jaccard-links"), many.select("key", "sid")
-
-    def divided(self, members: DataFrame, links: DataFrame) -> DataFrame:
-        """``(key, sid, root)`` of the keys with several components."""
-        rooted = (members.join(components(links).withColumnRenamed("node", "sid"), "sid", "left")
-                  .withColumn("root", F.coalesce("root", "sid")))
-        keys = (rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-                .where("low <> high").select("key"))
-        return rooted.join(keys, "key")
-
-    def rarest(self, sids: DataFrame) -> DataFrame:
-        """``(key, sid)``: of every set the shingles, rarest among these sets
-        first, of which a linked set must hold one."""
-        each = write_once(self.shingles.join(sids, "sid").select("sid", F.explode("shingles").alias("key")),
-                          "jaccard-shingles")
-        counts = each.groupBy("key").agg(F.count("*").alias("sets"))
-        alone = F.ceil(F.size("own") * F.lit(self.percent) / 100)
-        ordered = (each.join(counts, "key").groupBy("sid")
-                   .agg(F.array_sort(F.collect_list(F.struct("sets", "key"))).alias("own")))
-        first = F.slice("own", F.lit(1), (F.size("own") - alone + 1).cast("int"))
-        return (ordered.select("sid", F.explode(first).alias("k")).where("k.sets > 1")
-                .select(F.col("k.key").alias("key"), "sid"))
-
-    def all_links(self, members: DataFrame) -> DataFrame:
+        if links is None:
+            links = self.links(sized.select("a", F.col("sid").alias("b")).where("a < b"))
+            roots = components(links)
+        left = write_once(divided(sized.drop("a"), roots), "jaccard-divided")
+        links = links.unionByName(self.links(self.led(left)))
+        roots = components(links)
+        return links, roots, write_once(divided(left.drop("root"), roots), "jaccard-divided")
+
+    def led(self, rooted: DataFrame) -> DataFrame:
+        """Every set of a key with a set of the component that has most sets of
+        the key; which one, varies between keys."""
+        parts = rooted.groupBy("key", "root").agg(F.count("*").alias("n"), F.min(F.struct(
+            F.xxhash64("key", "sid"), "sid")).alias("m"))
+        lead = parts.groupBy("key").agg(F.max(F.struct("n", "root", F.col("m.sid").alias("sid"))).alias("lead"))
+        return (rooted.join(lead, "key").where("root <> lead.root")
+                .select(F.least("sid", "lead.sid").alias("a"), F.greatest("sid", "lead.sid").alias("b")))
+
+    def compared(self, rooted: DataFrame) -> DataFrame:
+        """Candidates ``(a, b)`` with a common key, of different components."""
+        one = self.sketched(rooted.select("key", F.col("sid").alias("a"), F.col("root").alias("root_a")), "a")
+        two = self.sketched(rooted.select(F.col("key").alias("key_b"), F.col("sid").alias("b"),
+                                          F.col("root").alias("root_b")), "b")
+        return one.join(two, (F.col("key") == F.col("key_b")) & (F.col("a") < F.col("b"))
+                        & (F.col("root_a") != F.col("root_b")) & self.near("a", "b")).select("a", "b")
+
+    def all_links(self, table: DataFrame, members: DataFrame) -> DataFrame:
         """Links that connect whatever is connected."""
-        links, many = self.probe(members)
-        left = self.divided(many, links)
-        again, many = self.probe(self.rarest(left.select("sid").distinct()))
-        links = links.unionByName(again)
-        rest = write_once(self.divided(many, links), "jaccard-rest")
-        one = self.sketched(rest.withColumnRenamed("sid", "a"), "a").withColumnRenamed("root", "root_a")
-        two = self.sketched(rest.withColumnRenamed("sid", "b"), "b").withColumnRenamed("root", "root_b")
-        pairs = one.join(two, (one["key"] == two["key"]) & (F.col("a") < F.col("b"))
-                         & (F.col("root_a") != F.col("root_b")) & self.near("a", "b")).select("a", "b")
-        return links.unionByName(write_once(self.links(pairs), "jaccard-links"))
+        links, roots, left = self.probe(members)
+        links = links.unionByName(self.links(self.compared(left.where(F.col("size") <= BUCKET))))
+        left = left.where(F.col("size") > BUCKET)
+        if left.isEmpty():
+            return links
+        last, among = bit_filter(left.select("key")), bit_filter(left.select("sid"))
+        late = members_of(table, last, among).join(self.sets.select("sid"), "sid", "left_semi")
+        links, _, left = self.probe(late, links, roots)
+        return links.unionByName(self.links(self.compared(left)))
+
+
+def divided(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``members`` of the keys with several components, and their ``root``."""
+    rooted = (members.join(roots.withColumnRenamed("node", "sid"), "sid", "left")
+              .withColumn("root", F.coalesce("root", "sid")))
+    keys = (rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+            .where("low <> high").select("key"))
+    return rooted.join(keys, "key")
+
+
+def _folded(sketch: Column, other: Column) -> Column:
+    """``sketch`` in the width of ``other``, if that is half of it."""
+    n = F.size(other)
+    halves = F.zip_with(F.slice(sketch, 1, n), F.slice(sketch, n + 1, n), lambda u, v: u.bitwiseXOR(v))
+    return F.when(F.size(sketch) <= n, sketch).otherwise(halves)
+
+
+def _folded(sketch: Column, other: Column) -> Column:
+    """``sketch`` in the width of ``other``, if that is a quarter of it."""
+    n = F.size(other)
+    quarters = [F.slice(sketch, n * k + 1, n) for k in range(4)]
+
+    def xor(x: Column, y: Column) -> Column:
+        return F.zip_with(x, y, lambda u, v: u.bitwiseXOR(v))
+
+    return F.when(F.size(sketch) <= n, sketch).otherwise(xor(xor(*quarters[:2]), xor(*quarters[2:])))
 
 
 def near_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``(doc_id, n_shingles, component_id, root)`` for every row: the size of
     its set and the smallest id reachable over links. ``root`` names the
     component also where all its ids are NULL; it is NULL for empty sets."""
-    if not 1 <= percent <= 100:
-        raise ValueError(f"percent is {percent}; between 1 and 100 are supported")
-    table = write_once(described(docs, width), "jaccard-sets")
-    rows = keyed(docs, width, percent)
-    shared = rows.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1").select("key")
-    members = write_once(rows.join(shared, "key").distinct(), "jaccard-keys")
+    if not 50 <= percent <= 100:                          # partners are at most a band apart
+        raise ValueError(f"percent is {percent}; between 50 and 100 are supported")
+    table = write_once(described(docs, width, percent), "jaccard-sets")
+    members = members_of(table)
     sids = members.select("sid").distinct()
     sets = write_once(table.join(sids, "sid", "left_semi").groupBy("sid").agg(
         F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("text_hash").alias("text_hash")), "jaccard-sketches")
-    shingles = write_once(shingles_of(docs, sets.select("sid", "text_hash"), width), "jaccard-shingles")
-    links = Search(sets, shingles, percent).all_links(members)
+    links = Search(docs, sets, width, percent).all_links(table, members)
     rooted = (table.select("doc_id", "sid", F.col("n").alias("n_shingles"))
               .join(components(links).withColumnRenamed("node", "sid"), "sid", "left")
               .withColumn("root", F.coalesce("root", "sid")))
