@@ -175,3 +175,41 @@ def test_segmentation_dispatch(spark):
     exp = spark.createDataFrame([("2024-01-01", "0-1d", 1, 2, 5)],
                                 "date string, expiry_bucket string, expiry_bucket_order int, market_count long, total_tick_count long")
     assert DT.segmentation(exp).first().tick_count == 5
+
+
+WRITTEN = {
+    "2026-03-14": "2026-03-14", "2026-3-4": "2026-03-04", " 2026-03-14 ": "2026-03-14", "2026-03-14T23:59:59Z": "2026-03-14",
+    "2026-03-14T23:00:00-05:00": "2026-03-14", "2026-03-14 08:00": "2026-03-14", "2026/03/14": "2026-03-14",
+    "2026.03.14": "2026-03-14", "20260314": "2026-03-14", "03/14/2026": "2026-03-14", "14/03/2026": "2026-03-14",
+    "3/4/2026": "2026-03-04", "03-14-2026": "2026-03-14", "14-03-2026": "2026-03-14", "03/14/2026 5:30 PM": "2026-03-14",
+    "03/14/2026, 17:30:05 UTC": "2026-03-14", "March 14, 2026": "2026-03-14", "MARCH 14 2026": "2026-03-14",
+    "Mar 14th, 2026": "2026-03-14", "Sept. 3, 2026": "2026-09-03", "14 March 2026": "2026-03-14", "14-Mar-2026": "2026-03-14",
+    "Sat, 14 Mar 2026 12:00:00 GMT": "2026-03-14", "Saturday, March 14, 2026 at 5:00 pm": "2026-03-14",
+    "12:30": None, "soon": None, "2026": None, "13/13/2026": None, "20261399": None, "Q1 2026": None, "2026-02-30": None,
+    "Foo 14, 2026": None, "": None, "2026-03-14 or later": None,
+}
+
+
+def test_dates_as_they_are_written(spark):
+    from tickstat.functions.columns import written_date
+    rows = spark.createDataFrame([(t,) for t in WRITTEN] + [(None,)], "t string")
+    got = {r.t: r.d and r.d.isoformat() for r in rows.select("t", written_date("t").alias("d")).collect()}
+    assert got == WRITTEN | {None: None}
+
+
+def test_each_row_is_read_by_itself(spark):
+    """The way one row is written does not matter for another."""
+    from tickstat.operators import markets as M
+    from tickstat import schemas as S
+    texts = ["March 14, 2026", "2026-03-14T12:00:00Z", None, "", "whenever", "03/15/2026"]
+    payload = spark.createDataFrame([(f"m{i}", "q", None, t, None, False, None) for i, t in enumerate(texts)],
+                                    "conditionId string, question string, events string, endDateIso string, endDate string, "
+                                    "closed boolean, umaResolutionStatus string") \
+        .withColumns({"events": F.lit(None).cast(S.MARKET_PAYLOAD["events"].dataType),
+                      "umaResolutionStatuses": F.parse_json(F.lit(None).cast("string"))})
+    ids = payload.select(F.col("conditionId").alias("market_id"))
+    tags = spark.createDataFrame([], S.EVENT_TAGS)
+    got = {r.market_id: r.end_date for r in M.enrich_markets(ids, payload, tags).collect()}
+    assert [got[f"m{i}"] for i in range(6)] == ["2026-03-14", "2026-03-14", None, None, None, "2026-03-15"]
+    report = M.end_date_report(payload).first()
+    assert tuple(report) == (6, 4, 3, 1)

@@ -138,3 +138,24 @@ def test_concentration_totals_from_history_equal_the_activity(spark):
     two = sorted(map(tuple, R.category_concentration(h, R.category_activity(t, view)).select(
         *R.category_concentration(h).columns).collect()))
     assert one == two
+
+
+def test_distinct_markets_of_any_range(spark):
+    """Merged sketches against the exact count, over 1 to 30 days."""
+    days = spark.range(30).select(F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).alias("date"), "id")
+    ids = spark.range(3_000).select(F.col("id").alias("m"))
+    stats = days.join(ids, F.pmod(F.xxhash64("id", "m"), F.lit(5)) == 0).select(
+        "date", F.concat(F.lit("m"), F.col("m").cast("string")).alias("market_id"))
+    markets = ids.select(F.concat(F.lit("m"), F.col("m").cast("string")).alias("market_id"),
+                         F.when(F.col("m") < 20, "small").when(F.col("m") < 2_900, "large").alias("category"))
+    sketches = R.category_market_sketches(stats, markets).cache()
+    joined = stats.join(markets, "market_id").withColumn("category", F.coalesce("category", F.lit("Unknown / Deleted")))
+    for end in ("2024-01-02", "2024-01-05", "2024-01-31"):
+        exact = {r.category: r.n for r in joined.where(F.col("date") < end).groupBy("category").agg(F.count_distinct("market_id").alias("n")).collect()}
+        got = {r.category: r.market_estimate for r in R.distinct_markets(sketches, "2024-01-01", end).collect()}
+        assert set(got) == set(exact) == {"small", "large", "Unknown / Deleted"}
+        assert got["small"] == exact["small"]
+        assert all(abs(got[c] - n) <= 0.05 * n for c, n in exact.items())
+    per_day = {(r.date, r.category): r.market_count for r in sketches.collect()}
+    want = {(r.date, r.category): r.n for r in joined.groupBy("date", "category").agg(F.count_distinct("market_id").alias("n")).collect()}
+    assert per_day == want

@@ -49,3 +49,24 @@ def test_readme_flow(spark):
     assert {str(r.date) for r in hist.select("date").distinct().collect()} == {"2024-01-03", "2024-01-04"}
     # markets of the merged dimension are known (ghosts are not in the view)
     assert hist.where(F.col("category") != "Unknown / Deleted").count() > 0
+
+
+def test_a_cluster_needs_a_shared_checkpoint_folder():
+    from types import SimpleNamespace
+
+    import pytest
+    from tickstat.session import checkpoint_dir
+
+    def session(master, warehouse, named=None):
+        held = {}
+        sc = SimpleNamespace(master=master, getCheckpointDir=lambda: held.get("dir"),
+                             setCheckpointDir=lambda d: held.update(dir=d),
+                             getConf=lambda: {"spark.checkpoint.dir": named} if named else {})
+        return SimpleNamespace(sparkContext=sc, conf={"spark.sql.warehouse.dir": warehouse})
+
+    assert checkpoint_dir(session("local[8]", "file:/w")) == "file:/w/_checkpoints"
+    assert checkpoint_dir(session("yarn", "hdfs://n/w")) == "hdfs://n/w/_checkpoints"
+    assert checkpoint_dir(session("yarn", "file:/w", "s3a://b/c")) == "s3a://b/c"
+    for master in ("yarn", "spark://m:7077", "local-cluster[3,2,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            checkpoint_dir(session(master, "file:/w"))
