@@ -3,7 +3,7 @@ tree over the groups' roots.
 
 Order by bitmaps: the rank of a document among its group's ids is a popcount,
 so no sort of the documents gives the leaves their places. Ids are dealt by
-(group, id >> 15); what meets there is merged into a bitmap of 32,768 bits,
+(group, id >> 12); what meets there is merged into a bitmap of 4,096 bits,
 stored without the zero bytes at either end. The popcounts of the bitmaps are
 a directory, summed up in two steps (over 1,024 bitmaps, then over those), and
 a leaf's place is its bitmap's entry plus the bits in front of its own.
@@ -37,7 +37,7 @@ from .common import write_once
 ARITY_BITS = 3                        # 8 nodes become one
 DEPTH = 4                             # levels folded at once
 SPAN_BITS = ARITY_BITS * DEPTH
-BUCKET_BITS = 15                      # ids of one bitmap
+BUCKET_BITS = 12                      # ids of one bitmap
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 PATH = "array<struct<left string, right string>>"
 
