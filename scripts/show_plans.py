@@ -70,10 +70,13 @@ def main():
         ("category_activity (roll-up)", "The distinct count runs over market-days.", R.category_activity(ticks, views, START, END)),
         ("spread_over_time", "Hourly groups, partial aggregation.", R.spread_over_time(ticks, START, END)),
         ("category_concentration from the written facts",
-         "One exchange on (date, category) serves the join and all windows.",
+         "Ranks inside ranges of (date, category, count, id); sums per category-day joined back. No window holds one.",
          R.category_concentration(hist, act, START, END)),
         ("quality_report on the ticks table", "All row rules in one aggregate.",
          Q.quality_report(ticks, Q.ticks_rules(), table="price_changes")),
+        ("quality_report with rules over two sets of keys", "All grouped rules in one pass (Expand), the row rules in another.",
+         Q.quality_report(hist, [Q.not_null("market_id"), Q.unique("date", "market_id"),
+                                 Q.max_per_group("markets a day", ["date"], 10**6)], table="market_history")),
         ("new_market_ids", "Distinct ids (partial) anti-joined to the dimension ids.",
          M.new_market_ids(raw, dim, START, END)),
     ]
