@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tickstat.llm import bpe, line_dedup, mixing, quality, simhash
 from tickstat.llm.common import row_key, write_once
-from tickstat.session import checkpoint_dir
+from tickstat.session import checkpoint_dir, delete_at_exit
 
 
 def packed(docs: DataFrame) -> DataFrame:
@@ -102,10 +102,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``; each one's result is written to the
-    shared folder and reread as the next one's documents."""
+    shared folder and reread as the next one's documents. The folders go when
+    the driver ends."""
     folder = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
+        delete_at_exit(spark, f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
     return docs
