@@ -19,7 +19,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, delete_at_exit
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,10 +29,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def write_once(df: DataFrame, name: str) -> DataFrame:
     """Run ``df`` once into the folder the cluster shares and read it back:
     cuts the lineage, survives lost executors, and several readers do not
-    repeat the work."""
+    repeat the work. The folder goes when the driver ends."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    delete_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
