@@ -94,3 +94,30 @@ def test_odd_rows(spark, odd_documents):
     assert L.dedup(odd_documents.limit(0)).count() == 0
     copies = odd_documents.where("doc_id = 4").union(odd_documents.where("doc_id = 4"))
     assert all(r._n_removed == 0 for r in L.dedup(copies).collect())    # repeated rows: one document
+
+
+def test_stretches_of_a_list():
+    rng = random.Random(5)
+    for _ in range(300):
+        values = [rng.choice((-(2**63), -1, 0, 1, 2**63 - 1, 7)) for _ in range(rng.randint(0, 30))]
+        n = rng.randint(1, 6)
+        known = {tuple(values[i:i + n]) for i in range(len(values) - n + 1)}
+        own = L.stretches(values, n)
+        for _ in range(40):
+            run = tuple(rng.choice((-(2**63), -1, 0, 1, 2**63 - 1, 7)) for _ in range(n))
+            assert (run in own) == (run in known)
+        assert all(run in own for run in known)
+
+
+def test_long_documents_with_a_separator():
+    """24,001 lines, every second one the same: linear, not all places of a
+    line for every run of it."""
+    import time
+    a = [x for i in range(12_000) for x in (0, 10**6 + i)] + [0]
+    b = [x for i in range(12_000) for x in (0, 2 * 10**6 + i)] + [0]
+    words = [1] * len(b)
+    start = time.process_time()
+    assert L.common_lines(a, b, words, 20) == set()
+    moved = b[:9_000] + a[3_001:3_101] + b[9_000:] + a[201:301]
+    assert L.common_lines(a, moved, [1] * len(moved), 20) >= {*range(9_000, 9_100), *range(len(moved) - 100, len(moved))}
+    assert time.process_time() - start < 10

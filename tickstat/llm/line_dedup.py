@@ -135,17 +135,42 @@ def common_lines(a: list[int], b: list[int], b_words: list[int], min_words: int)
         before = (i, j)
     # shared runs that are not covered: moved, or more often in one than in the other
     left = [(s, e) for s, e in runs_of(b_words, min_words) if any(k not in out for k in range(s, e))]
-    if left:
-        starts: dict[int, list[int]] = {}
-        for i, h in enumerate(a):
-            starts.setdefault(h, []).append(i)
-        for s, e in left:
-            run = b[s:e]
-            if any(a[i:i + len(run)] == run for i in starts.get(run[0], ())):
-                out.update(range(s, e))
+    windows = {n: stretches(a, n) for n in {e - s for s, e in left}}
+    for s, e in left:
+        if tuple(b[s:e]) in windows[e - s]:
+            out.update(range(s, e))
     return out
 
 
+class stretches:     # noqa: N801 - a set
+    """The stretches of ``n`` neighbours in a list, found by hash and compared:
+    linear in the list, whatever repeats in it."""
+
+    BASE, PRIME = 0x9E3779B97F4A7C15, (1 << 61) - 1
+
+    def __init__(self, values: list[int], n: int):
+        self.values, self.n, self.at = values, n, {}
+        lead, h = pow(self.BASE, n - 1, self.PRIME), 0
+        for i, v in enumerate(values):
+            if i >= n:
+                h = (h - values[i - n] * lead) % self.PRIME
+            h = (h * self.BASE + v) % self.PRIME
+            if i >= n - 1:
+                self.at.setdefault(h, i - n + 1)
+
+    def __contains__(self, run: tuple) -> bool:
+        h = 0
+        for v in run:
+            h = (h * self.BASE + v) % self.PRIME
+        if h not in self.at:
+            return False
+        held, n = self.values, self.n
+        start = self.at[h]
+        # another stretch with the same hash as good as never comes first
+        return tuple(held[start:start + n]) == run or any(
+            tuple(held[i:i + n]) == run for i in range(len(held) - n + 1))
+
+
 # ---------------------------------------------------------------- operator
 def _lines(docs: DataFrame, min_words: int) -> DataFrame:
     def run(batches):
