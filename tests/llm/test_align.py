@@ -19,7 +19,7 @@ NAMES = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "
 @pytest.fixture(scope="module")
 def tools():
     with open(A, encoding="utf-8") as a, open(B, "rb") as b:
-        return align.Tokenizers(a.read(), b.read())
+        return align.Tokenizers(a.read(), b.read(), P.PATTERN)
 
 
 def spans(ids, entries):
@@ -77,6 +77,21 @@ class Brute:
                        for i, text, n, links, n_a, n_b in found), key=str)
 
 
+def test_both_libraries_give_the_same_ids(tools):
+    """tiktoken with the file's ranks against tokenizers: every code point
+    among letters, digits, signs and spaces, every token, long runs."""
+    assert tools.fast is not None
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [" ".join(f"a{c}b1{c}2.{c}.{c}{c} {c}" for c in map(chr, points[i:i + 128])) for i in range(0, len(points), 128)]
+    whole = [t.decode("utf-8", "ignore") for t in
+             (tools.spell_a.data[a:a + n].tobytes() for a, n in zip(tools.spell_a.start, tools.spell_a.size))]
+    texts += whole + ["x" * 100_000, " " * 9_000 + "x", "\n" * 9_000, "0123456789abcdef" * 5_000]
+    for text, want in zip(texts, tools.a.encode_batch(texts, add_special_tokens=False)):
+        assert tools.a_ids(text).tolist() == want.ids
+    for text in (" " * 1_200_000, "\n\t" * 300_000 + "x"):
+        assert tools.a_ids(text).tolist() == tools.a.encode(text, add_special_tokens=False).ids
+
+
 def rows_of(df):
     return sorted((tuple(r[n] for n in NAMES) for r in df.collect()), key=str)
 
@@ -88,7 +103,9 @@ TEXTS = ["Hello world, this is a test.", "naïve café \U0001F600 déjà-vu", "a
 
 def test_brute_force(spark, documents):
     docs = documents([(k, t, "en", "s") for k, t in enumerate(TEXTS)])
-    assert rows_of(align.align(docs, A, B)) == Brute().table(list(enumerate(TEXTS)))
+    want = Brute().table(list(enumerate(TEXTS)))
+    assert rows_of(align.align(docs, A, B)) == want
+    assert rows_of(align.align(docs, A, B, pattern=P.PATTERN)) == want
 
 
 def test_query_equals_brute_force_on_short_documents(spark, monkeypatch):
@@ -96,7 +113,7 @@ def test_query_equals_brute_force_on_short_documents(spark, monkeypatch):
     monkeypatch.setattr(align, "CHUNK", 20_000)
     monkeypatch.setattr(align, "SLICE", 5_000)
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").where("length(text) < 1500").select("doc_id", "text")
-    assert rows_of(align.align(docs, A, B)) == Brute().table([tuple(r) for r in docs.collect()])
+    assert rows_of(align.align(docs, A, B, pattern=P.PATTERN)) == Brute().table([tuple(r) for r in docs.collect()])
     assert queries.op12_token_alignment(spark, SF_SMALL).columns == list(NAMES)
 
 

@@ -24,6 +24,13 @@ back byte for byte have no tokens: zeros and an empty digest. Repeated rows
 count as documents of their own. A text over ``PART`` bytes is encoded in
 parts, cut in front of a space between two ASCII letters, which no token of
 either vocabulary can span (checked when they are loaded).
+
+Given the pattern that a byte-level vocabulary cuts texts by, A's ids come
+from the tiktoken library with the ranks of that vocabulary, which is four
+times faster than the tokenizers library and gives the same ids if the ids are
+in the order of the merges (checked; the tests compare the two over all code
+points and tokens). Parts with a very long run of white space, over which its
+pattern matching fails, and other vocabularies go through tokenizers.
 """
 
 from __future__ import annotations
@@ -46,6 +53,7 @@ SLICE = 1 << 20               # bytes of text that are merged together
 CHUNK = 8 << 20               # bytes of text that share a dictionary of pairs
 PART = 1 << 20                # bytes of text that are encoded together
 SPELL = 1 << 18               # tokens that are written out at once
+WHITE = re.compile(r"\s{10000}")
 LAST = np.iinfo(np.int64).max
 BETWEEN = re.compile("(?<=[A-Za-z]) (?=[A-Za-z])")
 
@@ -85,9 +93,11 @@ class Spelling:
 
 
 class Tokenizers:
-    """Tokenizers A (a tokenizers file) and B (a sentencepiece model)."""
+    """Tokenizers A (a tokenizers file, cut by ``pattern``) and B (a
+    sentencepiece model)."""
 
-    def __init__(self, a_json: str, b_model: bytes):
+    def __init__(self, a_json: str, b_model: bytes, pattern: str | None = None):
+        import json
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"      # a task has one core
@@ -105,6 +115,15 @@ class Tokenizers:
         b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                    for i, p in enumerate(pieces)]
         self.spell_a, self.spell_b = Spelling(a_bytes), Spelling(b_bytes)
+        self.fast = None
+        model, cut = json.loads(a_json)["model"], json.loads(a_json)["pre_tokenizer"] or {}
+        merges = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model.get("merges", [])]
+        if (pattern and cut.get("type") == "ByteLevel" and not cut["add_prefix_space"]
+                and all(model["vocab"][m] == 256 + k for k, m in enumerate(merges))):
+            import tiktoken
+
+            ranks = {a_bytes[i]: i for i in range(256 + len(merges))}
+            self.fast = tiktoken.Encoding("a", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.cuts = not any(re.search(rb"[A-Za-z] [A-Za-z]", t) for t in a_bytes + b_bytes)
         self.b_bits = (len(b_bytes) - 1).bit_length()
         self.bits = self.b_bits + (len(a_bytes) - 1).bit_length()
@@ -127,6 +146,11 @@ class Tokenizers:
             start = cut.start()
         return [*out, text[start:]]
 
+    def a_ids(self, part: str) -> np.ndarray:
+        if self.fast is None or len(part) >= 10_000 and WHITE.search(part):
+            return np.array(self.a.encode(part, add_special_tokens=False).ids, np.int64)
+        return self.fast.encode_to_numpy(part, disallowed_special=()).astype(np.int64)
+
     def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of A and B for every text; none for a text that either does
         not give back."""
@@ -137,7 +161,7 @@ class Tokenizers:
                 b.append(np.empty(0, np.int64))
                 continue
             parts = self.parts(text)
-            own_a = np.concatenate([np.array(self.a.encode(p, add_special_tokens=False).ids, np.int64) for p in parts])
+            own_a = np.concatenate([self.a_ids(p) for p in parts])
             own_b = np.concatenate([np.array(self.b.encode(p[1:]), np.int64) for p in parts])
             want = b" " + text.encode()
             if not (self.spell_a.spells(own_a, want) and self.spell_b.spells(own_b, want)):
@@ -259,7 +283,8 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
 
 
-def encoded(docs: DataFrame, path_a: str, path_b: str, keep_groups: bool = False) -> tuple[DataFrame, int]:
+def encoded(docs: DataFrame, path_a: str, path_b: str, keep_groups: bool = False,
+            pattern: str | None = None) -> tuple[DataFrame, int]:
     """A table with a row per document (``pairs`` NULL) and one per chunk:
     its dictionary of pairs and how many of its documents hold each; and the
     bits of a pair that are the id of B. A document's pairs are places in its
@@ -270,7 +295,7 @@ def encoded(docs: DataFrame, path_a: str, path_b: str, keep_groups: bool = False
     counted = ("n_a", "n_b", "n_groups", "n_links")
 
     def run(batches):
-        tools = Tokenizers(*files.value)
+        tools = Tokenizers(*files.value, pattern)
         task, number = TaskContext.get().partitionId(), 0
         held: list[tuple[pa.Array, Slice]] = []
         size = 0
@@ -336,11 +361,12 @@ def pair_counts(table: DataFrame, b_bits: int) -> DataFrame:
     return counts.withColumn("best", F.col("docs") == F.max("docs").over(Window.partitionBy("a")))
 
 
-def align(docs: DataFrame, path_a: str, path_b: str, keep_groups: bool = False) -> DataFrame:
+def align(docs: DataFrame, path_a: str, path_b: str, keep_groups: bool = False,
+          pattern: str | None = None) -> DataFrame:
     """``(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum,
     groups_sha256)`` for every row, and with ``keep_groups`` the ``groups``
     themselves: ``a1,a2|b1;a3|b2,b3``."""
-    table, b_bits = encoded(docs, path_a, path_b, keep_groups)
+    table, b_bits = encoded(docs, path_a, path_b, keep_groups, pattern)
     same = ["doc_id", "n_a", "n_b", "n_groups", "n_links"]
     rest = ["groups_sha256", *["groups"] * keep_groups]
     places = table.where("pairs IS NOT NULL").select(F.col("chunk").alias("of"), F.posexplode("pairs").alias("at", "pair"))

@@ -92,7 +92,7 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.align(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
-                       public_tokenizers.path("piece_bpe_32k.model"))
+                       public_tokenizers.path("piece_bpe_32k.model"), pattern=PATTERN)
 
 
 def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
