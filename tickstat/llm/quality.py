@@ -21,8 +21,8 @@ in trusted ones. Words that the toxic ones have more of with ``TOXIC_EVIDENCE``
 nats of log-likelihood make the lexicon. A document's toxicity is the Poisson
 log-likelihood ratio of its distinct words over the lexicon; from ``TOXIC``
 nats on it is marked, apart from the verdict on its quality. Both sides are
-fitted on at most ``TARGET_ROWS`` documents, the driver gets at most
-``TOXIC_WORDS`` words.
+fitted on at most ``TARGET_ROWS`` documents, and the lexicon holds every such
+word of theirs, so it is bounded by that parameter too.
 """
 
 from __future__ import annotations
@@ -41,7 +41,6 @@ THRESHOLD = -0.05              # nats per n-gram
 TARGET_ROWS = 50_000
 TOXIC = 4.0                    # nats per document
 TOXIC_EVIDENCE = 8.0           # nats per word
-TOXIC_WORDS = 4096
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
 WORD = r"[^\x20\x09-\x0D]+"
@@ -140,7 +139,7 @@ def toxic_words(docs: DataFrame, labels: DataFrame,
     evidence = F.expr(f"""k * ln(k / ((k + o) * {part!r}D))
         + if(o > 0, o * ln(o / ((k + o) * {1 - part!r}D)), 0D)""")
     found = (counts.where(f"k >= 3 AND k > (k + o) * {part!r}D").withColumn("evidence", evidence)
-             .where(F.col("evidence") >= TOXIC_EVIDENCE).orderBy(F.desc("evidence"), "word").limit(TOXIC_WORDS).collect())
+             .where(F.col("evidence") >= TOXIC_EVIDENCE).orderBy(F.desc("evidence"), "word").collect())
     rates = [(r["word"], r["k"] / all_k, (r["o"] + 0.5) / all_o) for r in found]
     return [(w, math.log(a / b)) for w, a, b in rates], sum(a - b for _, a, b in rates)
 
@@ -151,7 +150,9 @@ def toxicity(words: list[tuple[int, float]], loss: float) -> Column:
         return F.lit(0.0)
     hashes, ratios = (F.split(F.lit(",".join(map(repr, x))), ",") for x in zip(*words))
     hashes, ratios = hashes.cast("array<bigint>"), ratios.cast("array<double>")
-    hits = F.array_intersect("_hashes", hashes)
+    # a set of literals: looked up once per word, however many it has
+    known = ", ".join(f"{w}L" for w, _ in words)
+    hits = F.expr(f"filter(array_distinct(_hashes), h -> h IN ({known}))")
     total = F.aggregate(hits, F.lit(0.0), lambda a, h: a + F.get(ratios, (F.array_position(hashes, h) - 1).cast("int")))
     return F.when(F.size(hits) > 0, total - loss * F.size(F.array_distinct("_hashes"))).otherwise(0.0)
 
