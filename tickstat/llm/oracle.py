@@ -174,5 +174,105 @@ SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(
 FROM documents d LEFT JOIN kept k USING (doc_id) LEFT JOIN partners p USING (doc_id)"""
 
 
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _digest_of(text: str) -> str:
+    fields = " || ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+                         for c in ("doc_id", "source", "lang", "n_chars", text))
+    return f"sha256({fields})"
+
+
+# CRC-32 of the digits, bit by bit
+_CRC = """xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+  lambda x: CAST(ascii(x) AS BIGINT))), lambda c, d: list_reduce(list_prepend(xor(c, d), [0, 0, 0, 0, 0, 0, 0, 0]),
+  lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+# nodes level by level, in the groups (k = 0) and over them (k = 1); a
+# document's path are the others of its runs; folded level by level
+MANIFEST = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS g, {_digest_of('text')} AS leaf,
+    CASE WHEN {_CRC} % 3 = 0 THEN {_digest_of(f"translate(text, '{UPPER}', '{UPPER.lower()}')")} END AS changed
+  FROM documents
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM leaves
+),
+inside(g, level, pos, n, node) AS (
+  SELECT g, 0, pos, n, leaf FROM placed
+  UNION ALL
+  SELECT g, level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(node, '' ORDER BY pos))
+  FROM inside WHERE n > 1 GROUP BY g, level, pos // 8, n
+),
+groups AS (
+  SELECT g, node AS subroot, level AS height, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n
+  FROM inside WHERE n = 1
+),
+over_(level, pos, n, node) AS (
+  SELECT 0, pos, n, subroot FROM groups
+  UNION ALL
+  SELECT level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(node, '' ORDER BY pos))
+  FROM over_ WHERE n > 1 GROUP BY level, pos // 8, n
+),
+nodes AS (
+  SELECT g, level, pos, node FROM inside WHERE n > 1
+  UNION ALL
+  SELECT g.g, g.height + o.level, o.pos, o.node FROM groups g, over_ o WHERE o.n > 1
+),
+steps AS (
+  SELECT p.doc_id, p.g, level, CASE WHEN level < g.height THEN p.pos >> (3 * level)
+    ELSE g.pos >> (3 * (level - g.height)) END AS own
+  FROM placed p JOIN groups g USING (g), (SELECT unnest(range(21)) AS level)
+),
+path AS (
+  SELECT s.doc_id, s.level, coalesce(string_agg(n.node, '' ORDER BY n.pos) FILTER (n.pos < s.own), '') AS before,
+    coalesce(string_agg(n.node, '' ORDER BY n.pos) FILTER (n.pos > s.own), '') AS after
+  FROM steps s JOIN nodes n ON n.g = s.g AND n.level = s.level AND n.pos // 8 = s.own // 8
+  GROUP BY s.doc_id, s.level
+),
+proofs AS (SELECT doc_id, sha256(string_agg(before || after, '' ORDER BY level)) AS proof FROM path GROUP BY doc_id),
+folded(doc_id, level, node) AS (
+  SELECT doc_id, 0, coalesce(changed, leaf) FROM placed
+  UNION ALL
+  SELECT f.doc_id, f.level + 1, sha256(p.before || f.node || p.after)
+  FROM folded f JOIN path p ON p.doc_id = f.doc_id AND p.level = f.level
+),
+ends AS (SELECT doc_id, arg_max(node, level) AS node FROM folded GROUP BY doc_id)
+SELECT p.doc_id, p.leaf, g.subroot, r.node AS root, coalesce(proof, sha256('')) AS proof_sha256,
+  e.node AS folded_root, e.node = r.node AS verified
+FROM placed p JOIN groups g USING (g) JOIN ends e USING (doc_id) LEFT JOIN proofs USING (doc_id),
+  (SELECT node FROM over_ WHERE n = 1) AS r"""
+
+JACCARD = rf"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '{WORD_CLASS}') AS w
+  FROM documents
+),
+sets AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS shingle
+  FROM docs
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+  FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * shared >= 80 * (x.n + y.n - shared)
+),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM docs
+  UNION
+  SELECT r.doc_id, e.b FROM reach r JOIN edges e ON e.a = r.other
+)
+SELECT doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(other) AS component_id
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": LICENSES, "op4_secret_scan": SECRETS, "op5_line_dedup": LINE_DEDUP}
+    return {"op1_license_scan": LICENSES, "op4_secret_scan": SECRETS, "op5_line_dedup": LINE_DEDUP,
+            "op11_manifest": MANIFEST, "op13_jaccard_join": JACCARD}
