@@ -119,6 +119,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
 def followed(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     """Every row with its successor next to it, for a pass in order.
 
+    Ids are integers (other types end the query with a cast error).
     Rows are dealt to id ranges; the first row of each range is also sent to
     the range before it as its ``tail`` (the very first row to the last
     range), so that no task needs another one's rows. Returns ``(bucket, tail,

@@ -9,7 +9,10 @@ orders, with contexts' totals and numbers of types.
 The model is stored as sorted arrays of hashed n-grams, one per order, with a
 column of counts per language. Hashes have ``HASH_BITS`` bits, so an array has
 at most 2**HASH_BITS rows whatever the corpus; n-grams that share a hash share
-counts. That bound makes it safe to gather on the driver and to broadcast.
+counts. The model is gathered on the driver and broadcast: up to 8 tables of
+2**HASH_BITS rows, with a column per language. That is some hundred MB for the
+languages of a few scripts and several GB for ``MAX_LANGUAGES`` of them, which
+a driver has to be given.
 
 A text gets the language of lowest cross-entropy per character. Rejection is
 calibrated per language on the training counts: mean and spread of the
