@@ -56,8 +56,9 @@ BUCKET = 64                           # sets of a key that are compared with eac
 DENSITY = 0.27                        # words of a band's sketch per shingle of its largest set
 SKETCH = 1024                         # least bits of the sketch that sorts out candidates
 FILTER_BITS = 25                      # of the filters in front of keys and texts, 4 MB
-KNOWN_WORDS = 1_000_000               # whose hashes a task remembers
+KNOWN_WORDS = 250_000                 # whose hashes a task remembers
 SLICE = 1 << 20                       # characters of text that are hashed together
+ROWS = 1_000                          # sets whose lists are worked on together
 FIRST, STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -217,28 +218,32 @@ def keys_of(table: DataFrame, last=None, only=None, among=None) -> DataFrame:
     """``(key, sid)``: the first ``need`` words of every list, those in the
     filter ``last`` behind the others. ``only`` and ``among`` leave out keys
     and sets that are not in them."""
+    def picked(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sids, lists = np.asarray(batch.column(0)), batch.column(1)
+        flat = lists.flatten()
+        of = np.repeat(sids, np.asarray(pc.list_value_length(lists)))
+        words = flat.field("words")
+        size, need = np.asarray(pc.list_value_length(words)), np.asarray(flat.field("need"))
+        keys = np.asarray(words.flatten())
+        start = np.repeat(np.cumsum(size) - size, size)
+        at = np.arange(len(keys)) - start
+        if last is not None:                          # places with these words behind the others
+            late = may_hold(last.value, keys)
+            so_far = np.append(0, np.cumsum(late))
+            before = so_far[:-1] - so_far[start]
+            others = np.repeat(size, size) - (so_far[start + np.repeat(size, size)] - so_far[start])
+            at = np.where(late, others + before, at - before)
+        take = at < np.repeat(need, size)
+        if among is not None:
+            take &= np.repeat(may_hold(among.value, of), size)
+        if only is not None:
+            take &= may_hold(only.value, keys)
+        return pa.record_batch([pa.array(keys[take]), pa.array(np.repeat(of, size)[take])], ["key", "sid"])
+
     def run(batches):
-        for batch in batches:
-            sids, lists = np.asarray(batch.column(0)), batch.column(1)
-            flat = lists.flatten()
-            of = np.repeat(sids, np.asarray(pc.list_value_length(lists)))
-            words = flat.field("words")
-            size, need = np.asarray(pc.list_value_length(words)), np.asarray(flat.field("need"))
-            keys = np.asarray(words.flatten())
-            start = np.repeat(np.cumsum(size) - size, size)
-            at = np.arange(len(keys)) - start
-            if last is not None:                          # places with these words behind the others
-                late = may_hold(last.value, keys)
-                so_far = np.append(0, np.cumsum(late))
-                before = so_far[:-1] - so_far[start]
-                others = np.repeat(size, size) - (so_far[start + np.repeat(size, size)] - so_far[start])
-                at = np.where(late, others + before, at - before)
-            take = at < np.repeat(need, size)
-            if among is not None:
-                take &= np.repeat(may_hold(among.value, of), size)
-            if only is not None:
-                take &= may_hold(only.value, keys)
-            yield pa.record_batch([pa.array(keys[take]), pa.array(np.repeat(of, size)[take])], ["key", "sid"])
+        for whole in batches:
+            for row in range(0, whole.num_rows, ROWS):
+                yield picked(whole.slice(row, ROWS))
 
     return table.where("sid IS NOT NULL").select("sid", "lists").mapInArrow(run, "key long, sid long")
 
