@@ -283,7 +283,8 @@ def shingles_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 # ------------------------------------------------------------------- search
 class Search:
     """Candidates and verified links between the sets of one corpus. ``sets``
-    is ``(sid, n, sketch, text_hash)``."""
+    is ``(sid, n, sketch, text_hash, f0, f1, f2, f3)``: the f are the sketch
+    folded to 256 bits."""
 
     def __init__(self, docs: DataFrame, sets: DataFrame, width: int, percent: int):
         self.docs, self.sets, self.width, self.percent = docs, sets, width, percent
@@ -294,15 +295,19 @@ class Search:
     def near(self, a: str, b: str) -> Column:
         """Sizes and sketches of two sets allow a link."""
         p, n, m = self.percent, F.col(f"n_{a}"), F.col(f"n_{b}")
+        # 256 bits of either sketch, in plain columns, sort out most; the rest
+        # is compared in full
+        part = sum((F.bit_count(F.col(f"f{i}_{a}").bitwiseXOR(F.col(f"f{i}_{b}"))) for i in range(4)), F.lit(0))
         x, y = F.col(f"sketch_{a}"), F.col(f"sketch_{b}")
         flips = F.zip_with(_folded(x, y), _folded(y, x), lambda u, v: F.bit_count(u.bitwiseXOR(v)))
         distance = F.aggregate(flips, F.lit(0), lambda s, u: s + u)
         sized = 100 * F.least(n, m) >= p * F.greatest(n, m)
-        return F.when(sized, (100 + p) * distance <= (100 - p) * (n + m)).otherwise(F.lit(False))
+        most = (100 - p) * (n + m)
+        return F.when(sized & ((100 + p) * part <= most), (100 + p) * distance <= most).otherwise(F.lit(False))
 
     def sketched(self, df: DataFrame, a: str) -> DataFrame:
-        return df.join(self.sets.select(F.col("sid").alias(a), F.col("n").alias(f"n_{a}"),
-                                        F.col("sketch").alias(f"sketch_{a}")), a)
+        names = ("n", "sketch", "f0", "f1", "f2", "f3")
+        return df.join(self.sets.select(F.col("sid").alias(a), *(F.col(c).alias(f"{c}_{a}") for c in names)), a)
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """Those of the pairs ``(a, b)`` that are linked."""
@@ -399,8 +404,10 @@ def near_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
     table = write_once(described(docs, width, percent), "jaccard-sets")
     members = members_of(table)
     sids = members.select("sid").distinct()
-    sets = write_once(table.join(sids, "sid", "left_semi").groupBy("sid").agg(
-        F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("text_hash").alias("text_hash")), "jaccard-sketches")
+    sets = table.join(sids, "sid", "left_semi").groupBy("sid").agg(
+        F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("text_hash").alias("text_hash"))
+    folds = {f"f{i}": F.expr(f"aggregate(filter(sketch, (x, k) -> k % 4 = {i}), 0L, (s, x) -> s ^ x)") for i in range(4)}
+    sets = write_once(sets.withColumns(folds), "jaccard-sketches")
     links = Search(docs, sets, width, percent).all_links(table, members)
     rooted = (table.select("doc_id", "sid", F.col("n").alias("n_shingles"))
               .join(components(links).withColumnRenamed("node", "sid"), "sid", "left")
