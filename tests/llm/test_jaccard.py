@@ -106,6 +106,15 @@ def test_chain_of_sets(spark, documents, monkeypatch):
     assert got(docs) == brute(rows)
 
 
+def test_links_between_bands(spark, documents):
+    """Sets on both sides of a power of two have sketches of different widths."""
+    words = [f"b{i}" for i in range(2_200)]
+    rows = [(1, " ".join(words[:1_010])), (2, " ".join(words[:1_060])), (3, " ".join(words[50:2_030])),
+            (4, " ".join(words[:2_100]))]
+    assert got(documents([(i, t, "en", "s") for i, t in rows])) == brute(rows) == [
+        (1, 1_006, 1), (2, 1_056, 1), (3, 1_976, 3), (4, 2_096, 3)]
+
+
 def test_sets_without_a_shared_word_meet_through_shingles():
     """Of two linked sets some key agrees, whatever the hashes are: random
     sets whose shingles all fall into few words."""

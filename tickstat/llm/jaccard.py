@@ -384,17 +384,6 @@ def _folded(sketch: Column, other: Column) -> Column:
     return F.when(F.size(sketch) <= n, sketch).otherwise(halves)
 
 
-def _folded(sketch: Column, other: Column) -> Column:
-    """``sketch`` in the width of ``other``, if that is a quarter of it."""
-    n = F.size(other)
-    quarters = [F.slice(sketch, n * k + 1, n) for k in range(4)]
-
-    def xor(x: Column, y: Column) -> Column:
-        return F.zip_with(x, y, lambda u, v: u.bitwiseXOR(v))
-
-    return F.when(F.size(sketch) <= n, sketch).otherwise(xor(xor(*quarters[:2]), xor(*quarters[2:])))
-
-
 def near_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``(doc_id, n_shingles, component_id, root)`` for every row: the size of
     its set and the smallest id reachable over links. ``root`` names the
