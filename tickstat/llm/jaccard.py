@@ -22,17 +22,18 @@ sets with one of them, then, where they are in several components, with one
 of the component that has most of them; that joins near-copies in their
 thousands. Only keys whose sets are then still in several components go on:
 up to ``BUCKET`` sets are compared across components, by a join whose condition
-is the sketches' distance. The sets of larger keys (a passage that many texts
+is the distance of sketches folded to 256 bits, then of whole ones. The sets of larger keys (a passage that many texts
 share makes such keys) are searched again with those keys at the end of the
 order, so that they are keys only of sets that have little else; what shares
 even these without being connected is compared in full. Every candidate is
 verified on the shingles themselves, which are taken from the texts again, so
 no link between components is lost.
 
-Filters of fixed size (``FILTER_BITS``) spare work and decide nothing: of the
-keys only those that may be shared are dealt out, of the texts only those that
-may be candidates are hashed again. On corpora with far more shared keys
-than bits they let everything through.
+Filters spare work and decide nothing: of the rows with equal sets only one
+lists its keys, of the keys only those that may be shared are dealt out, of the
+texts only those that may be candidates are hashed again. They have
+``FILTER_BITS`` bits; those of rows and of shared keys grow with what they hold
+up to ``MOST_FILTER_BITS``. Far more values than bits let everything through.
 
 Defined results: NULL, empty and blank texts have no shingles and no links.
 Repeated rows and copies are one set. A NULL id is no smallest id; where all
@@ -55,7 +56,7 @@ from .common import components, write_once
 BUCKET = 64                           # sets of a key that are compared with each other
 DENSITY = 0.27                        # words of a band's sketch per shingle of its largest set
 SKETCH = 1024                         # least bits of the sketch that sorts out candidates
-FILTER_BITS = 25                      # of the filters in front of keys and texts, 4 MB
+FILTER_BITS, MOST_FILTER_BITS = 25, 28   # of the filters in front of keys and texts, 4 to 32 MB
 KNOWN_WORDS = 250_000                 # whose hashes a task remembers
 SLICE = 1 << 20                       # characters of text that are hashed together
 ROWS = 1_000                          # sets whose lists are worked on together
@@ -176,50 +177,58 @@ def text_hash(text: str) -> int:
 
 
 def described(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """``(doc_id, text_hash, sid, n, sketch, lists)`` for every row; ``sid``
-    names the set, NULL for an empty one."""
+    """``(doc_id, text_hash, row, sid, n, sketch, lists)`` for every row; ``row``
+    is a random number, ``sid`` names the set, NULL for an empty one."""
     def run(batches):
-        known = Words()
+        known, rng = Words(), np.random.default_rng()
         for batch in batches:
             at = 0
             for texts in slices(batch.column(1)):
                 sets = shingle_sets(texts, width, known)
                 yield pa.record_batch([
                     batch.column(0).slice(at, len(texts)), pa.array([text_hash(t) for t in texts], pa.int64()),
+                    pa.array(rng.integers(1 << 62, size=len(texts))),
                     pa.array([set_id(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([parity_sketch(s) if len(s) else None for s in sets], pa.list_(pa.int64())),
                     pa.array([set_lists(s, percent) if len(s) else None for s in sets], LISTS)],
-                    ["doc_id", "text_hash", "sid", "n", "sketch", "lists"])
+                    ["doc_id", "text_hash", "row", "sid", "n", "sketch", "lists"])
                 at += len(texts)
 
     src = docs.select("doc_id", "text")
-    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, text_hash long, sid long, "
-                               "n long, sketch array<long>, lists array<struct<need long, words array<long>>>")
+    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, text_hash long, row long, "
+                               "sid long, n long, sketch array<long>, lists array<struct<need long, words array<long>>>")
 
 
-def bit_filter(values: DataFrame):
+def bit_filter(values: DataFrame, count: int = 0):
     """Broadcast bits of the hashes in the first column: built as bitmaps by
-    the executors, 4 MB however many there are."""
-    low = values.select(F.col(values.columns[0]).bitwiseAND(F.lit((1 << FILTER_BITS) - 1)).alias("v"))
+    the executors. 4 MB, or with their ``count`` 16 bits each up to 32 MB."""
+    width = min(max(FILTER_BITS, (16 * count).bit_length()), MOST_FILTER_BITS)
+    low = values.select(F.col(values.columns[0]).bitwiseAND(F.lit((1 << width) - 1)).alias("v"))
     maps = (low.groupBy(F.shiftright("v", 15).alias("at"))
             .agg(F.bitmap_construct_agg(F.col("v").bitwiseAND(F.lit((1 << 15) - 1))).alias("bits")).collect())
-    bits = np.zeros((1 << (FILTER_BITS - 15), 1 << 12), np.uint8)
+    bits = np.zeros((1 << (width - 15), 1 << 12), np.uint8)
     for row in maps:
         bits[row["at"]] = np.frombuffer(row["bits"], np.uint8)
     return values.sparkSession.sparkContext.broadcast(bits.ravel())
 
 
 def may_hold(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
-    at = values & ((1 << FILTER_BITS) - 1)
+    at = values & (8 * len(bits) - 1)
     return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
-def keys_of(table: DataFrame, last=None, only=None, among=None) -> DataFrame:
+def one_row_each(table: DataFrame):
+    """Filter of rows, one for every set at least."""
+    rows = table.where("sid IS NOT NULL").groupBy("sid").agg(F.min("row").alias("row"))
+    return bit_filter(rows.select("row"), table.count())
+
+
+def keys_of(table: DataFrame, once, last=None, only=None, among=None) -> DataFrame:
     """``(key, sid)``: the first ``need`` words of every list, those in the
-    filter ``last`` behind the others. ``only`` and ``among`` leave out keys
-    and sets that are not in them."""
+    filter ``last`` behind the others. ``once``, ``only`` and ``among`` leave out
+    rows, keys and sets that are not in them."""
     def picked(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sids, lists = np.asarray(batch.column(0)), batch.column(1)
+        sids, lists = np.asarray(batch.column(0)), batch.column(2)
         flat = lists.flatten()
         of = np.repeat(sids, np.asarray(pc.list_value_length(lists)))
         words = flat.field("words")
@@ -234,26 +243,28 @@ def keys_of(table: DataFrame, last=None, only=None, among=None) -> DataFrame:
             others = np.repeat(size, size) - (so_far[start + np.repeat(size, size)] - so_far[start])
             at = np.where(late, others + before, at - before)
         take = at < np.repeat(need, size)
-        if among is not None:
-            take &= np.repeat(may_hold(among.value, of), size)
         if only is not None:
             take &= may_hold(only.value, keys)
         return pa.record_batch([pa.array(keys[take]), pa.array(np.repeat(of, size)[take])], ["key", "sid"])
 
     def run(batches):
         for whole in batches:
+            wanted = may_hold(once.value, np.asarray(whole.column(1)))
+            if among is not None:
+                wanted &= may_hold(among.value, np.asarray(whole.column(0)))
+            whole = whole.filter(pa.array(wanted))
             for row in range(0, whole.num_rows, ROWS):
                 yield picked(whole.slice(row, ROWS))
 
-    return table.where("sid IS NOT NULL").select("sid", "lists").mapInArrow(run, "key long, sid long")
+    return table.where("sid IS NOT NULL").select("sid", "row", "lists").mapInArrow(run, "key long, sid long")
 
 
-def members_of(table: DataFrame, last=None, among=None) -> DataFrame:
+def members_of(table: DataFrame, once, last=None, among=None) -> DataFrame:
     """Distinct ``(key, sid)`` of the keys that several rows have."""
-    shared = write_once(keys_of(table, last, None, among).groupBy("key").agg(F.count("*").alias("rows"))
+    shared = write_once(keys_of(table, once, last, None, among).groupBy("key").agg(F.count("*").alias("rows"))
                         .where("rows > 1").select("key"), "jaccard-shared")
-    rows = keys_of(table, last, bit_filter(shared), among).join(shared, "key")
-    return write_once(rows, "jaccard-keys").distinct()
+    rows = keys_of(table, once, last, bit_filter(shared, shared.count()), among).join(shared, "key")
+    return write_once(rows.distinct(), "jaccard-keys")    # dealt by key already
 
 
 def shingles_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -292,27 +303,29 @@ class Search:
     def shingles(self, sids: DataFrame) -> DataFrame:
         return shingles_of(self.docs, self.sets.select("sid", "text_hash").join(sids, "sid", "left_semi"), self.width)
 
-    def near(self, a: str, b: str) -> Column:
-        """Sizes and sketches of two sets allow a link."""
-        p, n, m = self.percent, F.col(f"n_{a}"), F.col(f"n_{b}")
+    def near(self, a: str, b: str, full: bool = True) -> Column:
+        """Sizes and sketches of the sets ``a`` and ``b`` allow a link; the
+        sketches in full or as folded."""
+        p, n, m = self.percent, F.col(f"{a}.n"), F.col(f"{b}.n")
         # 256 bits of either sketch, in plain columns, sort out most; the rest
         # is compared in full
-        part = sum((F.bit_count(F.col(f"f{i}_{a}").bitwiseXOR(F.col(f"f{i}_{b}"))) for i in range(4)), F.lit(0))
-        x, y = F.col(f"sketch_{a}"), F.col(f"sketch_{b}")
-        flips = F.zip_with(_folded(x, y), _folded(y, x), lambda u, v: F.bit_count(u.bitwiseXOR(v)))
-        distance = F.aggregate(flips, F.lit(0), lambda s, u: s + u)
+        part = sum((F.bit_count(F.col(f"{a}.f{i}").bitwiseXOR(F.col(f"{b}.f{i}"))) for i in range(4)), F.lit(0))
         sized = 100 * F.least(n, m) >= p * F.greatest(n, m)
         most = (100 - p) * (n + m)
-        return F.when(sized & ((100 + p) * part <= most), (100 + p) * distance <= most).otherwise(F.lit(False))
-
-    def sketched(self, df: DataFrame, a: str) -> DataFrame:
-        names = ("n", "sketch", "f0", "f1", "f2", "f3")
-        return df.join(self.sets.select(F.col("sid").alias(a), *(F.col(c).alias(f"{c}_{a}") for c in names)), a)
+        may = sized & ((100 + p) * part <= most)
+        if not full:
+            return may
+        x, y = F.col(f"{a}.sketch"), F.col(f"{b}.sketch")
+        flips = F.zip_with(_folded(x, y), _folded(y, x), lambda u, v: F.bit_count(u.bitwiseXOR(v)))
+        distance = F.aggregate(flips, F.lit(0), lambda s, u: s + u)
+        return F.when(may, (100 + p) * distance <= most).otherwise(F.lit(False))
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """Those of the pairs ``(a, b)`` that are linked."""
-        near = self.sketched(self.sketched(pairs.distinct(), "a"), "b").where(self.near("a", "b"))
-        near = write_once(near.select("a", "b", (F.col("n_a") + F.col("n_b")).alias("sizes")), "jaccard-candidates")
+        one, two = self.sets.alias("one"), self.sets.alias("two")
+        near = (pairs.distinct().join(one, F.col("a") == F.col("one.sid")).join(two, F.col("b") == F.col("two.sid"))
+                .where(self.near("one", "two")))
+        near = write_once(near.select("a", "b", (F.col("one.n") + F.col("two.n")).alias("sizes")), "jaccard-candidates")
         if near.isEmpty():
             return near.select("a", "b")
         shingles = self.shingles(near.select(F.explode(F.array("a", "b")).alias("sid")))
@@ -347,25 +360,28 @@ class Search:
         return (rooted.join(lead, "key").where("root <> lead.root")
                 .select(F.least("sid", "lead.sid").alias("a"), F.greatest("sid", "lead.sid").alias("b")))
 
-    def compared(self, rooted: DataFrame) -> DataFrame:
-        """Candidates ``(a, b)`` with a common key, of different components."""
-        one = self.sketched(rooted.select("key", F.col("sid").alias("a"), F.col("root").alias("root_a")), "a")
-        two = self.sketched(rooted.select(F.col("key").alias("key_b"), F.col("sid").alias("b"),
-                                          F.col("root").alias("root_b")), "b")
-        return one.join(two, (F.col("key") == F.col("key_b")) & (F.col("a") < F.col("b"))
-                        & (F.col("root_a") != F.col("root_b")) & self.near("a", "b")).select("a", "b")
-
-    def all_links(self, table: DataFrame, members: DataFrame) -> DataFrame:
+    def compared(self, rooted: DataFrame, full: bool) -> DataFrame:
+        """Candidates ``(a, b)`` with a common key, of different components.
+        Both sides of the join are the same rows, which are dealt out once;
+        they carry their sketches in ``full`` or only folded."""
+        names = ("n", "f0", "f1", "f2", "f3", *(["sketch"] if full else []))
+        rows = rooted.select("key", "sid", "root").join(self.sets.select("sid", *names), "sid")
+        one, two = rows.alias("one"), rows.alias("two")
+        return one.join(two, (F.col("one.key") == F.col("two.key")) & (F.col("one.sid") < F.col("two.sid"))
+                        & (F.col("one.root") != F.col("two.root")) & self.near("one", "two", full)).select(
+                            F.col("one.sid").alias("a"), F.col("two.sid").alias("b"))
+
+    def all_links(self, table: DataFrame, once, members: DataFrame) -> DataFrame:
         """Links that connect whatever is connected."""
         links, roots, left = self.probe(members)
-        links = links.unionByName(self.links(self.compared(left.where(F.col("size") <= BUCKET))))
+        links = links.unionByName(self.links(self.compared(left.where(F.col("size") <= BUCKET), full=False)))
         left = left.where(F.col("size") > BUCKET)
         if left.isEmpty():
             return links
         last, among = bit_filter(left.select("key")), bit_filter(left.select("sid"))
-        late = members_of(table, last, among).join(self.sets.select("sid"), "sid", "left_semi")
+        late = members_of(table, once, last, among).join(self.sets.select("sid"), "sid", "left_semi")
         links, _, left = self.probe(late, links, roots)
-        return links.unionByName(self.links(self.compared(left)))
+        return links.unionByName(self.links(self.compared(left, full=True)))
 
 
 def divided(members: DataFrame, roots: DataFrame) -> DataFrame:
@@ -391,13 +407,14 @@ def near_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
     if not 50 <= percent <= 100:                          # partners are at most a band apart
         raise ValueError(f"percent is {percent}; between 50 and 100 are supported")
     table = write_once(described(docs, width, percent), "jaccard-sets")
-    members = members_of(table)
+    once = one_row_each(table)
+    members = members_of(table, once)
     sids = members.select("sid").distinct()
     sets = table.join(sids, "sid", "left_semi").groupBy("sid").agg(
         F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("text_hash").alias("text_hash"))
     folds = {f"f{i}": F.expr(f"aggregate(filter(sketch, (x, k) -> k % 4 = {i}), 0L, (s, x) -> s ^ x)") for i in range(4)}
     sets = write_once(sets.withColumns(folds), "jaccard-sketches")
-    links = Search(docs, sets, width, percent).all_links(table, members)
+    links = Search(docs, sets, width, percent).all_links(table, once, members)
     rooted = (table.select("doc_id", "sid", F.col("n").alias("n_shingles"))
               .join(components(links).withColumnRenamed("node", "sid"), "sid", "left")
               .withColumn("root", F.coalesce("root", "sid")))
