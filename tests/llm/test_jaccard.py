@@ -148,6 +148,20 @@ def test_sketch_distance_is_a_lower_bound():
         assert distance <= len(np.setxor1d(a, b))
 
 
+def test_equal_sets_list_their_keys_once(spark, documents):
+    """What is dealt out does not grow with copies; every set is still found."""
+    texts = [" ".join(f"t{i}-{k}" for k in range(60)) for i in range(5)] + [None, ""]
+    one, many = (documents([(i, t, "en", "s") for i, t in enumerate(texts * n)]) for n in (1, 30))
+    counts = []
+    for docs in (one, many):
+        table = jaccard.write_once(jaccard.described(docs, 5, 80), "test-sets")
+        counts.append(jaccard.keys_of(table, jaccard.one_row_each(table)).count())
+        members = jaccard.members_of(table, jaccard.one_row_each(table))
+        assert members.count() == members.distinct().count() == 0
+    assert counts[0] == counts[1] > 0
+    assert got(many) == brute([(r.doc_id, r.text) for r in many.collect()])
+
+
 def test_odd_rows(spark, odd_documents, documents):
     rows = [(r.doc_id, r.text) for r in odd_documents.collect()]
     assert got(odd_documents) == brute(rows)
